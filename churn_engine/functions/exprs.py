@@ -18,19 +18,19 @@ def code(name: str, codes: dict[str, int]) -> Column:
     return chain.cast("int")
 
 
-def flag(predicate: Column) -> Column:
-    """0/1 of a predicate where NULL counts as false."""
-    return F.coalesce(predicate, F.lit(False)).cast("int")
+def flag(predicate: str) -> str:
+    """SQL text: 0/1 of a predicate where NULL counts as false."""
+    return f"IF({predicate}, 1, 0)"
 
 
-def null_if_zero(count: Column) -> Column:
-    """A count that is unknown, not 0, when nothing was counted."""
-    return F.nullif(count, F.lit(0))
+def smoothed_ratio(a: str, b: str) -> str:
+    """SQL text: ``a / (b + 1)`` as DOUBLE; a zero denominator (only without a cutoff) gives NULL."""
+    return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE) + 1D)"
 
 
-def smoothed_ratio(a: Column, b: Column) -> Column:
-    """``a / (b + 1)`` as DOUBLE; a zero denominator (only without a cutoff) gives NULL."""
-    return F.try_divide(a.cast("double"), b.cast("double") + F.lit(1.0))
+def with_exprs(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add columns given as SQL text."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
 def fill_zero(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:

@@ -20,11 +20,11 @@ def running_total(
     ``levels`` are coarse-to-fine integer prefixes of ``order`` (ascending with it). The total before
     a row is the sum over earlier buckets at each level, taken from grouped counts, plus a window
     inside the finest bucket. So no task ever sees more than one bucket, and the bucket choice
-    affects balance only, never the result.
+    affects balance only, never the result. The first level must have a fixed number of buckets (a few
+    thousand): its offsets are broadcast.
     """
     names = [f"_level{i}" for i in range(len(levels))]
-    out = df.withColumns(dict(zip(names, levels, strict=True)))
-    result = out
+    result = out = df.withColumns(dict(zip(names, levels, strict=True)))
     before = {new: F.lit(0) for new in totals}
     for i, name in enumerate(names):
         prefix = [*by, *names[: i + 1]]
@@ -35,7 +35,7 @@ def running_total(
             *prefix,
             *[F.coalesce(F.sum(f"_s_{new}").over(earlier), F.lit(0)).alias(f"_o{i}_{new}") for new in totals],
         )
-        result = result.join(offsets, prefix)
+        result = result.join(F.broadcast(offsets) if i == 0 else offsets, prefix)
         before = {new: before[new] + F.col(f"_o{i}_{new}") for new in totals}
     inside = Window.partitionBy(*by, *names).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     result = result.withColumns({new: before[new] + F.sum(col).over(inside) for new, col in totals.items()})

@@ -28,31 +28,32 @@ def to_millis(value: str | date | datetime) -> int:
     return (parse_date(value) - EPOCH) // timedelta(milliseconds=1)
 
 
-def timestamp_literal(value: datetime) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ '{parse_date(value).isoformat(sep=' ', timespec='milliseconds')}'")
+def timestamp_sql(value: date | datetime) -> str:
+    return f"TIMESTAMP_NTZ '{parse_date(value).isoformat(sep=' ', timespec='milliseconds')}'"
 
 
-def millis_of(ntz: Column) -> Column:
+def timestamp_literal(value: date | datetime) -> Column:
+    return F.expr(timestamp_sql(value))
+
+
+# The rest is SQL text, to be put into larger expressions.
+
+
+def millis_of(ntz: str) -> str:
     """Epoch milliseconds of a TIMESTAMP_NTZ."""
-    return F.timestamp_diff("MILLISECOND", timestamp_literal(EPOCH), ntz)
+    return f"timestampdiff(MILLISECOND, {timestamp_sql(EPOCH)}, {ntz})"
 
 
-def timestamp_of(ms: Column) -> Column:
+def timestamp_of(ms: str) -> str:
     """TIMESTAMP_NTZ of epoch milliseconds."""
-    return F.timestamp_add("MILLISECOND", ms, timestamp_literal(EPOCH))
+    return f"timestampadd(MILLISECOND, {ms}, {timestamp_sql(EPOCH)})"
 
 
-def floor_div(ms: Column, unit: int = DAY_MS) -> Column:
+def floor_div(value: str, unit: int = DAY_MS) -> str:
     """Floor division of a BIGINT, also below zero, in integers throughout."""
-    step = F.lit(unit).cast("bigint")
-    return F.call_function("div", ms - F.pmod(ms, step), step)
+    return f"(({value}) - pmod({value}, {unit}L)) div {unit}L"
 
 
-def whole_days(obs_ms: Column, event_ms: Column) -> Column:
+def days_between(later_ms: str, earlier_ms: str) -> str:
     """Elapsed 24-hour days, rounded down: 12 hours ago is 0, 6 hours ahead is -1."""
-    return floor_div(obs_ms - event_ms)
-
-
-def decay(days: Column, scale_days: float) -> Column:
-    """Weight ``exp(-days / scale)``."""
-    return F.exp(-days / F.lit(float(scale_days)))
+    return floor_div(f"{later_ms} - {earlier_ms}")

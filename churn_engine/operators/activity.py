@@ -8,65 +8,70 @@ they, at most two per user and day, are fanned out to the dates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churn_engine.functions.exprs import null_if_zero
-from churn_engine.functions.timeexpr import decay, timestamp_of
+from churn_engine.functions.exprs import with_exprs
+from churn_engine.functions.timeexpr import timestamp_of
 from churn_engine.operators.snapshots import Snapshots
 from churn_engine.schema import PAGE_COUNTS, PAGE_SET_COUNTS
 
 CELL = ["userId", "age", "on_mark"]
 ITEM_BITS = 20
 
-
-def event_order() -> Column:
-    """Time order within a user as one BIGINT: milliseconds, then the position in the session."""
-    top = (1 << ITEM_BITS) - 1
-    item = F.greatest(F.least(F.coalesce(F.col("itemInSession"), F.lit(0)), F.lit(top)), F.lit(0))
-    return F.col("ts_ms") * (1 << ITEM_BITS) + item
-
-
-def _page_is(pages: str | list[str]) -> Column:
-    return F.col("page").isin(pages) if isinstance(pages, list) else F.col("page") == pages
+# Time order within a user as one BIGINT: milliseconds, then the position in the session.
+EVENT_ORDER = (
+    f"ts_ms * {1 << ITEM_BITS}L + greatest(least(coalesce(itemInSession, 0L), {(1 << ITEM_BITS) - 1}L), 0L)"
+)
+
+
+def _page_is(pages: str | list[str]) -> str:
+    listed = ", ".join(f"'{p}'" for p in ([pages] if isinstance(pages, str) else pages))
+    return f"page IN ({listed})"
+
+
+PAGE_HITS = {name: _page_is(pages) for name, pages in {**PAGE_COUNTS, **PAGE_SET_COUNTS}.items()}
+
+# Mergeable aggregates of a cell, as SQL text. First and last value in time order: the 0/1 code rides
+# in the lowest bit of the order key, so a plain, hash-aggregated min / max finds it, and ties do not
+# depend on the row order.
+CELL_AGGREGATES = {
+    "events": "count(1)",
+    "songs": "sum(song_played)",
+    "length_sum": "sum(length)",
+    "length_count": "count(length)",
+    "first_ms": "min(ts_ms)",
+    "last_ms": "max(ts_ms)",
+    "gender_key": "min(event_order * 2 + gender)",
+    "level_first_key": "min(event_order * 2 + level)",
+    "level_last_key": "max(event_order * 2 + level)",
+    "registration": "min_by(registration, IF(registration IS NOT NULL, event_order, NULL))",
+    "registration_order": "min(IF(registration IS NOT NULL, event_order, NULL))",
+    "max_item": "max(itemInSession)",
+    "free_events": "count_if(level = 0)",
+    "paid_events": "count_if(level = 1)",
+    "last_free_ms": "max(IF(level = 0, ts_ms, NULL))",
+    "last_paid_ms": "max(IF(level = 1, ts_ms, NULL))",
+    "last_unknown_ms": "max(IF(level IS NULL, ts_ms, NULL))",
+    **{name: f"count_if({hit})" for name, hit in PAGE_HITS.items()},
+    "last_cancel_ms": f"max(IF({PAGE_HITS['cancel_page_visits']}, ts_ms, NULL))",
+    "last_help_ms": f"max(IF({PAGE_HITS['help_visits']}, ts_ms, NULL))",
+    "last_downgrade_ms": f"max(IF({PAGE_HITS['downgrade_attempts']}, ts_ms, NULL))",
+}
+
+
+def aggregates(columns: dict[str, str]) -> list:
+    return [F.expr(text).alias(name) for name, text in columns.items()]
 
 
 def activity_cells(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """One row per (userId, age, on_mark) with mergeable aggregates; callers use what they need and
     Catalyst drops the rest, down to the scanned columns."""
-    ms, order = F.col("ts_ms"), event_order()
-    gender, level = F.col("gender"), F.col("level")
-    # First and last value in time order: the code rides in the lowest bit of the order key, so a
-    # plain min / max (hash-aggregated) finds it, and ties do not depend on the row order.
-    gender_key = F.when(gender.isNotNull(), order * 2 + gender)
-    level_key = F.when(level.isNotNull(), order * 2 + level)
-    registered = F.col("registration").isNotNull()
-    known_order = F.when(registered, order)
-    counted = {name: _page_is(page) for name, page in {**PAGE_COUNTS, **PAGE_SET_COUNTS}.items()}
-    located = events.withColumns({"age": snapshots.age(ms), "on_mark": snapshots.on_mark(ms)})
-    return located.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum("song_played").alias("songs"),
-        F.sum("length").alias("length_sum"),
-        F.count("length").alias("length_count"),
-        F.min(ms).alias("first_ms"),
-        F.max(ms).alias("last_ms"),
-        F.min(gender_key).alias("gender_key"),
-        F.min(level_key).alias("level_first_key"),
-        F.max(level_key).alias("level_last_key"),
-        F.min_by("registration", known_order).alias("registration"),
-        F.min(known_order).alias("registration_order"),
-        F.max("itemInSession").alias("max_item"),
-        F.count_if(level == 0).alias("free_events"),
-        F.count_if(level == 1).alias("paid_events"),
-        F.max(F.when(level == 0, ms)).alias("last_free_ms"),
-        F.max(F.when(level == 1, ms)).alias("last_paid_ms"),
-        F.max(F.when(level.isNull(), ms)).alias("last_unknown_ms"),
-        *[F.count_if(hit).alias(name) for name, hit in counted.items()],
-        F.max(F.when(counted["cancel_page_visits"], ms)).alias("last_cancel_ms"),
-        F.max(F.when(counted["help_visits"], ms)).alias("last_help_ms"),
-        F.max(F.when(counted["downgrade_attempts"], ms)).alias("last_downgrade_ms"),
+    located = with_exprs(
+        events,
+        {"age": snapshots.age("ts_ms"), "on_mark": snapshots.on_mark("ts_ms"), "event_order": EVENT_ORDER},
     )
+    return located.groupBy(*CELL).agg(*aggregates(CELL_AGGREGATES))
 
 
 def activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
@@ -76,58 +81,48 @@ def activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     second aggregate then need no further exchange.
     """
     cells = activity_cells(snapshots.up_to_last_date(events), snapshots).repartition("userId")
-    age, mark = F.col("age"), F.col("on_mark")
-    recent, historical = snapshots.is_recent(age, mark), snapshots.is_historical(age, mark)
-    weight = decay(age, snapshots.decay_days)
-
-    def total(name: str, where: Column | None = None) -> Column:
-        return F.sum(name if where is None else F.when(where, F.col(name)).otherwise(F.lit(0)))
-
-    merged = (
-        snapshots.fan_out(cells)
-        .groupBy("userId", "obs_date", "obs_ms")
-        .agg(
-            total("events").alias("total_page_views"),
-            total("events", recent).alias("recent_events"),
-            total("events", historical).alias("historical_events"),
-            total("songs").alias("num_songs_played"),
-            total("songs", recent).alias("recent_songs"),
-            total("songs", historical).alias("historical_songs"),
-            F.sum("length_sum").alias("length_sum"),
-            total("length_count").alias("length_count"),
-            F.sum(F.col("songs") * weight).alias("song_weight"),
-            F.sum(F.col("events") * weight).alias("event_weight"),
-            F.min("first_ms").alias("first_ms"),
-            F.max("last_ms").alias("last_ms"),
-            F.min("gender_key").alias("gender_key"),
-            F.min("level_first_key").alias("level_first_key"),
-            F.max("level_last_key").alias("level_last_key"),
-            F.min_by("registration", "registration_order").alias("registration"),
-            F.max("max_item").alias("max_item_in_session"),
-            total("free_events").alias("free_events"),
-            total("paid_events").alias("paid_events"),
-            *[F.max(f"last_{what}_ms").alias(f"last_{what}_ms") for what in ("free", "paid", "unknown", "cancel", "help", "downgrade")],
-            *[null_if_zero(total(name)).alias(name) for name in [*PAGE_COUNTS, *PAGE_SET_COUNTS]],
-            null_if_zero(total("cancel_page_visits", recent)).alias("cancel_visits_recent"),
-            null_if_zero(total("help_visits", recent)).alias("help_visits_recent"),
-            null_if_zero(total("thumbs_down_count", recent)).alias("thumbs_down_recent"),
-        )
-    )
-    low_bit = F.lit(1).cast("bigint")
-    had_recent, had_historical = F.col("recent_events") > 0, F.col("historical_events") > 0
-    mode = F.when(F.col("paid_events") > F.col("free_events"), F.lit(1)).otherwise(F.lit(0))
-    return merged.withColumns(
+    recent, historical = snapshots.is_recent, snapshots.is_historical
+    weight = snapshots.decay("age")
+    totals = {
+        "total_page_views": "sum(events)",
+        "recent_events": f"sum(IF({recent}, events, 0L))",
+        "historical_events": f"sum(IF({historical}, events, 0L))",
+        "num_songs_played": "sum(songs)",
+        "recent_songs": f"sum(IF({recent}, songs, 0L))",
+        "historical_songs": f"sum(IF({historical}, songs, 0L))",
+        "length_sum": "sum(length_sum)",
+        "length_count": "sum(length_count)",
+        "song_weight": f"sum(songs * {weight})",
+        "event_weight": f"sum(events * {weight})",
+        "first_ms": "min(first_ms)",
+        "last_ms": "max(last_ms)",
+        "gender_key": "min(gender_key)",
+        "level_first_key": "min(level_first_key)",
+        "level_last_key": "max(level_last_key)",
+        "registration": "min_by(registration, registration_order)",
+        "max_item_in_session": "max(max_item)",
+        "free_events": "sum(free_events)",
+        "paid_events": "sum(paid_events)",
+        **{f"last_{x}_ms": f"max(last_{x}_ms)" for x in ("free", "paid", "unknown", "cancel", "help", "downgrade")},
+        **{name: f"nullif(sum({name}), 0L)" for name in PAGE_HITS},
+        "cancel_visits_recent": f"nullif(sum(IF({recent}, cancel_page_visits, 0L)), 0L)",
+        "help_visits_recent": f"nullif(sum(IF({recent}, help_visits, 0L)), 0L)",
+        "thumbs_down_recent": f"nullif(sum(IF({recent}, thumbs_down_count, 0L)), 0L)",
+    }
+    merged = snapshots.fan_out(cells).groupBy("userId", "obs_date", "obs_ms").agg(*aggregates(totals))
+    return with_exprs(
+        merged,
         {
-            "gender": F.col("gender_key").bitwiseAND(low_bit).cast("int"),
-            "level_first": F.col("level_first_key").bitwiseAND(low_bit).cast("int"),
-            "level_current": F.col("level_last_key").bitwiseAND(low_bit).cast("int"),
-            "level_mode": mode.cast("int"),
-            "ts_min": timestamp_of(F.col("first_ms")),
-            "ts_max": timestamp_of(F.col("last_ms")),
-            "total_length": F.coalesce(F.col("length_sum"), F.lit(0.0)),
-            "avg_song_length": F.when(F.col("length_count") > 0, F.col("length_sum") / F.col("length_count")),
-            "songs_last_7_days": F.when(had_recent, F.col("recent_songs")),
-            "songs_historical": F.when(had_historical, F.col("historical_songs")),
-            "weighted_songs": F.col("song_weight") / (F.col("event_weight") + F.lit(1.0)),
-        }
-    ).drop("gender_key", "level_first_key", "level_last_key", "length_sum", "song_weight", "event_weight")
+            "gender": "CAST(gender_key & 1L AS INT)",
+            "level_first": "CAST(level_first_key & 1L AS INT)",
+            "level_current": "CAST(level_last_key & 1L AS INT)",
+            "level_mode": "IF(paid_events > free_events, 1, 0)",
+            "ts_min": timestamp_of("first_ms"),
+            "ts_max": timestamp_of("last_ms"),
+            "total_length": "coalesce(length_sum, 0D)",
+            "avg_song_length": "IF(length_count > 0, length_sum / length_count, NULL)",
+            "songs_last_7_days": "IF(recent_events > 0, recent_songs, NULL)",
+            "songs_historical": "IF(historical_events > 0, historical_songs, NULL)",
+            "weighted_songs": "song_weight / (event_weight + 1D)",
+        },
+    )

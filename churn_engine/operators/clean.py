@@ -38,7 +38,7 @@ def clean_events(raw: DataFrame) -> DataFrame:
         user.alias("userId"),
         "sessionId",
         "itemInSession",
-        timestamp_of(F.col("ts")).alias("ts"),
+        F.expr(timestamp_of("ts")).alias("ts"),
         F.col("ts").alias("ts_ms"),
         F.col("registration").cast("timestamp_ntz").alias("registration"),
         code("gender", GENDER_CODES).alias("gender"),

@@ -8,83 +8,82 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from churn_engine.functions.exprs import flag, smoothed_ratio
-from churn_engine.functions.timeexpr import millis_of, whole_days
+from churn_engine.functions.exprs import flag, smoothed_ratio, with_exprs
+from churn_engine.functions.timeexpr import days_between, millis_of
 
 
 def tenure(df: DataFrame) -> DataFrame:
     """Days since first event, registration and last event."""
-    obs = F.col("obs_ms")
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
-            "days_active": whole_days(obs, F.col("first_ms")),
-            "membership_length": whole_days(obs, millis_of(F.col("registration"))),
-            "days_since_last_activity": whole_days(obs, F.col("last_ms")),
-        }
+            "days_active": days_between("obs_ms", "first_ms"),
+            "membership_length": days_between("obs_ms", millis_of("registration")),
+            "days_since_last_activity": days_between("obs_ms", "last_ms"),
+        },
     )
 
 
 def activity_ratios(df: DataFrame, recent_days: int = 7) -> DataFrame:
     """Songs per day, decline, depth, and the downgrade flag."""
-    songs = F.col("num_songs_played")
-    df = df.withColumns(
+    df = with_exprs(
+        df,
         {
-            "songs_per_day_overall": smoothed_ratio(songs, F.col("days_active")),
-            "songs_per_day_recent": F.col("songs_last_7_days") / F.lit(float(recent_days)),
-            "songs_per_session": smoothed_ratio(songs, F.col("num_sessions")),
-            "artist_diversity": smoothed_ratio(F.col("unique_artists"), songs),
-            "downgraded": flag((F.col("level_first") == 1) & (F.col("level_current") == 0)),
-        }
+            "songs_per_day_overall": smoothed_ratio("num_songs_played", "days_active"),
+            "songs_per_day_recent": f"songs_last_7_days / {float(recent_days)}D",
+            "songs_per_session": smoothed_ratio("num_songs_played", "num_sessions"),
+            "artist_diversity": smoothed_ratio("unique_artists", "num_songs_played"),
+            "downgraded": flag("level_first = 1 AND level_current = 0"),
+        },
     )
-    return df.withColumn("activity_decline", smoothed_ratio(F.col("songs_per_day_recent"), F.col("songs_per_day_overall")))
+    return with_exprs(df, {"activity_decline": smoothed_ratio("songs_per_day_recent", "songs_per_day_overall")})
 
 
 def page_ratios(df: DataFrame) -> DataFrame:
     """Satisfaction, engagement, problems and ads."""
-    up, down, helped = F.col("thumbs_up_count"), F.col("thumbs_down_count"), F.col("help_visits")
-    songs = F.col("num_songs_played")
-    positive = up + F.col("playlists_created") + F.col("friends_added")
-    return df.withColumns(
+    positive = "(thumbs_up_count + playlists_created + friends_added)"
+    return with_exprs(
+        df,
         {
-            "has_social_activity": flag(F.col("friends_added") > 0),
+            "has_social_activity": flag("friends_added > 0"),
             "positive_actions": positive,
-            "satisfaction_ratio": smoothed_ratio(up, down + up),
-            "engagement_rate": smoothed_ratio(positive + down + helped, songs),
-            "problem_signals": helped + F.col("error_count") + F.col("settings_visits"),
-            "ads_per_song": smoothed_ratio(F.col("ad_count"), songs),
-            "actions_per_session": smoothed_ratio(F.col("total_page_views"), F.col("num_sessions")),
-        }
+            "satisfaction_ratio": smoothed_ratio("thumbs_up_count", "thumbs_down_count + thumbs_up_count"),
+            "engagement_rate": smoothed_ratio(f"{positive} + thumbs_down_count + help_visits", "num_songs_played"),
+            "problem_signals": "help_visits + error_count + settings_visits",
+            "ads_per_song": smoothed_ratio("ad_count", "num_songs_played"),
+            "actions_per_session": smoothed_ratio("total_page_views", "num_sessions"),
+        },
     )
 
 
 def recency_ratios(df: DataFrame) -> DataFrame:
     """Recent windows against historical ones."""
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
-            "recent_vs_historical_songs": smoothed_ratio(F.col("songs_last_7_days"), F.col("songs_historical")),
-            "recent_vs_historical_sessions": smoothed_ratio(F.col("sessions_last_7_days"), F.col("sessions_historical")),
-            "recent_vs_historical_artists": smoothed_ratio(F.col("artists_last_7_days"), F.col("artists_historical")),
-            "session_length_decline": smoothed_ratio(F.col("avg_session_length_recent"), F.col("avg_session_length")),
-            "artist_exploration_rate": smoothed_ratio(F.col("artists_last_7_days"), F.col("sessions_last_7_days")),
-        }
+            "recent_vs_historical_songs": smoothed_ratio("songs_last_7_days", "songs_historical"),
+            "recent_vs_historical_sessions": smoothed_ratio("sessions_last_7_days", "sessions_historical"),
+            "recent_vs_historical_artists": smoothed_ratio("artists_last_7_days", "artists_historical"),
+            "session_length_decline": smoothed_ratio("avg_session_length_recent", "avg_session_length"),
+            "artist_exploration_rate": smoothed_ratio("artists_last_7_days", "sessions_last_7_days"),
+        },
     )
 
 
 def days_since(df: DataFrame) -> DataFrame:
     """Days since the last visit of critical pages and since the last event away from the first level
     (an unknown level counts as away); without one, the length of the membership."""
-    obs = F.col("obs_ms")
-    other = F.when(F.col("level_first") == 0, F.col("last_paid_ms")).when(F.col("level_first") == 1, F.col("last_free_ms"))
-    changed = F.greatest(F.col("last_unknown_ms"), other)
-    return df.withColumns(
+    other = "CASE level_first WHEN 0 THEN last_paid_ms WHEN 1 THEN last_free_ms END"
+    changed = f"greatest(last_unknown_ms, {other})"
+    return with_exprs(
+        df,
         {
-            "days_on_current_level": F.coalesce(whole_days(obs, changed), F.col("membership_length")),
-            "days_since_cancel_visit": whole_days(obs, F.col("last_cancel_ms")),
-            "days_since_help_visit": whole_days(obs, F.col("last_help_ms")),
-            "days_since_downgrade_attempt": whole_days(obs, F.col("last_downgrade_ms")),
-        }
+            "days_on_current_level": f"coalesce({days_between('obs_ms', changed)}, membership_length)",
+            "days_since_cancel_visit": days_between("obs_ms", "last_cancel_ms"),
+            "days_since_help_visit": days_between("obs_ms", "last_help_ms"),
+            "days_since_downgrade_attempt": days_between("obs_ms", "last_downgrade_ms"),
+        },
     )
 
 
@@ -117,12 +116,13 @@ class RiskWeights:
 def risk_score(df: DataFrame, weights: RiskWeights = RiskWeights()) -> DataFrame:
     """Weighted sum of warning signs, judged before NULLs are filled (an unknown value warns of
     nothing)."""
-    score = (
-        flag(F.col("cancel_page_visits") > 0) * weights.cancel_visit
-        + flag(F.col("help_visits") > weights.help_above) * weights.many_help_visits
-        + F.col("downgraded") * weights.downgraded
-        + flag(F.col("days_since_last_activity") > weights.inactive_days_above) * weights.inactive
-        + flag(F.col("activity_decline") < weights.decline_below) * weights.declining
-        + flag(F.col("thumbs_down_recent") > F.col("thumbs_down_count") / 2) * weights.recent_thumbs_down
-    )
-    return df.withColumn("churn_risk_score", score)
+    w = weights
+    signs = {
+        "cancel_page_visits > 0": w.cancel_visit,
+        f"help_visits > {w.help_above}": w.many_help_visits,
+        "downgraded = 1": w.downgraded,
+        f"days_since_last_activity > {w.inactive_days_above}": w.inactive,
+        f"activity_decline < {float(w.decline_below)}D": w.declining,
+        "thumbs_down_recent > thumbs_down_count / 2": w.recent_thumbs_down,
+    }
+    return with_exprs(df, {"churn_risk_score": " + ".join(f"{flag(sign)} * {n}" for sign, n in signs.items())})

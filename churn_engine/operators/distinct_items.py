@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from churn_engine.operators.snapshots import Snapshots, has_bit, timestamp_literal
+from churn_engine.operators.activity import aggregates
+from churn_engine.operators.snapshots import Snapshots
+from churn_engine.functions.timeexpr import timestamp_sql
 
 WINDOWS = ("seen", "recent", "historical")
 
@@ -17,27 +18,28 @@ def distinct_items(events: DataFrame, snapshots: Snapshots, columns: Sequence[st
     ``<column>_recent`` and ``<column>_historical``.
 
     First one row per (user, column, value) holding, as bits, the dates whose window contains it; the
-    key spreads even a single user's values over all tasks. Then the bits are summed per user, and
-    only the sums are turned into rows per date: neither events nor values are fanned out. All columns
-    share one scan.
+    key spreads even a single user's values over all tasks. Then the bits are counted per user, and
+    only the counts are turned into rows per date: neither events nor values are fanned out. All
+    columns share one scan.
     """
-    ms = F.col("ts_ms")
+    listed = ", ".join(f"CAST({c} AS STRING)" for c in columns)
     items = (
         snapshots.up_to_last_date(events)
-        .select("userId", "ts_ms", F.posexplode(F.array(*[F.col(c).cast("string") for c in columns])).alias("kind", "item"))
-        .where(F.col("item").isNotNull())
+        .selectExpr("userId", "ts_ms", f"posexplode(array({listed})) AS (kind, item)")
+        .where("item IS NOT NULL")
         .groupBy("userId", "kind", "item")
-        .agg(*[F.bit_or(snapshots.mask(ms, w)).alias(w) for w in WINDOWS])
-    )
-    picks = [(c, w, i) for c in range(len(columns)) for w in WINDOWS for i in range(len(snapshots.dates))]
-    sums = items.groupBy("userId").agg(
-        *[F.count_if((F.col("kind") == c) & has_bit(w, i)).alias(f"_{c}_{w}_{i}") for c, w, i in picks]
+        .agg(*aggregates({w: f"bit_or({snapshots.mask('ts_ms', w)})" for w in WINDOWS}))
     )
+    counts = {
+        f"{name}_{w}_{i}": f"count_if(kind = {kind} AND {w} & {1 << i}L != 0)"
+        for kind, name in enumerate(columns)
+        for w in WINDOWS
+        for i in range(len(snapshots.dates))
+    }
     rows = [
-        F.struct(
-            timestamp_literal(day).alias("obs_date"),
-            *[F.col(f"_{c}_{w}_{i}").alias(f"{name}_{w}") for c, name in enumerate(columns) for w in WINDOWS],
-        )
+        f"struct({timestamp_sql(day)} AS obs_date, "
+        + ", ".join(f"{name}_{w}_{i} AS {name}_{w}" for name in columns for w in WINDOWS)
+        + ")"
         for i, day in enumerate(snapshots.dates)
     ]
-    return sums.select("userId", F.inline(F.array(*rows)))
+    return items.groupBy("userId").agg(*aggregates(counts)).selectExpr("userId", f"inline(array({', '.join(rows)}))")

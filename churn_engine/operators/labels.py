@@ -67,7 +67,7 @@ def without_churned(rows: DataFrame, events: DataFrame) -> DataFrame:
     """Leave out the rows of users who had cancelled by the date."""
     first = cancellations(events).groupBy("userId").agg(F.min("ts_ms").alias("_first_cancel"))
     joined = rows.join(first, "userId", "left")
-    gone = F.coalesce(F.col("_first_cancel") <= millis_of(F.col("obs_date")), F.lit(False))
+    gone = F.coalesce(F.col("_first_cancel") <= F.expr(millis_of("obs_date")), F.lit(False))
     return joined.where(~gone).drop("_first_cancel")
 
 

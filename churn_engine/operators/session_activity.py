@@ -2,78 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churn_engine.functions.timeexpr import decay, floor_div, whole_days
-from churn_engine.operators.activity import event_order
+from churn_engine.functions.exprs import with_exprs
+from churn_engine.functions.timeexpr import days_between, floor_div, timestamp_sql, to_millis
+from churn_engine.operators.activity import EVENT_ORDER, ITEM_BITS, aggregates
 from churn_engine.operators.snapshots import Snapshots
 
 
-def session_cells(events: DataFrame, snapshots: Snapshots) -> DataFrame:
-    """One row per session and 24-hour step (most sessions: one row), reduced on the map side."""
-    ms = F.col("ts_ms")
-    return (
-        events.where(F.col("sessionId").isNotNull())
-        .select(
-            "userId",
-            "sessionId",
-            snapshots.age(ms).alias("age"),
-            snapshots.on_mark(ms).alias("on_mark"),
-            "ts_ms",
-            event_order().alias("order"),
-        )
-        .groupBy("userId", "sessionId", "age", "on_mark")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.min("ts_ms").alias("first_ms"),
-            F.max("ts_ms").alias("last_ms"),
-            F.max("order").alias("last_order"),
-        )
-    )
-
-
 def session_activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Per (userId, obs_date): distinct sessions (all, recent, historical), mean session length over
     events, decayed number of sessions and the length of the session of the last event.
 
-    Windows run over the cells of one session (two per day at most), never over events. The length
-    looks at the whole log unless ``asof_sessions`` is set.
+    Each session becomes one row that holds, per date, its events so far, its recent events and its
+    last event: one map-side-combined aggregate, no window, no copies of events. Only these rows are
+    turned into one per date. The length looks at the whole log unless ``asof_sessions`` is set.
     """
+    dates = list(enumerate(snapshots.dates))
+    seen = [snapshots.within("ts_ms", "seen", day) for _, day in dates]
+    recent = [snapshots.within("ts_ms", "recent", day) for _, day in dates]
     if snapshots.asof_sessions:
         events = snapshots.up_to_last_date(events)
-    cells = session_cells(events, snapshots)
-    whole = Window.partitionBy("userId", "sessionId")
-    if not snapshots.asof_sessions:
-        cells = cells.withColumn("span_ms", F.max("last_ms").over(whole) - F.min("first_ms").over(whole))
-    else:
-        cells = cells.repartition("userId", "sessionId")
-    age, mark = F.col("age"), F.col("on_mark")
-    recent, historical = snapshots.is_recent(age, mark), snapshots.is_historical(age, mark)
-    span = F.max("last_ms") - F.min("first_ms") if snapshots.asof_sessions else F.max("span_ms")
     per_session = (
-        snapshots.fan_out(cells)
-        .groupBy("userId", "sessionId", "obs_date", "obs_ms")
+        with_exprs(events.where("sessionId IS NOT NULL"), {"event_order": EVENT_ORDER})
+        .groupBy("userId", "sessionId")
         .agg(
-            F.sum("events").alias("n"),
-            F.sum(F.when(recent, F.col("events")).otherwise(F.lit(0))).alias("n_recent"),
-            F.max(historical).alias("in_historical"),
-            F.min("first_ms").alias("first_ms"),
-            F.max("last_order").alias("last_order"),
-            (span / F.lit(1000.0)).alias("length"),
+            *aggregates(
+                {
+                    "start_ms": "min(ts_ms)",
+                    "end_ms": "max(ts_ms)",
+                    "historical": f"bit_or({snapshots.mask('ts_ms', 'historical')})",
+                    **{f"n_{i}": f"count_if({seen[i]})" for i, _ in dates},
+                    **{f"recent_{i}": f"count_if({recent[i]})" for i, _ in dates},
+                    **{f"last_{i}": f"max(IF({seen[i]}, event_order, NULL))" for i, _ in dates},
+                }
+            )
         )
     )
-    n, n_recent, length = F.col("n"), F.col("n_recent"), F.col("length")
-    return (
-        per_session.groupBy("userId", "obs_date")
-        .agg(
-            F.count(F.lit(1)).alias("num_sessions"),
-            F.count_if(n_recent > 0).alias("sessions_recent"),
-            F.count_if(F.col("in_historical")).alias("sessions_in_historical"),
-            (F.sum(n * length) / F.sum(n)).alias("avg_session_length"),
-            F.try_divide(F.sum(n_recent * length), F.sum(n_recent)).alias("avg_session_length_recent"),
-            F.sum(decay(whole_days(F.col("obs_ms"), F.col("first_ms")), snapshots.decay_days)).alias("weighted_sessions"),
-            F.max_by("length", "last_order").alias("last_session_length"),
+    rows = ", ".join(
+        f"struct({timestamp_sql(day)} AS obs_date, {to_millis(day)}L AS obs_ms, n_{i} AS n, recent_{i} AS n_recent,"
+        f" last_{i} AS last, historical & {1 << i}L != 0 AS in_historical)"
+        for i, day in dates
+    )
+    # The order key of the last event so far starts with its time.
+    end = f"shiftright(last, {ITEM_BITS})" if snapshots.asof_sessions else "end_ms"
+    by_date = (
+        per_session.selectExpr("userId", "start_ms", "end_ms", f"inline(array({rows}))")
+        .where("n > 0")
+        .withColumn("length", F.expr(f"({end} - start_ms) / 1000D"))
+    )
+    return by_date.groupBy("userId", "obs_date").agg(
+        *aggregates(
+            {
+                "num_sessions": "count(1)",
+                "sessions_recent": "count_if(n_recent > 0)",
+                "sessions_in_historical": "count_if(in_historical)",
+                "avg_session_length": "sum(n * length) / sum(n)",
+                "avg_session_length_recent": "try_divide(sum(n_recent * length), sum(n_recent))",
+                "weighted_sessions": f"sum({snapshots.decay(days_between('obs_ms', 'start_ms'))})",
+                "last_session_length": "max_by(length, last)",
+            }
         )
     )
 
@@ -85,26 +74,33 @@ def session_trend(events: DataFrame, snapshots: Snapshots, min_days: int = 3) ->
     A session counts for a day from its first event of that day on, so it is enough to keep that
     moment. The window orders the days of one user and date.
     """
-    events = snapshots.up_to_last_date(events)
     first = (
-        events.where(F.col("sessionId").isNotNull())
-        .groupBy("userId", "sessionId", floor_div(F.col("ts_ms")).alias("day"))
-        .agg(F.min("ts_ms").alias("first_ms"))
+        with_exprs(
+            snapshots.up_to_last_date(events).where("sessionId IS NOT NULL"), {"day": floor_div("ts_ms")}
+        )
+        .groupBy("userId", "sessionId", "day")
+        .agg(*aggregates({"first_ms": "min(ts_ms)"}))
     )
     starts = (
-        first.groupBy("userId", "day", snapshots.age(F.col("first_ms")).alias("age"))
-        .agg(F.count(F.lit(1)).alias("sessions"))
+        with_exprs(first, {"age": snapshots.age("first_ms")})
+        .groupBy("userId", "day", "age")
+        .agg(*aggregates({"sessions": "count(1)"}))
         .repartition("userId")
     )
-    daily = snapshots.fan_out(starts).groupBy("userId", "obs_date", "day").agg(F.sum("sessions").alias("sessions"))
-    by_day = Window.partitionBy("userId", "obs_date").orderBy("day")
-    x = (F.row_number().over(by_day) - 1).cast("double")
-    enough = F.count(F.lit(1)) >= min_days
-    return (
-        daily.select("userId", "obs_date", F.col("sessions").cast("double").alias("y"), x.alias("x"))
-        .groupBy("userId", "obs_date")
-        .agg(
-            F.when(enough, F.regr_slope("y", "x")).otherwise(F.lit(0.0)).alias("session_freq_trend"),
-            F.when(enough, F.stddev_samp("y")).otherwise(F.lit(0.0)).alias("session_consistency"),
+    daily = snapshots.fan_out(starts).groupBy("userId", "obs_date", "day").agg(
+        *aggregates({"y": "CAST(sum(sessions) AS DOUBLE)"})
+    )
+    numbered = daily.selectExpr(
+        "userId",
+        "obs_date",
+        "y",
+        "CAST(row_number() OVER (PARTITION BY userId, obs_date ORDER BY day) - 1 AS DOUBLE) AS x",
+    )
+    return numbered.groupBy("userId", "obs_date").agg(
+        *aggregates(
+            {
+                "session_freq_trend": f"IF(count(1) >= {min_days}, regr_slope(y, x), 0D)",
+                "session_consistency": f"IF(count(1) >= {min_days}, stddev_samp(y), 0D)",
+            }
         )
     )

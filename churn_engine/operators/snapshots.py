@@ -6,12 +6,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churn_engine.functions.timeexpr import DAY_MS, floor_div, parse_date, timestamp_literal, to_millis
+from churn_engine.functions.timeexpr import DAY_MS, days_between, parse_date, timestamp_literal, timestamp_sql, to_millis
 
-MAX_DATES_PER_PASS = 24
+MAX_DATES_PER_PASS = 16
 
 
 def date_grid(start: str | datetime, end: str | datetime, step_days: int = 5) -> list[datetime]:
@@ -69,73 +69,69 @@ class Snapshots:
     def anchor_ms(self) -> int:
         return to_millis(self.dates[-1])
 
-    # --- position of an event relative to the last date -------------------------------------------
+    # --- SQL text: position of an event relative to the last date, and the windows -----------------
 
-    def age(self, ms: Column) -> Column:
-        """Whole days from the event to the last date of the pass."""
-        return floor_div(F.lit(self.anchor_ms) - ms)
+    def age(self, ms: str) -> str:
+        """Whole days from the event to the last date of the pass (rounded down)."""
+        return days_between(f"{self.anchor_ms}L", ms)
 
-    def on_mark(self, ms: Column) -> Column:
+    def on_mark(self, ms: str) -> str:
         """Whether the event lies a whole number of days from the dates, i.e. on a window bound."""
-        return F.pmod(F.lit(self.anchor_ms) - ms, F.lit(DAY_MS)) == 0
+        return f"pmod({self.anchor_ms}L - {ms}, {DAY_MS}L) = 0"
 
-    def is_recent(self, age: Column, on_mark: Column) -> Column:
-        """``ts >= obs - recent_days``."""
-        return (age < self.recent_days) | ((age == self.recent_days) & on_mark)
+    @property
+    def is_recent(self) -> str:
+        """``ts >= obs - recent_days``, of a cell."""
+        return f"(age < {self.recent_days} OR (age = {self.recent_days} AND on_mark))"
 
-    def is_historical(self, age: Column, on_mark: Column) -> Column:
-        """``obs - historical_start <= ts < obs - historical_end``."""
+    @property
+    def is_historical(self) -> str:
+        """``obs - historical_start <= ts < obs - historical_end``, of a cell."""
         start, end = self.historical_start_days, self.historical_end_days
-        return ((age > end) | ((age == end) & ~on_mark)) & ((age < start) | ((age == start) & on_mark))
+        return f"((age > {end} OR (age = {end} AND NOT on_mark)) AND (age < {start} OR (age = {start} AND on_mark)))"
 
-    # --- dates as columns --------------------------------------------------------------------------
+    def decay(self, days: str) -> str:
+        """Weight ``exp(-days / scale)``."""
+        return f"exp(-({days}) / {float(self.decay_days)}D)"
 
-    def grid_array(self) -> Column:
-        """Array of (obs_date, obs_ms, offset_days to the last date of the pass)."""
-        return F.array(
-            *[
-                F.struct(
-                    timestamp_literal(d).alias("obs_date"),
-                    F.lit(to_millis(d)).cast("bigint").alias("obs_ms"),
-                    F.lit((self.anchor_ms - to_millis(d)) // DAY_MS).cast("bigint").alias("offset_days"),
-                )
-                for d in self.dates
-            ]
-        )
+    # --- dates as columns --------------------------------------------------------------------------
 
     def fan_out(self, df: DataFrame) -> DataFrame:
         """One row per (row, date) whose cell ``age`` lies at or before the date; ``age`` becomes
-        relative to that date."""
-        kept = df.select("*", F.inline(self.grid_array())).withColumn("age", F.col("age") - F.col("offset_days"))
+        relative to that date. Adds obs_date and obs_ms."""
+        grid = ", ".join(
+            f"struct({timestamp_sql(d)} AS obs_date, {to_millis(d)}L AS obs_ms,"
+            f" {(self.anchor_ms - to_millis(d)) // DAY_MS}L AS _offset)"
+            for d in self.dates
+        )
+        kept = df.selectExpr("*", f"inline(array({grid}))").withColumn("age", F.expr("age - _offset"))
         if self.cutoff:
-            kept = kept.where(F.col("age") >= 0)
-        return kept.drop("offset_days")
+            kept = kept.where("age >= 0")
+        return kept.drop("_offset")
 
     def up_to_last_date(self, events: DataFrame) -> DataFrame:
         """Drop events after the last date, when dates cut off."""
         return events.where(F.col("ts_ms") <= self.anchor_ms) if self.cutoff else events
 
-    def mask(self, ms: Column, window: str) -> Column:
-        """BIGINT with bit i set when the event is in the window of date i: ``seen``, ``recent``,
-        ``historical`` or ``label`` (after the date, within the horizon)."""
-        total = F.lit(0).cast("bigint")
-        for i, day in enumerate(self.dates):
-            obs = to_millis(day)
-            upto = (ms <= obs) if self.cutoff else F.lit(True)
-            inside = {
-                "seen": upto,
-                "recent": upto & (ms >= obs - self.recent_days * DAY_MS),
-                "historical": upto
-                & (ms >= obs - self.historical_start_days * DAY_MS)
-                & (ms < obs - self.historical_end_days * DAY_MS),
-                "label": (ms > obs) & (ms <= obs + self.horizon_days * DAY_MS),
-            }[window]
-            total = total + F.when(inside, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        return total
-
-
-def has_bit(mask: str, position: int) -> Column:
-    return F.col(mask).bitwiseAND(F.lit(1 << position).cast("bigint")) != 0
+    def within(self, ms: str, window: str, day: datetime) -> str:
+        """SQL predicate: the event lies in the window of one date: ``seen``, ``recent`` or
+        ``historical``."""
+        obs = to_millis(day)
+        bounds = {
+            "seen": [],
+            "recent": [f"{ms} >= {obs - self.recent_days * DAY_MS}L"],
+            "historical": [
+                f"{ms} >= {obs - self.historical_start_days * DAY_MS}L",
+                f"{ms} < {obs - self.historical_end_days * DAY_MS}L",
+            ],
+        }[window]
+        if self.cutoff:
+            bounds.append(f"{ms} <= {obs}L")
+        return " AND ".join(bounds) or "true"
+
+    def mask(self, ms: str, window: str) -> str:
+        """BIGINT with bit i set when the event is in the window of date i."""
+        return " + ".join(f"IF({self.within(ms, window, day)}, {1 << i}L, 0L)" for i, day in enumerate(self.dates))
 
 
 def snapshot_events(events: DataFrame, snapshots: Snapshots) -> DataFrame:

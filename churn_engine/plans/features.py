@@ -6,9 +6,8 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from churn_engine.functions.exprs import fill_zero, smoothed_ratio
+from churn_engine.functions.exprs import fill_zero, smoothed_ratio, with_exprs
 from churn_engine.operators import derived
 from churn_engine.operators.activity import activity
 from churn_engine.operators.distinct_items import distinct_items
@@ -28,20 +27,16 @@ def _joined(base: DataFrame, *others: DataFrame) -> DataFrame:
 
 def _with_windows(df: DataFrame) -> DataFrame:
     """Names of the distinct counts; a window without any event has no count, not a count of 0."""
-    recent, historical = F.col("recent_events") > 0, F.col("historical_events") > 0
-
-    def count(name: str):
-        return F.coalesce(F.col(name), F.lit(0))
-
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
-            "num_sessions": count("num_sessions"),
-            "sessions_last_7_days": F.when(recent, count("sessions_recent")),
-            "sessions_historical": F.when(historical, count("sessions_in_historical")),
-            "unique_artists": count("artist_seen"),
-            "artists_last_7_days": F.when(recent, count("artist_recent")),
-            "artists_historical": F.when(historical, count("artist_historical")),
-        }
+            "num_sessions": "coalesce(num_sessions, 0L)",
+            "sessions_last_7_days": "IF(recent_events > 0, coalesce(sessions_recent, 0L), NULL)",
+            "sessions_historical": "IF(historical_events > 0, coalesce(sessions_in_historical, 0L), NULL)",
+            "unique_artists": "coalesce(artist_seen, 0L)",
+            "artists_last_7_days": "IF(recent_events > 0, coalesce(artist_recent, 0L), NULL)",
+            "artists_historical": "IF(historical_events > 0, coalesce(artist_historical, 0L), NULL)",
+        },
     )
 
 
@@ -52,18 +47,19 @@ def _base(events: DataFrame, snapshots: Snapshots, items: list[str], *more: Data
 
 def _features_v0(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     df = _base(events, snapshots, ["artist"])
-    return df.withColumns(
+    return with_exprs(
+        df,
         {
-            "level": F.col("level_mode"),
-            "avg_session_length_seconds": F.col("avg_session_length"),
-            "songs_per_day": smoothed_ratio(F.col("num_songs_played"), F.col("days_active")),
-            "sessions_per_day": smoothed_ratio(F.col("num_sessions"), F.col("days_active")),
-        }
+            "level": "level_mode",
+            "avg_session_length_seconds": "avg_session_length",
+            "songs_per_day": smoothed_ratio("num_songs_played", "days_active"),
+            "sessions_per_day": smoothed_ratio("num_sessions", "days_active"),
+        },
     ).select(*KEYS, *FEATURES_V0, *CARRIED)
 
 
 def _ratios(df: DataFrame, snapshots: Snapshots) -> DataFrame:
-    df = df.withColumn("unique_songs", F.coalesce(F.col("song_seen"), F.lit(0)))
+    df = with_exprs(df, {"unique_songs": "coalesce(song_seen, 0L)"})
     return derived.page_ratios(derived.activity_ratios(df, snapshots.recent_days))
 
 

@@ -15,7 +15,7 @@ def item_in_session(log: DataFrame) -> DataFrame:
     sorted together, so a session of any length is spread over tasks.
     """
     session = ["userId", "sessionId"]
-    log = log.withColumn("_minute", floor_div(F.col("ts_us"), 60_000_000))
+    log = log.withColumn("_minute", F.expr(floor_div("ts_us", 60_000_000)))
     earlier = Window.partitionBy(*session).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         log.groupBy(*session, "_minute")
@@ -83,8 +83,8 @@ def events_as_log(spark: SparkSession, sf_dir: str, with_item: bool = True) -> D
         "event_id",
         "ts_us",
         F.when((kind == "view") & (kk >= 97), "").otherwise(F.col("user_id").cast("string")).alias("userId"),
-        (F.col("user_id") * 1000 + F.pmod(floor_div(F.col("ts_us"), 18_000_000_000), F.lit(1000))).alias("sessionId"),
-        floor_div(F.col("ts_us"), 1000).alias("ts"),
+        (F.col("user_id") * 1000 + F.expr(f"pmod({floor_div('ts_us', 18_000_000_000)}, 1000)")).alias("sessionId"),
+        F.expr(floor_div("ts_us", 1000)).alias("ts"),
         F.expr("TIMESTAMP_NTZ '2023-06-01 09:30:00' + make_dt_interval(CAST(user_id % 200 AS INT))").alias("registration"),
         F.when(F.col("user_id") % 2 == 0, "F").otherwise("M").alias("gender"),
         F.when(kk == 50, None).when(paid, "paid").otherwise("free").alias("level"),
