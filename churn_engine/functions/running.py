@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,11 +32,13 @@ def running_total(
         parent = [*by, *names[:i]]
         sums = out.groupBy(*prefix).agg(*[F.sum(col).alias(f"_s_{new}") for new, col in totals.items()])
         earlier = Window.partitionBy(*(parent or [F.lit(0)])).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        keys = {column: f"_k{i}_{column}" for column in prefix}
         offsets = sums.select(
-            *prefix,
+            *[F.col(column).alias(key) for column, key in keys.items()],
             *[F.coalesce(F.sum(f"_s_{new}").over(earlier), F.lit(0)).alias(f"_o{i}_{new}") for new in totals],
         )
-        result = result.join(F.broadcast(offsets) if i == 0 else offsets, prefix)
+        same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(key)) for column, key in keys.items()])
+        result = result.join(F.broadcast(offsets) if i == 0 else offsets, same).drop(*keys.values())
         before = {new: before[new] + F.col(f"_o{i}_{new}") for new in totals}
     inside = Window.partitionBy(*by, *names).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     result = result.withColumns({new: before[new] + F.sum(col).over(inside) for new, col in totals.items()})

@@ -46,7 +46,7 @@ def clean_events(raw: DataFrame) -> DataFrame:
         "page",
         "artist",
         "song",
-        "length",
+        F.nanvl(F.col("length"), F.lit(None).cast("double")).alias("length"),
         F.coalesce(F.col("page") == SONG_PAGE, F.lit(False)).cast("int").alias("song_played"),
     )
 
