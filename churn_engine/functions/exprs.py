@@ -33,11 +33,10 @@ def with_exprs(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
-def fill_zero(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
-    """NULL to 0 in numeric columns only."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    wanted = numeric if names is None else [n for n in names if n in numeric]
-    return df.na.fill(0, subset=wanted) if wanted else df
+def fill_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """NULL to 0 in the named numeric columns the frame has; other columns keep their NULLs."""
+    zero = {f.name: "0D" if isinstance(f.dataType, T.DoubleType) else "0" for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    return with_exprs(df, {n: f"coalesce({n}, {zero[n]})" for n in names if n in zero})
 
 
 def digest(parts: Iterable[Column | str], seed: int) -> Column:

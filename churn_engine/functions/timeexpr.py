@@ -50,8 +50,12 @@ def timestamp_of(ms: str) -> str:
 
 
 def floor_div(value: str, unit: int = DAY_MS) -> str:
-    """Floor division of a BIGINT, also below zero, in integers throughout."""
-    return f"(({value}) - pmod({value}, {unit}L)) div {unit}L"
+    """Floor division of a BIGINT, also below zero.
+
+    The quotient is off by less than half a part in ``unit`` for values below 2**52 (in milliseconds,
+    140,000 years), so its floor is exact.
+    """
+    return f"floor(({value}) / {float(unit)}D)"
 
 
 def days_between(later_ms: str, earlier_ms: str) -> str:

@@ -25,15 +25,14 @@ def tenure(df: DataFrame) -> DataFrame:
     )
 
 
-def activity_ratios(df: DataFrame, recent_days: int = 7) -> DataFrame:
-    """Songs per day, decline, depth, and the downgrade flag."""
+def song_rates(df: DataFrame, recent_days: int = 7) -> DataFrame:
+    """Songs per day, their decline, and the downgrade flag."""
     df = with_exprs(
         df,
         {
             "songs_per_day_overall": smoothed_ratio("num_songs_played", "days_active"),
             "songs_per_day_recent": f"songs_last_7_days / {float(recent_days)}D",
-            "songs_per_session": smoothed_ratio("num_songs_played", "num_sessions"),
-            "artist_diversity": smoothed_ratio("unique_artists", "num_songs_played"),
+            "recent_vs_historical_songs": smoothed_ratio("songs_last_7_days", "songs_historical"),
             "downgraded": flag("level_first = 1 AND level_current = 0"),
         },
     )
@@ -52,17 +51,27 @@ def page_ratios(df: DataFrame) -> DataFrame:
             "engagement_rate": smoothed_ratio(f"{positive} + thumbs_down_count + help_visits", "num_songs_played"),
             "problem_signals": "help_visits + error_count + settings_visits",
             "ads_per_song": smoothed_ratio("ad_count", "num_songs_played"),
+        },
+    )
+
+
+def depth_ratios(df: DataFrame) -> DataFrame:
+    """Songs and actions per session, and artists per song."""
+    return with_exprs(
+        df,
+        {
+            "songs_per_session": smoothed_ratio("num_songs_played", "num_sessions"),
+            "artist_diversity": smoothed_ratio("unique_artists", "num_songs_played"),
             "actions_per_session": smoothed_ratio("total_page_views", "num_sessions"),
         },
     )
 
 
 def recency_ratios(df: DataFrame) -> DataFrame:
-    """Recent windows against historical ones."""
+    """Sessions and artists of the recent window against the historical one."""
     return with_exprs(
         df,
         {
-            "recent_vs_historical_songs": smoothed_ratio("songs_last_7_days", "songs_historical"),
             "recent_vs_historical_sessions": smoothed_ratio("sessions_last_7_days", "sessions_historical"),
             "recent_vs_historical_artists": smoothed_ratio("artists_last_7_days", "artists_historical"),
             "session_length_decline": smoothed_ratio("avg_session_length_recent", "avg_session_length"),

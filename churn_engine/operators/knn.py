@@ -24,6 +24,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churn_engine.session import materialise
+
 # Cut points on the driver; beyond this many ranges, ranges hold several blocks instead.
 MAX_RANGES = 4096
 FOUND = "vid string, neighbour string, d2 double"
@@ -140,7 +142,9 @@ def nearest_neighbours(
     located = _bucket(projected, splits, "p", "range")
     sizes = located.groupBy("range").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")
-    blocks = located.join(sizes, "range").withColumn("part", part).select("vid", "ids", "x", "p", "range", "part")
+    blocks = materialise(
+        located.join(sizes, "range").withColumn("part", part).select("vid", "ids", "x", "p", "range", "part")
+    )
     bounds = (
         blocks.select("range", "part", "vid", "ids", "x")
         .groupBy("range", "part")
@@ -155,11 +159,12 @@ def nearest_neighbours(
         .join(bounds, "vid")
         .withColumns({"_low": F.col("p") - F.col("radius") - slack, "_high": F.col("p") + F.col("radius") + slack})
     )
-    reach = _bucket(_bucket(open_ends, splits, "_low", "_from"), splits, "_high", "_to")
+    reach = materialise(
+        _bucket(_bucket(open_ends, splits, "_low", "_from"), splits, "_high", "_to").select("vid", "x", "_from", "_to")
+    )
     visits = (
         reach.select("vid", "x", F.explode(F.sequence("_from", "_to")).alias("range"))
-        .join(sizes, "range")
-        .select("vid", "x", "range", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        .join(blocks.select("range", "part").distinct(), "range")
     )
     crowds = visits.groupBy("range", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("groups"))
     seat = F.pmod(F.xxhash64("vid", F.lit(7)), F.col("groups")).cast("int")
@@ -181,7 +186,7 @@ def nearest_neighbours(
     )
     own = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d2"), i.alias("id")))
     empty = F.filter(own, lambda c: F.lit(False))
-    lists = vectors.join(others, "vid", "left").select(
+    lists = blocks.join(others, "vid", "left").select(
         "x", F.array_sort(F.concat(own, F.coalesce(F.col("far"), empty))).alias("near")
     )
     ranked = members.join(lists, "x").select(

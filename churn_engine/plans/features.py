@@ -1,4 +1,8 @@
-"""The three feature sets: one row per (userId, obs_date)."""
+"""The three feature sets: one row per (userId, obs_date).
+
+Each side computes what it can on its own, in its own stage; only ratios across sides come after the
+joins. That keeps the generated code of every stage small enough to be compiled by the JVM.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from churn_engine.functions.exprs import fill_zero, smoothed_ratio, with_exprs
 from churn_engine.operators import derived
-from churn_engine.operators.activity import activity
+from churn_engine.operators.activity import PAGE_HITS, activity
 from churn_engine.operators.distinct_items import distinct_items
 from churn_engine.operators.session_activity import session_activity, session_trend
 from churn_engine.operators.snapshots import Snapshots
@@ -21,7 +25,8 @@ def _per_pass(build: Callable[[DataFrame, Snapshots], DataFrame], events: DataFr
 
 
 def _joined(base: DataFrame, *others: DataFrame) -> DataFrame:
-    """All sides are aggregated by the same keys, so they are co-partitioned already."""
+    """All sides are aggregated by the same keys, so they are co-partitioned already. A later side does
+    not repeat a column of an earlier one."""
     return reduce(lambda left, right: left.join(right, KEYS, "left"), others, base)
 
 
@@ -40,54 +45,66 @@ def _with_windows(df: DataFrame) -> DataFrame:
     )
 
 
-def _base(events: DataFrame, snapshots: Snapshots, items: list[str], *more: DataFrame) -> DataFrame:
-    sides = [session_activity(events, snapshots), distinct_items(events, snapshots, items), *more]
-    return derived.tenure(_with_windows(_joined(activity(events, snapshots), *sides)))
-
-
 def _features_v0(events: DataFrame, snapshots: Snapshots) -> DataFrame:
-    df = _base(events, snapshots, ["artist"])
-    return with_exprs(
-        df,
+    own = with_exprs(
+        derived.tenure(activity(events, snapshots)),
+        {"level": "level_mode", "songs_per_day": smoothed_ratio("num_songs_played", "days_active")},
+    )
+    sides = [session_activity(events, snapshots), distinct_items(events, snapshots, ["artist"])]
+    df = with_exprs(
+        _with_windows(_joined(own, *sides)),
         {
-            "level": "level_mode",
             "avg_session_length_seconds": "avg_session_length",
-            "songs_per_day": smoothed_ratio("num_songs_played", "days_active"),
             "sessions_per_day": smoothed_ratio("num_sessions", "days_active"),
         },
     ).select(*KEYS, *FEATURES_V0, *CARRIED)
+    return fill_zero(df, FEATURES_V0)
+
+
+def _features(
+    events: DataFrame, snapshots: Snapshots, names: list[str], fill: bool, extra: Callable | None = None
+) -> DataFrame:
+    own = derived.tenure(activity(events, snapshots))
+    own = derived.risk_score(derived.days_since(derived.song_rates(own, snapshots.recent_days)))
+    mine = [n for n in names if n in own.columns]
+    final = [n for n in mine if n not in PAGE_HITS]
+    own = own.select(*KEYS, "recent_events", "historical_events", *mine, *CARRIED)
+    if fill:  # nothing after the joins needs these as unknown
+        own = fill_zero(own, final)
+    sides = [session_activity(events, snapshots), distinct_items(events, snapshots, ["artist", "song"])]
+    if extra is not None:
+        sides.append(extra(events, snapshots))
+    df = with_exprs(_with_windows(_joined(own, *sides)), {"unique_songs": "coalesce(song_seen, 0L)"})
+    df = derived.recency_ratios(derived.depth_ratios(derived.page_ratios(df))).select(*KEYS, *names, *CARRIED)
+    return fill_zero(df, [n for n in names if n not in final]) if fill else df
 
 
-def _ratios(df: DataFrame, snapshots: Snapshots) -> DataFrame:
-    df = with_exprs(df, {"unique_songs": "coalesce(song_seen, 0L)"})
-    return derived.page_ratios(derived.activity_ratios(df, snapshots.recent_days))
+def _features_v1(events: DataFrame, snapshots: Snapshots) -> DataFrame:
+    return _features(events, snapshots, FEATURES_V1, fill=True)
 
 
-def _features_v1(events: DataFrame, snapshots: Snapshots) -> DataFrame:
-    df = _base(events, snapshots, ["artist", "song"])
-    return _ratios(df, snapshots).select(*KEYS, *FEATURES_V1, *CARRIED)
+def _features_v2(events: DataFrame, snapshots: Snapshots) -> DataFrame:
+    return _features(events, snapshots, FEATURES_V2, fill=True, extra=session_trend)
 
 
 def unfilled_v2(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Features 1-65 of one pass with NULLs still in place."""
-    df = _base(events, snapshots, ["artist", "song"], session_trend(events, snapshots))
-    df = derived.days_since(derived.recency_ratios(_ratios(df, snapshots)))
-    return derived.risk_score(df).select(*KEYS, *FEATURES_V2, *CARRIED)
+    return _features(events, snapshots, FEATURES_V2, fill=False, extra=session_trend)
 
 
 def features_v0(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """The first, small feature set (level by mode)."""
-    return fill_zero(_per_pass(_features_v0, events, snapshots))
+    return _per_pass(_features_v0, events, snapshots)
 
 
 def features_v1(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Features 1-42. ``events`` is the whole cleaned log: the cut at each date happens here."""
-    return fill_zero(_per_pass(_features_v1, events, snapshots))
+    return _per_pass(_features_v1, events, snapshots)
 
 
 def features_v2(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Features 1-65. ``events`` is the whole cleaned log: the cut at each date happens here."""
-    return fill_zero(_per_pass(unfilled_v2, events, snapshots))
+    return _per_pass(_features_v2, events, snapshots)
 
 
 FEATURE_SETS = {"v0": features_v0, "v1": features_v1, "v2": features_v2}
