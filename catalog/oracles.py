@@ -58,7 +58,7 @@ clean AS (
     CASE level WHEN 'free' THEN 0 WHEN 'paid' THEN 1 END AS level,
     page, artist, song, length,
     CASE WHEN page = 'NextSong' THEN 1 ELSE 0 END AS song_played,
-    (max(ts) OVER (PARTITION BY userId, sessionId) - min(ts) OVER (PARTITION BY userId, sessionId)) / 1000.0 AS session_length
+    max(ts) OVER (PARTITION BY userId, sessionId) - min(ts) OVER (PARTITION BY userId, sessionId) AS session_ms
   FROM log WHERE userId <> ''
 )"""
 )
@@ -67,17 +67,17 @@ clean AS (
 def snap(grid: str = GRID, cutoff: bool = True, asof_sessions: bool = False) -> str:
     """CTE chain up to the table of (event, obs_date)."""
     length = (
-        "(max(c.ts_ms) OVER (PARTITION BY c.userId, c.sessionId, g.obs_date)"
-        " - min(c.ts_ms) OVER (PARTITION BY c.userId, c.sessionId, g.obs_date)) / 1000.0"
+        "max(c.ts_ms) OVER (PARTITION BY c.userId, c.sessionId, g.obs_date)"
+        " - min(c.ts_ms) OVER (PARTITION BY c.userId, c.sessionId, g.obs_date)"
         if asof_sessions
-        else "c.session_length"
+        else "c.session_ms"
     )
     on = "c.ts <= g.obs_date" if cutoff else "true"
     return (
         CLEAN
         + f""",
 snap AS (
-  SELECT c.* EXCLUDE (session_length), {length} AS session_length, g.obs_date, epoch_ms(g.obs_date) AS obs_ms,
+  SELECT c.* EXCLUDE (session_ms), {length} AS session_ms, g.obs_date, epoch_ms(g.obs_date) AS obs_ms,
     c.ts >= g.obs_date - INTERVAL 7 DAY AS recent,
     c.ts >= g.obs_date - INTERVAL 30 DAY AND c.ts < g.obs_date - INTERVAL 14 DAY AS old,
     floor((epoch_ms(g.obs_date) - c.ts_ms) / 86400000.0) AS days_ago
@@ -86,6 +86,11 @@ snap AS (
     )
 
 
+def r(value: str) -> str:
+    """6 places, half up with slack (the rule of the registered queries)."""
+    return f"floor(CAST({value} AS DOUBLE) * 1e6 + CAST(0.5001 AS DOUBLE)) / 1e6"
+
+
 def _days(col: str) -> str:
     return f"floor((obs_ms - {col}) / 86400000.0)"
 
@@ -127,14 +132,14 @@ base AS (
     count(DISTINCT sessionId) AS num_sessions,
     max(itemInSession) AS max_item_in_session,
     min(ts) AS ts_min, max(ts) AS ts_max, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms,
-    avg(session_length) AS avg_session_length,
+    sum(session_ms) / (count(*) * 1e3) AS avg_session_length,
     sum(song_played) AS num_songs_played,
     count(DISTINCT artist) AS unique_artists, count(DISTINCT song) AS unique_songs,
     coalesce(sum(length), 0) AS total_length, avg(length) AS avg_song_length,
     sum(song_played) FILTER (WHERE recent) AS songs_last_7_days,
     CASE WHEN bool_or(recent) THEN count(DISTINCT sessionId) FILTER (WHERE recent) END AS sessions_last_7_days,
     CASE WHEN bool_or(recent) THEN count(DISTINCT artist) FILTER (WHERE recent) END AS artists_last_7_days,
-    avg(session_length) FILTER (WHERE recent) AS avg_session_length_recent,
+    sum(session_ms) FILTER (WHERE recent) / (count(*) FILTER (WHERE recent) * 1e3) AS avg_session_length_recent,
     sum(song_played) FILTER (WHERE old) AS songs_historical,
     CASE WHEN bool_or(old) THEN count(DISTINCT sessionId) FILTER (WHERE old) END AS sessions_historical,
     CASE WHEN bool_or(old) THEN count(DISTINCT artist) FILTER (WHERE old) END AS artists_historical,
@@ -144,7 +149,7 @@ base AS (
     max(ts_ms) FILTER (WHERE page = 'Help') AS last_help,
     max(ts_ms) FILTER (WHERE page IN ('Downgrade', 'Submit Downgrade')) AS last_downgrade,
     sum(song_played * exp(-days_ago / 7)) / (sum(exp(-days_ago / 7)) + 1) AS weighted_songs,
-    arg_max(session_length, ts_ms) AS last_session_length
+    arg_max(session_ms, ts_ms) / 1e3 AS last_session_length
   FROM snap GROUP BY userId, obs_date
 ),
 firsts AS (
@@ -278,7 +283,7 @@ def column(name: str, fill: bool = True, digits: bool = True) -> str:
     kind = "INTEGER" if name in INTS else "DOUBLE" if name in DOUBLES else "BIGINT"
     value = f"coalesce({name}, 0)" if fill else name
     value = f"CAST({value} AS {kind})"
-    return f"round({value}, 6) AS {name}" if kind == "DOUBLE" and digits else f"{value} AS {name}"
+    return f"{r(value)} AS {name}" if kind == "DOUBLE" and digits else f"{value} AS {name}"
 
 
 def columns(names: list[str], fill: bool = True, digits: bool = True) -> str:
@@ -373,7 +378,11 @@ area AS (
 )"""
 )
 
-R6 = "round({0}, 6) AS {0}"
+
+
+def r_as(name: str) -> str:
+    return f"{r(name)} AS {name}"
+
 
 MINORITY = (
     labelled(V1)
@@ -412,14 +421,14 @@ made AS (
 
 
 def _round_all(names: list[str]) -> str:
-    return ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in names)
+    return ", ".join(r_as(c) for c in names)
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "raw_log": f"WITH {LOG} SELECT * FROM log",
-        "clean_events": f"WITH {CLEAN} SELECT * EXCLUDE (session_length, ts_ms) FROM clean",
-        "session_length": f"WITH {CLEAN} SELECT userId, sessionId, ts, round(session_length, 6) AS session_length FROM clean",
+        "clean_events": f"WITH {CLEAN} SELECT * EXCLUDE (session_ms, ts_ms) FROM clean",
+        "session_length": f"WITH {CLEAN} SELECT userId, sessionId, ts, {r('session_ms / 1e3')} AS session_length FROM clean",
         "snapshot_fanout": f"WITH {snap()} SELECT userId, sessionId, ts, page, obs_date FROM snap",
         "churned_users": f"WITH {CLEAN} SELECT DISTINCT userId FROM clean WHERE page = 'Cancellation Confirmation'"
         " AND ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'",
@@ -427,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
         "labels": f"WITH {snap()}{LABELS} SELECT * FROM labels",
         "labels_without_churned": f"""WITH {snap()}{LABELS} SELECT * FROM labels l WHERE NOT EXISTS (
             SELECT 1 FROM clean c WHERE c.userId = l.userId AND c.page = 'Cancellation Confirmation' AND c.ts <= l.obs_date)""",
-        "snapshot_report": f"WITH {snap()}{LABELS} SELECT obs_date, count(*) AS users, round(avg(churned), 6) AS churn_rate FROM labels GROUP BY obs_date",
+        "snapshot_report": f"WITH {snap()}{LABELS} SELECT obs_date, count(*) AS users, {r('avg(churned)')} AS churn_rate FROM labels GROUP BY obs_date",
         "user_base": feature_query(V1[:12]),
         "recent_activity": feature_query(
             ["songs_last_7_days", "sessions_last_7_days", "artists_last_7_days", "avg_session_length_recent"], fill=False
@@ -460,13 +469,13 @@ def oracle_sql() -> dict[str, str]:
         "scoring_set_no_cutoff": feature_query(V2, grid=SCORING_GRID, cutoff=False),
         "class_weights": f"""WITH {snap()}{LABELS}, c AS (
             SELECT count(*) FILTER (WHERE churned = 0) AS negatives, count(*) FILTER (WHERE churned = 1) AS positives FROM labels)
-          SELECT negatives, positives, round(negatives / positives, 6) AS positive_weight,
-            round((negatives + positives) / (2 * negatives), 6) AS balanced_weight_0,
-            round((negatives + positives) / (2 * positives), 6) AS balanced_weight_1 FROM c""",
+          SELECT negatives, positives, {r('negatives / positives')} AS positive_weight,
+            {r('(negatives + positives) / (2 * negatives)')} AS balanced_weight_0,
+            {r('(negatives + positives) / (2 * positives)')} AS balanced_weight_1 FROM c""",
         "row_weights": f"""WITH {snap()}{LABELS}, c AS (
             SELECT count(*) AS n, count(*) FILTER (WHERE churned = 0) AS n0, count(*) FILTER (WHERE churned = 1) AS n1 FROM labels)
-          SELECT userId, obs_date, churned, round(CASE churned WHEN 1 THEN n / (2 * n1) ELSE n / (2 * n0) END, 6) AS balanced,
-            round(CASE churned WHEN 1 THEN n0 / n1 ELSE 1 END, 6) AS positive FROM labels, c""",
+          SELECT userId, obs_date, churned, {r('CASE churned WHEN 1 THEN n / (2 * n1) ELSE n / (2 * n0) END')} AS balanced,
+            {r('CASE churned WHEN 1 THEN n0 / n1 ELSE 1 END')} AS positive FROM labels, c""",
         "hash_split": f"""WITH {snap()}{LABELS} SELECT *, CAST({uniform(f"md5({KEY} || '|42')")} < 0.2 AS INTEGER) AS is_test FROM labels""",
         "stratified_folds": f"""WITH {snap()}{LABELS}
           SELECT *, CAST((row_number() OVER (PARTITION BY churned ORDER BY md5({KEY} || '|42')) - 1) % 5 AS INTEGER) AS fold FROM labels""",
@@ -474,7 +483,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT *, CAST((row_number() OVER (ORDER BY md5({KEY} || '|42')) - 1) % 3 AS INTEGER) AS fold FROM labels""",
         "user_folds": f"""WITH {snap()}{LABELS}
           SELECT *, CAST(floor({uniform("md5(CAST(userId AS VARCHAR) || '|42')")} * 5) AS INTEGER) AS fold FROM labels""",
-        "smote_neighbours": f"WITH {MINORITY} SELECT id, neighbour, rank, round(distance, 6) AS distance FROM near",
+        "smote_neighbours": f"WITH {MINORITY} SELECT id, neighbour, rank, {r('distance')} AS distance FROM near",
         "smote_resample": f"""WITH {SYNTHETIC}
           SELECT {KEY} AS id, {_round_all(V1)}, churned, 0 AS is_synthetic FROM rows
           UNION ALL SELECT 'synthetic|' || s, {_round_all(V1)}, 1, 1 FROM made""",
@@ -486,15 +495,15 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT model, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per_class GROUP BY model
           UNION ALL SELECT model, 'weighted avg', precision, recall, f1, support FROM weighted
           UNION ALL SELECT model, 'accuracy', accuracy, accuracy, accuracy, support FROM accuracies)
-          SELECT model, class, {R6.format("precision")}, {R6.format("recall")}, {R6.format("f1")}, support FROM report""",
+          SELECT model, class, {r_as("precision")}, {r_as("recall")}, {r_as("f1")}, support FROM report""",
         "model_metrics": f"""WITH {RULES}
-          SELECT w.model, {R6.format("accuracy")}, round(w.precision, 6) AS precision, round(w.recall, 6) AS recall, round(w.f1, 6) AS f1,
-            round(c.f1, 6) AS f1_positive
+          SELECT w.model, {r_as("accuracy")}, {r('w.precision')} AS precision, {r('w.recall')} AS recall, {r('w.f1')} AS f1,
+            {r('c.f1')} AS f1_positive
           FROM weighted w JOIN accuracies USING (model) JOIN per_class c ON c.model = w.model AND c.class = '1'""",
-        "roc_curve": f"WITH {RULES} SELECT model, {R6.format('threshold')}, {R6.format('fpr')}, {R6.format('tpr')} FROM points WHERE isfinite(threshold)",
-        "roc_auc": f"WITH {RULES} SELECT model, {R6.format('auc')} FROM area",
-        "predicted_rate": f"WITH {RULES} SELECT model, count(*) AS rows, round(avg(prediction), 6) AS predicted_rate FROM predicted GROUP BY model",
-        "threshold_score": f"WITH {RULES} SELECT model, userId, obs_date, round(score, 6) AS score, prediction FROM predicted",
+        "roc_curve": f"WITH {RULES} SELECT model, {r_as('threshold')}, {r_as('fpr')}, {r_as('tpr')} FROM points WHERE isfinite(threshold)",
+        "roc_auc": f"WITH {RULES} SELECT model, {r_as('auc')} FROM area",
+        "predicted_rate": f"WITH {RULES} SELECT model, count(*) AS rows, {r('avg(prediction)')} AS predicted_rate FROM predicted GROUP BY model",
+        "threshold_score": f"WITH {RULES} SELECT model, userId, obs_date, {r('score')} AS score, prediction FROM predicted",
         "submission": f"WITH {RULES} SELECT userId AS id, prediction AS target FROM predicted WHERE model = 'risk_rule' AND obs_date = TIMESTAMP '2024-01-20'",
         "submission_renamed": f"WITH {RULES} SELECT userId, prediction FROM predicted WHERE model = 'risk_rule' AND obs_date = TIMESTAMP '2024-01-20'",
         "threshold_sweep": f"""WITH {RULES}, t AS (SELECT unnest([0.0001, 0.005, 0.015, 0.12, 0.45, 0.47, 0.5, 0.54])::DOUBLE AS threshold),
@@ -502,12 +511,12 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (WHERE label = 0 AND score <= threshold) AS tn, count(*) FILTER (WHERE label = 0 AND score > threshold) AS fp,
             count(*) FILTER (WHERE label = 1 AND score <= threshold) AS fn, count(*) FILTER (WHERE label = 1 AND score > threshold) AS tp
             FROM predicted, t GROUP BY model, threshold)
-          SELECT model, threshold, tn, fp, fn, tp, round((tp + fp) / (tn + fp + fn + tp), 6) AS predicted_rate,
-            round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-            round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM k""",
+          SELECT model, threshold, tn, fp, fn, tp, {r('(tp + fp) / (tn + fp + fn + tp)')} AS predicted_rate,
+            {r('coalesce(tp / nullif(tp + fp, 0), 0)')} AS precision, {r('coalesce(tp / nullif(tp + fn, 0), 0)')} AS recall,
+            {r('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1 FROM k""",
         "model_comparison": f"""WITH {RULES}
-          SELECT w.model, {R6.format("accuracy")}, round(w.precision, 6) AS precision, round(w.recall, 6) AS recall, round(w.f1, 6) AS f1,
-            round(c.f1, 6) AS f1_positive, a.seq, round(auc, 6) AS auc,
+          SELECT w.model, {r_as("accuracy")}, {r('w.precision')} AS precision, {r('w.recall')} AS recall, {r('w.f1')} AS f1,
+            {r('c.f1')} AS f1_positive, a.seq, {r('auc')} AS auc,
             CAST(row_number() OVER (ORDER BY accuracy DESC, a.seq) = 1 AS INTEGER) AS is_best
           FROM weighted w JOIN accuracies a USING (model) JOIN per_class c ON c.model = w.model AND c.class = '1' JOIN area ON area.model = w.model""",
     }

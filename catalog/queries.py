@@ -30,8 +30,11 @@ RULE_THRESHOLDS = {"risk_rule": 0.47, "inactivity": 0.12, "help_share": 0.015}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to 6 places for comparison: half up, with slack far above the noise of a sum taken in
+    another order, so that exact ties round the same way on every engine. Never gives -0.0."""
+    short = {c: F.floor(F.col(c) * 1e6 + 0.5001) / 1e6 for c, t in df.dtypes if t == "double"}
+    return df.withColumns(short) if short else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def session_activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     by_date = (
         per_session.selectExpr("userId", "start_ms", "end_ms", f"inline(array({rows}))")
         .where("n > 0")
-        .withColumn("length", F.expr(f"({end} - start_ms) / 1000D"))
+        .withColumn("span_ms", F.expr(f"{end} - start_ms"))
     )
     return by_date.groupBy("userId", "obs_date").agg(
         *aggregates(
@@ -58,10 +58,11 @@ def session_activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
                 "num_sessions": "count(1)",
                 "sessions_recent": "count_if(n_recent > 0)",
                 "sessions_in_historical": "count_if(in_historical)",
-                "avg_session_length": "sum(n * length) / sum(n)",
-                "avg_session_length_recent": "try_divide(sum(n_recent * length), sum(n_recent))",
+                # Whole milliseconds until the division: no summing order can change the result.
+                "avg_session_length": "sum(n * span_ms) / (sum(n) * 1000D)",
+                "avg_session_length_recent": "try_divide(sum(n_recent * span_ms), sum(n_recent) * 1000D)",
                 "weighted_sessions": f"sum({snapshots.decay(days_between('obs_ms', 'start_ms'))})",
-                "last_session_length": "max_by(length, last)",
+                "last_session_length": "max_by(span_ms, last) / 1000D",
             }
         )
     )

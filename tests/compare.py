@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 TABLES = (
@@ -22,7 +23,7 @@ def _kinds(table) -> dict[str, str]:
     return {f.name: names.get(str(f.type), str(f.type)) for f in table.schema}
 
 
-def differences(spark_df, con, sql: str, tolerance: float = 2e-6) -> list[str]:
+def differences(spark_df, con, sql: str, tolerance: float = 0.0) -> list[str]:
     """Human-readable differences in columns, types, row count and values; empty if equal."""
     left = spark_df.toArrow()
     right = con.sql(sql).to_arrow_table()
@@ -40,6 +41,7 @@ def differences(spark_df, con, sql: str, tolerance: float = 2e-6) -> list[str]:
     for c in names:
         if pd.api.types.is_float_dtype(x[c]) and pd.api.types.is_float_dtype(y[c]):
             wrong = ((x[c] - y[c]).abs() > tolerance) | (x[c].isna() != y[c].isna())
+            wrong |= np.signbit(x[c]) != np.signbit(y[c])  # also -0.0 against 0.0
         else:
             wrong = (x[c].astype(object) != y[c].astype(object)) & ~(x[c].isna() & y[c].isna())
         if wrong.any():
