@@ -92,9 +92,8 @@ def brute_force(ids, x, k):
     }
 
 
-@pytest.mark.parametrize("block", [1000, 30])
-@pytest.mark.parametrize("shape", ["spread", "copies", "line"])
-def test_neighbours_equal_brute_force(spark, block, shape):
+@pytest.mark.parametrize("shape, block", [("spread", 1000), ("spread", 30), ("copies", 30), ("line", 30)])
+def test_neighbours_equal_brute_force(spark, shape, block):
     rng = np.random.default_rng(5)
     n = 240
     x = np.round(rng.normal(size=(n, 4)) * [50, 5, 1, 0.1], 3)
