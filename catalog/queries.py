@@ -212,7 +212,7 @@ def queries() -> dict[str, Query]:
             lambda ev: smote.smote_neighbours(materialise(rounded(training_set(ev, TRAINING, "v1"))), FEATURES_V1)
         ),
         "smote_resample": _on_events(
-            lambda ev: smote.smote_resample(materialise(rounded(training_set(ev, TRAINING, "v1"))), FEATURES_V1)
+            lambda ev: smote.smote_resample(rounded(training_set(ev, TRAINING, "v1")), FEATURES_V1)
         ),
         "confusion_matrix": _on_events(lambda ev: metrics.confusion_matrix(_rules(ev))),
         "classification_report": _on_events(lambda ev: metrics.classification_report(_rules(ev))),

@@ -227,7 +227,8 @@ def search(
 
     Rows, folds and class weights are materialised once; MLlib reads that table in every fit.
     """
-    marked = stratified_folds(rows.select(*key, *features, label), folds, seed, key, label)
+    rows = materialise(rows.select(*key, *features, label))  # folds and weights read it several times
+    marked = stratified_folds(rows, folds, seed, key, label)
     schemes = {c.get("scale_pos_weight", c.get("class_weight")) for c in candidates}
     for scheme in sorted(schemes, key=str):
         marked = with_class_weight(marked, scheme, label, _weight_column(scheme))

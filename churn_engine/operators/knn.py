@@ -15,11 +15,13 @@ The work depends on how well the line separates the data; the answer does not.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from math import ceil
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,10 @@ from churn_engine.session import materialise
 
 # Cut points on the driver; beyond this many ranges, ranges hold several blocks instead.
 MAX_RANGES = 4096
+
+# Executors need not have this package: the two task functions travel with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FOUND = "vid string, neighbour string, d2 double"
 
 
@@ -129,7 +135,7 @@ def nearest_neighbours(
     # 1. Distinct vectors; the rank filter is applied before and after the shuffle (group limit).
     copies = Window.partitionBy("x").orderBy("id")
     heads = members.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1)
-    vectors = (
+    vectors = materialise(
         heads.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("vid", F.col("ids")[0])
     )
 
@@ -142,8 +148,10 @@ def nearest_neighbours(
     located = _bucket(projected, splits, "p", "range")
     sizes = located.groupBy("range").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")
-    blocks = materialise(
-        located.join(sizes, "range").withColumn("part", part).select("vid", "ids", "x", "p", "range", "part")
+    blocks = (
+        located.join(F.broadcast(sizes), "range")  # at most MAX_RANGES rows
+        .withColumn("part", part)
+        .select("vid", "ids", "x", "p", "range", "part")
     )
     bounds = (
         blocks.select("range", "part", "vid", "ids", "x")
@@ -168,13 +176,20 @@ def nearest_neighbours(
     )
     crowds = visits.groupBy("range", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("groups"))
     seat = F.pmod(F.xxhash64("vid", F.lit(7)), F.col("groups")).cast("int")
-    key = ["range", "part", "seat"]
     visitors = visits.join(crowds, ["range", "part"]).select("range", "part", seat.alias("seat"), "vid", "x")
     hosts = blocks.join(crowds, ["range", "part"]).select(
-        "range", "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("seat"),
-        F.col("vid").alias("host"), "ids", F.col("x").alias("host_x"),
+        F.col("range").alias("host_range"),
+        F.col("part").alias("host_part"),
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("host_seat"),
+        F.col("vid").alias("host"),
+        "ids",
+        F.col("x").alias("host_x"),
+    )
+    found = (
+        visitors.groupBy("range", "part", "seat")
+        .cogroup(hosts.groupBy("host_range", "host_part", "host_seat"))
+        .applyInPandas(_search(k), FOUND)
     )
-    found = visitors.groupBy(*key).cogroup(hosts.groupBy(*key)).applyInPandas(_search(k), FOUND)
 
     # 5. Merge, then give every member its list: its own copies first, itself left out.
     closest = Window.partitionBy("vid").orderBy("d2", "neighbour")
@@ -186,7 +201,7 @@ def nearest_neighbours(
     )
     own = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d2"), i.alias("id")))
     empty = F.filter(own, lambda c: F.lit(False))
-    lists = blocks.join(others, "vid", "left").select(
+    lists = vectors.join(others, "vid", "left").select(
         "x", F.array_sort(F.concat(own, F.coalesce(F.col("far"), empty))).alias("near")
     )
     ranked = members.join(lists, "x").select(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churn_engine.functions.running import running_total
+from churn_engine.session import materialise
 
 
 def _cells(scored: DataFrame, prediction: Column | None = None, by: Sequence[str] = ("model",)) -> DataFrame:
@@ -68,18 +69,26 @@ def classification_report(scored: DataFrame) -> DataFrame:
     return _cells(scored).select("model", F.inline(F.array(*rows)))
 
 
-def model_metrics(scored: DataFrame) -> DataFrame:
-    """Per model: accuracy and support-weighted precision, recall, F1, plus F1 of the positive class."""
+def _metrics_of_cells(cells: DataFrame, *keep: str) -> DataFrame:
     zero, one = _both_classes()
     total = zero["support"] + one["support"]
     weighted = {
         m: _safe(zero[m] * zero["support"] + one[m] * one["support"], total).alias(m) for m in ("precision", "recall", "f1")
     }
-    return _cells(scored).select(
-        "model", _safe(F.col("tn") + F.col("tp"), total).alias("accuracy"), *weighted.values(), one["f1"].alias("f1_positive")
+    return cells.select(
+        "model",
+        _safe(F.col("tn") + F.col("tp"), total).alias("accuracy"),
+        *weighted.values(),
+        one["f1"].alias("f1_positive"),
+        *keep,
     )
 
 
+def model_metrics(scored: DataFrame) -> DataFrame:
+    """Per model: accuracy and support-weighted precision, recall, F1, plus F1 of the positive class."""
+    return _metrics_of_cells(_cells(scored))
+
+
 def predicted_rate(scored: DataFrame) -> DataFrame:
     """Share of rows predicted positive."""
     return scored.groupBy("model").agg(F.count(F.lit(1)).alias("rows"), F.avg("prediction").alias("predicted_rate"))
@@ -132,57 +141,78 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame
     )
 
 
-def _curve_counts(scored: DataFrame) -> DataFrame:
-    """Per (model, score): positives and negatives, with running totals from the highest score down."""
+def _by_score(scored: DataFrame) -> DataFrame:
+    """One row per (model, score) with the counts of both classes, stored: what follows reads it
+    several times, and the scored rows only once."""
     y = F.col("label")
-    grouped = scored.groupBy("model", "score").agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+    return materialise(
+        scored.groupBy("model", "score").agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
+
+
+def _running(by_score: DataFrame) -> DataFrame:
+    """Add running totals ``tp`` and ``fp`` from the highest score down."""
     # Two integer prefixes of the (descending) score; scores outside [0, 1) share the end buckets.
     unit = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
     coarse, fine = (-F.floor(unit * F.lit(float(1 << bits))) for bits in (10, 20))
-    return running_total(grouped, {"tp": "pos", "fp": "neg"}, -F.col("score"), [coarse, fine], ["model"])
-
-
-def _class_totals(scored: DataFrame) -> DataFrame:
-    y = F.col("label")
-    return scored.groupBy("model").agg(F.count_if(y == 1).alias("_p"), F.count_if(y == 0).alias("_n"))
+    return running_total(by_score, {"tp": "pos", "fp": "neg"}, -F.col("score"), [coarse, fine], ["model"])
 
 
 def roc_curve(scored: DataFrame) -> DataFrame:
     """One point per distinct score (rows at or above it are positive), and the (0, 0) start at an
     infinite threshold."""
-    points = _curve_counts(scored).join(_class_totals(scored), "model")
+    by_score = _by_score(scored)
+    totals = by_score.groupBy("model").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     tpr = F.try_divide(F.col("tp").cast("double"), F.col("_p"))
     fpr = F.try_divide(F.col("fp").cast("double"), F.col("_n"))
-    start = _class_totals(scored).select(
+    points = _running(by_score).join(totals, "model")
+    start = totals.select(
         "model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.select("model", F.col("score").alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr")).unionByName(start)
 
 
-def roc_auc(scored: DataFrame) -> DataFrame:
-    """Area under the ROC curve; a tie counts one half. NULL when a class is missing."""
-    # Pairs (positive, negative) with the negative scored lower, ties half: at each score its
-    # positives beat the negatives not yet reached.
-    area = _curve_counts(scored).groupBy("model").agg(
+def _area(by_score: DataFrame) -> DataFrame:
+    # Pairs (positive, negative) with the negative scored lower, ties half: the positives of a score
+    # lose against the negatives above it and half of those beside it.
+    sums = _running(by_score).groupBy("model").agg(
         F.sum("pos").alias("_p"),
         F.sum("neg").alias("_n"),
         F.sum(F.col("pos").cast("double") * (F.col("fp") - F.col("neg") / 2.0)).alias("_lost"),
     )
     pairs = F.col("_p").cast("double") * F.col("_n")
-    return area.select("model", F.try_divide(pairs - F.col("_lost"), pairs).alias("auc"))
+    return sums.select("model", F.try_divide(pairs - F.col("_lost"), pairs).alias("auc"))
+
+
+def roc_auc(scored: DataFrame) -> DataFrame:
+    """Area under the ROC curve; a tie counts one half. NULL when a class is missing."""
+    return _area(_by_score(scored))
 
 
 def compare_models(scored: DataFrame) -> DataFrame:
     """Metrics of every model, AUC and whether it is the best by accuracy.
 
-    On equal accuracy the model listed first wins: ``seq`` in the input if present, else the name.
+    On equal accuracy the model listed first wins: ``seq`` in the input if present, else the name. The
+    scored rows are read once and reduced to counts per (model, score, label, prediction).
     """
-    order = scored.groupBy("model").agg((F.min("seq") if "seq" in scored.columns else F.lit(0)).alias("seq"))
-    table = model_metrics(scored).join(order, "model")
-    if "score" in scored.columns:
-        table = table.join(roc_auc(scored), "model", "left")
+    parts = [c for c in ("seq", "score") if c in scored.columns]
+    tally = materialise(scored.groupBy("model", "label", "prediction", *parts).agg(F.count(F.lit(1)).alias("n")))
+    y, p, n = F.col("label"), F.col("prediction"), F.col("n")
+
+    def total(hit: Column) -> Column:
+        return F.sum(F.when(hit, n).otherwise(F.lit(0)))
+
+    cells = tally.groupBy("model").agg(
+        total((y == 0) & (p == 0)).alias("tn"),
+        total((y == 0) & (p == 1)).alias("fp"),
+        total((y == 1) & (p == 0)).alias("fn"),
+        total((y == 1) & (p == 1)).alias("tp"),
+        (F.min("seq") if "seq" in parts else F.lit(0)).alias("seq"),
+    )
+    table = _metrics_of_cells(cells, "seq")
+    if "score" in parts:
+        by_score = tally.groupBy("model", "score").agg(total(y == 1).alias("pos"), total(y == 0).alias("neg"))
+        table = table.join(_area(by_score), "model", "left")
     best = Window.orderBy(F.desc("accuracy"), F.asc("seq"), F.asc("model"))  # one row per model
     return table.withColumn("is_best", (F.row_number().over(best) == 1).cast("int"))
 

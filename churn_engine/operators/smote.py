@@ -12,6 +12,7 @@ from churn_engine.functions.running import md5_rank
 from churn_engine.operators.dataset import train_test_split
 from churn_engine.operators.knn import nearest_neighbours
 from churn_engine.schema import KEYS, LABEL
+from churn_engine.session import materialise
 
 
 def row_id(key: Sequence[str] = KEYS):
@@ -38,7 +39,8 @@ def synthetic_rows(
     k: int = 5,
     seed: int = 42,
 ) -> DataFrame:
-    """(synthetic_id, base, neighbour, gap, features) that bring the positive class to parity.
+    """(synthetic_id, base, neighbour, gap, features) that bring the positive class to parity. ``rows``
+    is read several times and should be stored, as :func:`smote_resample` does.
 
     Row number s draws its base row, one of its neighbours and the gap from an md5 of (s, seed), so a
     lost task redraws the same rows. Only the two class counts come to the driver.
@@ -79,6 +81,7 @@ def smote_resample(
     seed: int = 42,
 ) -> DataFrame:
     """All rows plus the synthetic ones: (id, features as DOUBLE, label, is_synthetic)."""
+    rows = materialise(rows.select(*key, *features, label))  # read for counts, neighbours and values
     originals = rows.select(
         row_id(key).alias("id"),
         *[F.col(c).cast("double").alias(c) for c in features],
