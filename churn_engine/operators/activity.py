@@ -61,7 +61,8 @@ CELL_AGGREGATES = {
 
 
 def aggregates(columns: dict[str, str]) -> list:
-    return [F.expr(text).alias(name) for name, text in columns.items()]
+    """Aggregate columns from SQL text."""
+    return [F.expr(f"{text} AS {name}") for name, text in columns.items()]
 
 
 def activity_cells(events: DataFrame, snapshots: Snapshots) -> DataFrame:

@@ -22,8 +22,6 @@ def build_session(app: str = "churn_engine", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # The JVM never compiles a method above 8000 bytes; let Spark split such a stage instead.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
