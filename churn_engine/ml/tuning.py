@@ -64,7 +64,7 @@ class OnlyIf:
 Space = Mapping[str, Choice | Whole | Real | OnlyIf]
 WEIGHTS = Choice((None, "balanced"))
 
-# The grids and spaces of the reference searches.
+# Parameter grids and search spaces.
 LR_GRID = {"C": [0.01, 1, 5, 50], "penalty": ["l1", "l2"], "class_weight": ["balanced"], "max_iter": [1000]}
 CATBOOST_GRID = {
     "iterations": [200, 300, 500],

@@ -12,7 +12,7 @@ from churn_engine.operators.snapshots import Snapshots
 from churn_engine.plans.features import FEATURE_NAMES, FEATURE_SETS
 from churn_engine.schema import KEYS, LABEL
 
-# The reference dates of the original data.
+# The dates of the original data.
 DEFAULT_TRAINING_GRID = ("2018-10-15", "2018-11-05", 5)
 DEFAULT_SCORING_DATE = "2018-11-20"
 
