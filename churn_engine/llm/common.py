@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +69,27 @@ def pieces(columns: dict[str, np.ndarray | pa.Array]) -> Iterator[pa.RecordBatch
         yield whole.slice(at, OUT_ROWS)
 
 
+def pack(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, body): texts compressed for exchanges; ``unpacked`` undoes it. A null is an empty text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in in_slices(batches, text_col):
+            data, offsets = text_bytes(batch.column(text_col))
+            bodies = [squeeze.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(bodies, pa.binary())], names=[id_col, "body"])
+
+    return rows.select(id_col, text_col).mapInArrow(run, f"`{id_col}` long, body binary")
+
+
+def unpacked(body: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor()
+    return [expand.decompress(x) for x in body.to_pylist()]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and its offsets (one more than rows); a null is an empty text."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     n = len(column)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
-from churn_engine.llm.common import components, in_slices, pieces, small_batches, store, text_bytes
+from churn_engine.llm.common import components, in_slices, pack, pieces, small_batches, store, text_bytes, unpacked
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -48,12 +48,13 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slot_weights(rows: DataFrame) -> np.ndarray:
-    """1 + ln((1 + texts) / (1 + texts with the slot)) per slot: at most ``SLOTS`` numbers reach the driver."""
+    """1 + ln((1 + texts) / (1 + texts with the slot)) per slot, in whole 1/1024 so that sums are exact; at most
+    ``SLOTS`` numbers reach the driver."""
     n = rows.count()
     counted = rows.mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SLOTS)
     out[np.asarray(counted["slot"])] = np.asarray(counted["n"])
-    return (1 + np.log((1 + n) / (1 + out))).astype(np.float32)
+    return np.round(1024 * (1 + np.log((1 + n) / (1 + out)))).astype(np.int32)
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,12 +64,12 @@ def shingles(hashes: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tupl
     n_words = np.diff(first)
     at, text = words.within(first, SHINGLE)
     key = words.joined(hashes, SHINGLE)[at] if len(at) else np.zeros(0, np.uint64)
-    sums = np.concatenate([[0.0], np.cumsum(of_word, dtype=np.float64)])
-    mean = (sums[at + SHINGLE] - sums[at]) / SHINGLE
+    sums = np.concatenate([[0], np.cumsum(of_word, dtype=np.int64)])
+    mean = (sums[at + SHINGLE] - sums[at]) / (1024.0 * SHINGLE)
     short = np.flatnonzero((n_words > 0) & (n_words < SHINGLE))
     if len(short):
         key = np.concatenate([key, [words.joined(hashes[first[i] : first[i + 1]], int(n_words[i]))[0] for i in short]])
-        mean = np.concatenate([mean, [(sums[first[i + 1]] - sums[first[i]]) / n_words[i] for i in short]])
+        mean = np.concatenate([mean, [(sums[first[i + 1]] - sums[first[i]]) / (1024.0 * n_words[i]) for i in short]])
         text = np.concatenate([text, short])
     order = np.lexsort((key, text))
     key, text, mean = key[order], text[order], mean[order]
@@ -76,8 +77,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tupl
     begins = np.flatnonzero(new)
     times = np.diff(np.r_[begins, len(key)])
     index = np.searchsorted(text[begins], np.arange(len(first)))
-    # A running sum depends on the texts before: rounding makes a shingle's weight the same in each text.
-    return key[begins], np.round(mean[begins], 4).astype(np.float32) * times.astype(np.float32), index
+    return key[begins], (mean[begins] * times).astype(np.float32), index
 
 
 class Sampler:
@@ -147,23 +147,6 @@ def _banded(weights: np.ndarray) -> Callable:
     return run
 
 
-def _vectors(weights: np.ndarray) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, "text", 1 << 20):
-            hashes, first = _folded_words(batch.column("text"))
-            key, weight, index = shingles(hashes, first, weights)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array([key[a:b].tobytes() for a, b in zip(index[:-1], index[1:], strict=True)], pa.binary()),
-                    pa.array([weight[a:b].tobytes() for a, b in zip(index[:-1], index[1:], strict=True)], pa.binary()),
-                ],
-                names=["id", "keys", "weights"],
-            )
-
-    return run
-
-
 def jaccard(key_a: np.ndarray, weight_a: np.ndarray, key_b: np.ndarray, weight_b: np.ndarray) -> float:
     """Sum of minima by sum of maxima; the keys are sorted and distinct."""
     at = np.searchsorted(key_b, key_a)
@@ -174,14 +157,21 @@ def jaccard(key_a: np.ndarray, weight_a: np.ndarray, key_b: np.ndarray, weight_b
     return shared / total if total else 0.0
 
 
-def _similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        c = {n: batch.column(n).to_pylist() for n in ("keys_a", "weights_a", "keys_b", "weights_b")}
-        found = [
-            jaccard(np.frombuffer(ka, np.uint64), np.frombuffer(wa, np.float32), np.frombuffer(kb, np.uint64), np.frombuffer(wb, np.float32))
-            for ka, wa, kb, wb in zip(c["keys_a"], c["weights_a"], c["keys_b"], c["weights_b"], strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+def _similarities(weights: np.ndarray) -> Callable:
+    def vector(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+        hashes, first = _folded_words(pa.array([body], pa.binary()))
+        return shingles(hashes, first, weights)[:2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, lead, known = [], None, None
+            for a, left, right in zip(batch.column("a").to_pylist(), unpacked(batch.column("body_a")), unpacked(batch.column("body_b")), strict=True):
+                if a != lead:
+                    lead, known = a, vector(left)
+                found.append(jaccard(*known, *vector(right)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+
+    return run
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -213,14 +203,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = buckets.groupBy("band", "bucket").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = store(buckets.join(least.drop("n"), ["band", "bucket"]))
     star = store(shared.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    # Only texts that are compared are read again, as sorted shingles and weights.
+    # Only texts that are compared travel again, compressed.
     named = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    vectors = store(texts.join(named, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_vectors(weights), "id long, keys binary, weights binary"))
+    bodies = store(pack(texts, "id", "text").join(named, "id", "left_semi").dropDuplicates(["id"]))
 
     def compared(pairs: DataFrame) -> DataFrame:
-        left = vectors.select(F.col("id").alias("a"), F.col("keys").alias("keys_a"), F.col("weights").alias("weights_a"))
-        right = vectors.select(F.col("id").alias("b"), F.col("keys").alias("keys_b"), F.col("weights").alias("weights_b"))
-        return store(pairs.join(left, "a").join(right, "b").mapInArrow(_similarities, "a long, b long, similarity double"))
+        left, right = (bodies.select(F.col("id").alias(c), F.col("body").alias(f"body_{c}")) for c in "ab")
+        return store(pairs.join(right, "b").join(left, "a").mapInArrow(_similarities(weights), "a long, b long, similarity double"))
 
     first = compared(star)
     linked = first.where(F.col("similarity") >= similarity).select("a", "b")

@@ -6,22 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churn_engine.llm import exact_dedup, substring_dedup
+from churn_engine.llm import exact_dedup, near_dedup, substring_dedup, vector_dedup
 from churn_engine.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), texts=False)
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_links(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_near_dedup": op1,
         "op4_substring_dedup": op4,
+        "op5_vector_dedup": op5,
         "op10_exact_dedup": op10,
     }

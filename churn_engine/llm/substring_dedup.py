@@ -13,12 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
-from churn_engine.llm.common import in_slices, pieces, ranges, small_batches, store, text_bytes
+from churn_engine.llm.common import in_slices, pack, pieces, small_batches, store, text_bytes, unpacked
 
 #: A perfect difference set modulo 31, every difference occurs.
 PERIOD = 31
@@ -78,14 +77,6 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None if several[-1] else {c: v[begins[-1] :].copy() for c, v in x.items()}
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for the exchanges."""
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for batch in in_slices(batches, "text"):
-        texts = [squeeze.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "body"])
-
-
 def _window_keys(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of the windows that start at ``at``: 64 bits, and 32 bits more."""
     one = words.joined(hashes, WINDOW)[at]
@@ -95,10 +86,9 @@ def _window_keys(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows that hold a repeated anchor: both hashes, document, start."""
-    expand = zstandard.ZstdDecompressor()
     for batch in batches:
-        for row in range(batch.num_rows):
-            data = np.frombuffer(expand.decompress(batch.column("body")[row].as_py()), np.uint8)
+        for row, body in enumerate(unpacked(batch.column("body"))):
+            data = np.frombuffer(body, np.uint8)
             hashes, first = _hashes(data, np.array([0, len(data)]))
             n = len(hashes) - WINDOW + 1
             if n <= 0:
@@ -155,12 +145,10 @@ def _removed(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
-    expand = zstandard.ZstdDecompressor()
     for batch in batches:
         kept, counts, removed = [], [], []
         keys = batch.column("keys")
-        for row in range(batch.num_rows):
-            body = expand.decompress(batch.column("body")[row].as_py())
+        for row, body in enumerate(unpacked(batch.column("body"))):
             split = body.split()
             counts.append(len(split))
             gone = 0
@@ -203,7 +191,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     anchors = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_anchors, "h long, doc_id long, pos int")
     anchors = anchors.repartition("h").sortWithinPartitions("h", "doc_id")
     shared = anchors.mapInArrow(_repeated, "doc_id long, pos int").groupBy("doc_id").agg(F.collect_list("pos").alias("anchors"))
-    packed = rows.mapInArrow(_packed, "doc_id long, body binary")
+    packed = pack(rows, "doc_id", "text")
     windows = packed.join(shared, "doc_id").mapInArrow(_windows, "h long, doc_id long, key long")
     windows = windows.repartition("h").sortWithinPartitions("h", F.shiftrightunsigned("key", 32), "doc_id")
     later = windows.mapInArrow(_later, "doc_id long, key long").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
