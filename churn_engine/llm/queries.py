@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churn_engine.llm import exact_dedup, near_dedup, substring_dedup, vector_dedup
+from churn_engine.llm import chunked_bpe, exact_dedup, near_dedup, packing, substring_dedup, vector_dedup
 from churn_engine.llm.common import table
 
+#: Where the public vocabulary files are; the same on every machine.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,6 +20,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json", ids=False)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), texts=False)
 
@@ -24,6 +32,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_links(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), f"{TOKENIZERS}/byte_bpe_50k.json", end_id=2)
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -31,7 +43,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1,
+        "op3_chunked_bpe": op3,
         "op4_substring_dedup": op4,
         "op5_vector_dedup": op5,
+        "op9_packing": op9,
         "op10_exact_dedup": op10,
     }

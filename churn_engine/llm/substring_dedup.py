@@ -87,6 +87,7 @@ def _window_keys(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows that hold a repeated anchor: both hashes, document, start."""
     for batch in batches:
+        batch = batch.filter(batch.column("anchors").is_valid())
         for row, body in enumerate(unpacked(batch.column("body"))):
             data = np.frombuffer(body, np.uint8)
             hashes, first = _hashes(data, np.array([0, len(data)]))
@@ -192,7 +193,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     anchors = anchors.repartition("h").sortWithinPartitions("h", "doc_id")
     shared = anchors.mapInArrow(_repeated, "doc_id long, pos int").groupBy("doc_id").agg(F.collect_list("pos").alias("anchors"))
     packed = pack(rows, "doc_id", "text")
-    windows = packed.join(shared, "doc_id").mapInArrow(_windows, "h long, doc_id long, key long")
+    # Both joins are left joins of all texts, so that Spark deals the texts out once and reads that exchange twice.
+    windows = packed.join(shared, "doc_id", "left").mapInArrow(_windows, "h long, doc_id long, key long")
     windows = windows.repartition("h").sortWithinPartitions("h", F.shiftrightunsigned("key", 32), "doc_id")
     later = windows.mapInArrow(_later, "doc_id long, key long").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
