@@ -38,5 +38,36 @@ FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id
 """
 
 
+OP6 = """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), groups AS (
+    SELECT body, max(page_id) AS last_page FROM rows WHERE payload_bytes >= 1000 GROUP BY body
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(r.body) AS payload_digest,
+       CASE WHEN page_id < last_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last_page THEN last_page END AS refers_to
+FROM rows r LEFT JOIN groups g ON r.body = g.body
+"""
+
+OP8 = """
+WITH rules(host, path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), rests AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), urls AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rests
+), judged AS (
+    SELECT u.page_id, max_by(struct_pack(rule := r.host || r.path, verdict := r.verdict), strlen(r.host || r.path)) AS best
+    FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+    GROUP BY u.page_id
+)
+SELECT u.page_id, u.host, u.path, j.best.rule AS rule, coalesce(j.best.verdict, 'allow') AS verdict
+FROM urls u LEFT JOIN judged j ON u.page_id = j.page_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4, "op10_exact_dedup": OP10}
+    return {"op4_substring_dedup": OP4, "op6_warc": OP6, "op8_url_filter": OP8, "op10_exact_dedup": OP10}
