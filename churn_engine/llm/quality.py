@@ -1,7 +1,7 @@
 """Quality classifier: Naive Bayes support vectors.
 
-Features say whether an n-gram occurs in a text: byte trigrams, words, word pairs, and whether a word stands two or
-three times in a row; all hashed to ``SLOTS``. Each is scaled by its class log-count ratio, the rows to unit length, and
+Features say whether an n-gram occurs in a text: byte trigrams, words, word pairs, and which of four words in a row
+equal the next; all hashed to ``SLOTS``. Each is scaled by its class log-count ratio, the rows to unit length, and
 a linear hinge-loss model is fitted by dual coordinate descent. A logistic curve over margins of rows that the model
 has not seen turns margins into scores.
 """
@@ -37,6 +37,7 @@ class Features:
 
     def __init__(self):
         self.seen = np.zeros(SLOTS, bool)
+        self.patterns = (words.mixed(np.arange(100, 108, dtype=np.uint64)) >> SHIFT).astype(np.int32)
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         data, offsets = text_bytes(column)
@@ -46,18 +47,17 @@ class Features:
         pair = hashes[:-1] * words.BASE + hashes[1:]
         pair[hashes[:-1] == hashes[1:]] = np.uint64(1)
         pairs = (words.mixed(pair) >> SHIFT).astype(np.int32)
-        triple = (hashes[2:] == hashes[1:-1]) & (hashes[1:-1] == hashes[:-2])
+        same = (hashes[:-1] == hashes[1:]).astype(np.int8)
+        repeats = self.patterns[same[:-2] + 2 * same[1:-1] + 4 * same[2:]]
         code = data.astype(np.uint64)
         grams = (code[:-2] << np.uint64(16)) | (code[1:-1] << np.uint64(8)) | code[2:] if len(code) > 2 else np.zeros(0, np.uint64)
         grams = ((grams + np.uint64(1)) * words.BASE >> SHIFT).astype(np.int32)
-        repeat = np.int32(words.mixed(np.array([3], np.uint64))[0] >> SHIFT)
         for row in range(len(offsets) - 1):
             a, b, x, y = offsets[row], offsets[row + 1], first[row], first[row + 1]
             self.seen[grams[a : max(a, b - 2)]] = True
             self.seen[single[x:y]] = True
             self.seen[pairs[x : max(x, y - 1)]] = True
-            if triple[x : max(x, y - 2)].any():
-                self.seen[repeat] = True
+            self.seen[repeats[x : max(x, y - 3)]] = True
             found = np.flatnonzero(self.seen).astype(np.int32)
             self.seen[found] = False
             yield found
