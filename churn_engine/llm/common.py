@@ -114,31 +114,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     longest path shrinks geometrically. Neighbours are never collected; a node with millions of edges is an
     aggregate with map-side combine and a join that can be split. Stored after each round; ends when no edge moves.
     """
-    links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v").dropDuplicates()
-    links = store(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    n = links.count()
+    links = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v")
+    links = store(links.distinct())
+    state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while True:
         # Large star: every neighbour above a node goes to the smallest of the node and its neighbours.
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: the neighbours below a node, and the node, go to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .where("v != m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        after = store(small)
-        before, links, n_before = links, after, n
-        n = links.count()
-        if n == n_before and not links.join(before, ["u", "v"], "left_anti").limit(1).count():
+        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), "m").where("u != m")
+        links = store(small.select("u", F.col("m").alias("v")).distinct())
+        before, state = state, links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
             break
-    roots = links.select(F.col("v").alias("node")).distinct()
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
-    )
+    return links.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("component")).distinct()

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
@@ -26,6 +26,10 @@ BANDS, ROWS = 10, 3
 SLOTS = 1 << 20
 #: Entries of the table of random variables; each sample draws a shingle's entry by its hash.
 DRAWS = 1 << 16
+#: 64-bit blocks of the filter that spares texts an exchange: 2 MB whatever the corpus.
+BLOOM_BLOCKS = 1 << 18
+#: Slack for rounding wherever a bound leaves a pair out.
+EPSILON = 1e-6
 
 
 def _folded_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +146,45 @@ def _banded(weights: np.ndarray) -> Callable:
                 np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), pa.array(bands.ravel().view(np.int64))
             )
             ids = pa.array(np.asarray(batch.column("id"))[full])
-            yield from pieces({"id": ids, "content": content, "bands": lists})
+            total = np.add.reduceat(weight.astype(np.float64), begins)
+            yield from pieces({"id": ids, "content": content, "bands": lists, "total": total})
+
+    return run
+
+
+def _passed(filled: np.ndarray) -> Callable:
+    """Rows whose id may be among those of a blocked Bloom filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, mask = np.asarray(batch.column("block")), np.asarray(batch.column("mask"))
+            yield batch.filter(pa.array((filled[block] & mask) == mask)).select(["id", "text"])
+
+    return run
+
+
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, body) of the rows with an id of ``ids``, each id once. A Bloom filter of fixed size spares most other texts
+    the exchange; those it lets through by mistake are removed by the join."""
+    block = F.pmod(F.xxhash64("id"), F.lit(BLOOM_BLOCKS)).cast("int").alias("block")
+    bits = F.xxhash64("id", F.lit(1))
+    one = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int"))
+    mask = one(0).bitwiseOR(one(1)).bitwiseOR(one(2)).alias("mask")
+    rows = ids.select(block, mask).groupBy("block").agg(F.bit_or("mask").alias("bits")).toArrow()
+    filled = np.zeros(BLOOM_BLOCKS, np.int64)
+    filled[np.asarray(rows["block"])] = np.asarray(rows["bits"])
+    near = texts.select("id", "text", block, mask).mapInArrow(_passed(filled), "id long, text string")
+    return pack(near, "id", "text").join(ids, "id", "left_semi").dropDuplicates(["id"])
+
+
+def _weighed(weights: np.ndarray) -> Callable:
+    """Shingles of packed texts: key, id, weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, "body", 1 << 18):
+            hashes, first = _folded_words(pa.array(unpacked(batch.column("body")), pa.large_binary()))
+            key, weight, index = shingles(hashes, first, weights)
+            yield from pieces({"key": key.view(np.int64), "id": np.repeat(np.asarray(batch.column("id")), np.diff(index)), "weight": weight})
 
     return run
 
@@ -158,17 +200,17 @@ def jaccard(key_a: np.ndarray, weight_a: np.ndarray, key_b: np.ndarray, weight_b
 
 
 def _similarities(weights: np.ndarray) -> Callable:
-    def vector(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-        hashes, first = _folded_words(pa.array([body], pa.binary()))
-        return shingles(hashes, first, weights)[:2]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, lead, known = [], None, None
-            for a, left, right in zip(batch.column("a").to_pylist(), unpacked(batch.column("body_a")), unpacked(batch.column("body_b")), strict=True):
-                if a != lead:
-                    lead, known = a, vector(left)
-                found.append(jaccard(*known, *vector(right)))
+        for batch in in_slices(batches, "body_b", 1 << 18):
+            sides = []
+            for column in ("body_a", "body_b"):
+                hashes, first = _folded_words(pa.array(unpacked(batch.column(column)), pa.large_binary()))
+                sides.append(shingles(hashes, first, weights))
+            (key_a, weight_a, at_a), (key_b, weight_b, at_b) = sides
+            found = [
+                jaccard(key_a[a:b], weight_a[a:b], key_b[c:d], weight_b[c:d])
+                for a, b, c, d in zip(at_a[:-1].tolist(), at_a[1:].tolist(), at_b[:-1].tolist(), at_b[1:].tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
     return run
@@ -181,11 +223,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Jaccard similarity of at least ``similarity`` form a component, named likewise; ``kept`` is one row of each
     component, that of the component's id.
 
-    Candidates are classes that share a band. First each class is compared with the smallest class of its bucket
-    (a star, as many pairs as rows), and components are formed. Then only pairs are left whose classes share a bucket but
-    no component; of those the triangle inequality of the Jaccard distance leaves out what the distances to the
-    bucket's smallest class already rule out, the others are compared too. So no link between components is lost, and
-    a group of thousands of near copies costs thousands of comparisons rather than millions.
+    Candidates are classes that share a band. What a class has in common with any other candidate bounds its
+    similarities from above (a shingle found nowhere else is never shared), which leaves out most members of a group whose edits differ. Each
+    class is compared with a lead of its bucket, one that shares the most buckets (a star, as many pairs as rows), and
+    components are formed. Then only pairs are left whose classes share a bucket but no component; of those the
+    bound and the triangle inequality of the Jaccard distance leave out what cannot reach the similarity, the others
+    are compared too. So no link between components is lost, and a group of thousands of near copies costs thousands of
+    comparisons rather than millions.
 
     Defined cases: null texts and texts without words are classes of their own and are kept; rows with a null id are
     kept and never compared; rows that repeat an id are one node, and the node has the words of all of them only if
@@ -195,41 +239,61 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
     weights = slot_weights(texts.select("text"))
-    signed = store(texts.mapInArrow(_banded(weights), "id long, content binary, bands array<long>"))
+    signed = store(texts.mapInArrow(_banded(weights), "id long, content binary, bands array<long>, total double"))
     classes = store(signed.groupBy("content").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("class_size")))
     members = store(signed.select("id", "content").join(classes, "content").select("id", "class", "class_size"))
-    heads = signed.join(classes.where("class IS NOT NULL"), ["content"]).where("id = class").select("id", "bands").dropDuplicates(["id"])
+    heads = signed.join(classes.where("class IS NOT NULL"), ["content"]).where("id = class").select("id", "bands", "total").dropDuplicates(["id"])
     buckets = heads.select("id", F.posexplode("bands").alias("band", "bucket"))
-    least = buckets.groupBy("band", "bucket").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = store(buckets.join(least.drop("n"), ["band", "bucket"]))
-    star = store(shared.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    # Only texts that are compared travel again, compressed.
-    named = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bodies = store(pack(texts, "id", "text").join(named, "id", "left_semi").dropDuplicates(["id"]))
+    sizes = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = store(buckets.join(sizes, ["band", "bucket"]))
+    # Who shares the most and largest buckets is near the middle of its group, so it makes a good lead.
+    central = shared.groupBy("id").agg(F.sum("n").alias("central"))
+    # Only texts that share a bucket travel again, compressed.
+    bodies = store(texts_of(texts, central.select("id")))
+    # The weight of shingles that no other of these texts has takes no part in any similarity.
+    terms = bodies.mapInArrow(_weighed(weights), "key long, id long, weight float").repartition("key")
+    alone = terms.groupBy("key").agg(F.min("id").alias("id"), F.max("id").alias("most"), F.min("weight").alias("weight")).where("id = most")
+    alone = alone.groupBy("id").agg(F.sum(F.col("weight").cast("double")).alias("alone"))
+    measured = central.join(heads.select("id", "total"), "id").join(alone, "id", "left")
+    measured = measured.select("id", "central", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common"))
+    measured = measured.where(F.col("common") >= (similarity - EPSILON) * F.col("total"))
+    shared = store(shared.drop("n").join(measured, "id"))
 
     def compared(pairs: DataFrame) -> DataFrame:
         left, right = (bodies.select(F.col("id").alias(c), F.col("body").alias(f"body_{c}")) for c in "ab")
         return store(pairs.join(right, "b").join(left, "a").mapInArrow(_similarities(weights), "a long, b long, similarity double"))
 
+    def reachable(a: str, b: str) -> Column:
+        """Whether what the texts have in common with any others can make them similar enough."""
+        both = F.least(f"{a}common", f"{b}common")
+        return both >= (similarity - EPSILON) * (F.col(f"{a}total") + F.col(f"{b}total") - both)
+
+    lead = F.max_by(F.struct("id", "common", "total"), F.struct("central", -F.col("id"))).alias("lead")
+    led = shared.join(shared.groupBy("band", "bucket").agg(lead), ["band", "bucket"]).drop("central")
+    led = led.select("band", "bucket", "id", "common", "total", *(F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("id", "common", "total")))
+    star = led.where("id != lead_id").where(reachable("", "lead_")).select(F.col("lead_id").alias("a"), F.col("id").alias("b")).distinct()
     first = compared(star)
     linked = first.where(F.col("similarity") >= similarity).select("a", "b")
     found = store(components(linked))
-    # Pairs of one bucket in two components: x and y can only reach the similarity if their distances to the lead
-    # differ by no more than 1 - similarity.
-    near = F.lit(1 - similarity + 1e-9)
-    placed = (
-        shared.join(found.withColumnRenamed("node", "id"), "id", "left")
-        .join(first.select(F.col("a").alias("lead"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("far")), ["lead", "id"], "left")
-        .select("band", "bucket", "id", F.coalesce("component", "id").alias("component"), F.coalesce("far", F.lit(0.0)).alias("far"))
+    # What is left are pairs of one bucket in two components. By the triangle inequality they can only reach the
+    # similarity if their distances to the lead, where they are known, differ by no more than 1 - similarity.
+    placed = led.join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.join(first.select(F.col("a").alias("lead_id"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("far")), ["lead_id", "id"], "left")
+    placed = placed.select(
+        "band", "bucket", "id", "common", "total", F.coalesce("component", "id").alias("component"), F.when(F.col("id") == F.col("lead_id"), 0.0).otherwise(F.col("far")).alias("far")
     )
     spread = placed.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     placed = store(placed.join(spread.select("band", "bucket"), ["band", "bucket"], "left_semi"))
-    x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "far"))) for s in "xy")
+    x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{s}{c}") for c in ("id", "component", "far", "common", "total"))) for s in ("x_", "y_"))
     rest = x.join(y, ["band", "bucket"]).where(
-        (F.col("id_x") < F.col("id_y")) & (F.col("component_x") != F.col("component_y")) & (F.abs(F.col("far_x") - F.col("far_y")) <= near)
+        (F.col("x_id") < F.col("y_id"))
+        & (F.col("x_component") != F.col("y_component"))
+        & reachable("x_", "y_")
+        & F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity + EPSILON, F.lit(True))
     )
-    rest = rest.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = compared(rest).where(F.col("similarity") >= similarity).select("a", "b")
+    rest = rest.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = compared(rest.join(known, ["a", "b"], "left_anti")).where(F.col("similarity") >= similarity).select("a", "b")
     if second.limit(1).count():
         found = store(components(linked.unionByName(second)))
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left").select(
