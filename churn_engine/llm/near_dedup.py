@@ -283,12 +283,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "band", "bucket", "id", "common", "total", F.coalesce("component", "id").alias("component"), F.when(F.col("id") == F.col("lead_id"), 0.0).otherwise(F.col("far")).alias("far")
     )
     spread = placed.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = store(placed.join(spread.select("band", "bucket"), ["band", "bucket"], "left_semi"))
-    x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{s}{c}") for c in ("id", "component", "far", "common", "total"))) for s in ("x_", "y_"))
+    placed = placed.join(spread.select("band", "bucket"), ["band", "bucket"], "left_semi")
+    placed = store(placed.join(heads.select("id", "bands"), "id"))
+    kept = ("id", "component", "far", "common", "total", "bands")
+    x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{s}{c}") for c in kept)) for s in ("x_", "y_"))
+    # A pair that shares several buckets is made in the first of them only.
+    shared_before = F.exists(F.slice(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), F.lit(1), F.col("band")), lambda z: z)
     rest = x.join(y, ["band", "bucket"]).where(
         (F.col("x_id") < F.col("y_id"))
         & (F.col("x_component") != F.col("y_component"))
         & reachable("x_", "y_")
+        & ~shared_before
         & F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity + EPSILON, F.lit(True))
     )
     rest = rest.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
