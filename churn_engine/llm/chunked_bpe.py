@@ -32,7 +32,7 @@ GLUE_BITS = np.uint64(31)
 #: Bytes that the rolling hash looks back over.
 LOOK_BACK = 8
 #: Distinct chunks that a task remembers; beyond, it starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 #: Byte classes: 0 plain, 1 ASCII white space of plain texts, 2 lead byte of U+00C0 to U+00FF letters and U+0100 to U+023F, 3 anything else.
 _KIND = np.full(256, 3, np.uint8)
@@ -292,7 +292,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkedBpe(path)
         written = ChunkTexts(encoder)
-        for batch in in_slices(batches, "text"):
+        for batch in in_slices(batches, "text", 1 << 19):
             chunk, first, starts, counts = encoder.encode(batch.column("text"))
             written.catch_up()
             counts_of = counts[chunk] if len(chunk) else np.zeros(0, np.int64)

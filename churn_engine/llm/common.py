@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,8 +48,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def relieve() -> None:
+    """Give back memory that earlier tasks of this worker have freed; workers live on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``most`` bytes in each; a longer text comes alone."""
+    relieve()
     for batch in batches:
         if not batch.num_rows:
             continue
