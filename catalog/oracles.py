@@ -11,9 +11,12 @@ SCORING_GRID = "(VALUES (TIMESTAMP '2024-01-25')) g(obs_date)"
 
 LOG = """
 kept AS (
-  SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k, epoch_us(ts) AS us
-  FROM events
-  WHERE NOT (user_id % 10 = 9 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20')
+  SELECT * REPLACE (seen AS ts), CAST(json_extract(props, '$.k') AS INTEGER) AS k, epoch_us(seen) AS us
+  FROM (
+    SELECT *, CASE WHEN user_id % 10 = 9 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'
+                   THEN ts - INTERVAL 20 DAY ELSE ts END AS seen
+    FROM events
+  )
 ),
 placed AS (
   SELECT *,
