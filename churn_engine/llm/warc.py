@@ -59,14 +59,15 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
-def dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """None where there are too few records to learn from: the archive then has no leading frame."""
-    if len(samples) < 16:
-        return None
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 4), samples, k=256, d=8)
-    except zstandard.ZstdError:
-        return None
+def dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
+    """Trained on the samples; of too few or too equal ones to learn from, the last bytes are the dictionary as they are."""
+    size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 4))
+    for steps in ({"k": 256, "d": 8}, {"k": 64, "d": 6}):
+        try:
+            return zstandard.train_dictionary(size, samples, **steps)
+        except zstandard.ZstdError:
+            continue
+    return zstandard.ZstdCompressionDict(b"".join(samples)[-size:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 class ArchiveWriter:
@@ -90,10 +91,9 @@ class ArchiveWriter:
 
     def _begin(self) -> None:
         learned = dictionary(self.waiting)
-        self.out = self.files.open_output_stream(self.inner)
-        if learned is not None:
-            raw = learned.as_bytes()
-            self.out.write(struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw)
+        self.out = self.files.open_output_stream(self.inner, compression=None)
+        raw = learned.as_bytes()
+        self.out.write(struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw)
         self.squeeze = zstandard.ZstdCompressor(level=3, dict_data=learned, write_checksum=True)
         for raw in self.waiting:
             self.out.write(self.squeeze.compress(raw))
@@ -109,7 +109,7 @@ class ArchiveWriter:
 def read_archive(path: str) -> Iterator[bytes]:
     """The records of an archive, read piece by piece."""
     files, inner = fs.FileSystem.from_uri(path)
-    with files.open_input_stream(inner) as source:
+    with files.open_input_stream(inner, compression=None) as source:
         data = source.read(8)
         learned = None
         if len(data) == 8 and struct.unpack("<I", data[:4])[0] == DICTIONARY_FRAME:
