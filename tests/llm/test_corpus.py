@@ -375,7 +375,7 @@ def test_licenses(spark):
         (2, "a/b/x.txt", "Some text.\nmore"),
         (3, "a/b/c/LICENSE", gpl),
         (4, "a/b/c/d/y.txt", "text"),
-        (5, "a/z.txt", "long text that goes on and on, line one\nand two, three\n" + gpl),
+        (5, "a/z.txt", "long text that goes on and on, line one\nand two, three\n" * 4 + gpl),
         (6, "q/none.txt", "the public work of a version is under this"),
         (7, None, "x"),
         (8, "a/empty", None),
