@@ -325,7 +325,7 @@ KEY = "CAST(userId AS VARCHAR) || '|' || strftime(obs_date, '%Y-%m-%d %H:%M:%S')
 
 
 def uniform(md5: str, position: int = 0) -> str:
-    return f"CAST(('0x' || substr({md5}, {1 + 8 * position}, 8)) AS BIGINT) / 4294967296.0"
+    return f"CAST(('0x' || substr({md5}, {1 + 13 * position}, 13)) AS BIGINT) / 4503599627370496.0"
 
 
 RULES = (
@@ -388,13 +388,13 @@ def r_as(name: str) -> str:
 
 
 MINORITY = (
-    labelled(V1)
+    labelled(V2)
     + f""",
 points AS (
-  SELECT {KEY} AS id, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in V1)} FROM rows WHERE churned = 1
+  SELECT {KEY} AS id, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in V2)} FROM rows WHERE churned = 1
 ),
 pairs AS (
-  SELECT a.id, b.id AS neighbour, {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in V1)} AS d2
+  SELECT a.id, b.id AS neighbour, {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in V2)} AS d2
   FROM points a JOIN points b ON a.id <> b.id
 ),
 ranked AS (
@@ -409,15 +409,15 @@ SYNTHETIC = (
 sizes AS (SELECT count(*) FILTER (WHERE churned = 1) AS p, count(*) FILTER (WHERE churned = 0) AS n FROM rows),
 numbered_points AS (SELECT *, row_number() OVER (ORDER BY md5(id || '|42')) AS idx FROM points),
 draws AS (
-  SELECT s, md5(CAST(s AS VARCHAR) || '|42') AS h, p FROM sizes, range(0, n - p) r(s)
+  SELECT s, md5(CAST(s AS VARCHAR) || '|42') AS h, md5(CAST(s AS VARCHAR) || '|42|gap') AS g, p FROM sizes, range(0, n - p) r(s)
 ),
 plan AS (
   SELECT s, CAST(floor({uniform("h", 0)} * p) AS BIGINT) + 1 AS idx,
-    CAST(floor({uniform("h", 1)} * least(5, p - 1)) AS INTEGER) + 1 AS rank, {uniform("h", 2)} AS gap
+    CAST(floor({uniform("h", 1)} * 5) AS INTEGER) + 1 AS rank, {uniform("g")} AS gap
   FROM draws
 ),
 made AS (
-  SELECT s, gap, b.id AS base, o.id AS neighbour, {", ".join(f"b.{c} + gap * (o.{c} - b.{c}) AS {c}" for c in V1)}
+  SELECT s, gap, b.id AS base, o.id AS neighbour, {", ".join(f"b.{c} + gap * (o.{c} - b.{c}) AS {c}" for c in V2)}
   FROM plan JOIN numbered_points b USING (idx) JOIN near k ON k.id = b.id AND k.rank = plan.rank JOIN points o ON o.id = k.neighbour
 )"""
 )
@@ -488,8 +488,11 @@ def oracle_sql() -> dict[str, str]:
           SELECT *, CAST(floor({uniform("md5(CAST(userId AS VARCHAR) || '|42')")} * 5) AS INTEGER) AS fold FROM labels""",
         "smote_neighbours": f"WITH {MINORITY} SELECT id, neighbour, rank, {r('distance')} AS distance FROM near",
         "smote_resample": f"""WITH {SYNTHETIC}
-          SELECT {KEY} AS id, {_round_all(V1)}, churned, 0 AS is_synthetic FROM rows
-          UNION ALL SELECT 'synthetic|' || s, {_round_all(V1)}, 1, 1 FROM made""",
+          SELECT {KEY} AS id, {_round_all(V2)}, churned, 0 AS is_synthetic FROM rows
+          UNION ALL SELECT 'synthetic|' || s, {_round_all(V2)}, 1, 1 FROM made""",
+        "smote_resample_zero": f"""WITH {SYNTHETIC}
+          SELECT {KEY} AS id, {_round_all(V2)}, 1 - churned AS churned, 0 AS is_synthetic FROM rows
+          UNION ALL SELECT 'synthetic|' || s, {_round_all(V2)}, 0, 1 FROM made""",
         "confusion_matrix": f"""WITH {RULES}
           SELECT model, 0 AS label, 0 AS prediction, tn AS n FROM cells UNION ALL SELECT model, 0, 1, fp FROM cells
           UNION ALL SELECT model, 1, 0, fn FROM cells UNION ALL SELECT model, 1, 1, tp FROM cells""",
@@ -503,7 +506,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT w.model, {r_as("accuracy")}, {r('w.precision')} AS precision, {r('w.recall')} AS recall, {r('w.f1')} AS f1,
             {r('c.f1')} AS f1_positive
           FROM weighted w JOIN accuracies USING (model) JOIN per_class c ON c.model = w.model AND c.class = '1'""",
-        "roc_curve": f"WITH {RULES} SELECT model, {r_as('threshold')}, {r_as('fpr')}, {r_as('tpr')} FROM points WHERE isfinite(threshold)",
+        "roc_curve": f"WITH {RULES} SELECT model, CASE WHEN isfinite(threshold) THEN {r('threshold')} END AS threshold, {r_as('fpr')}, {r_as('tpr')} FROM points",
         "roc_auc": f"WITH {RULES} SELECT model, {r_as('auc')} FROM area",
         "predicted_rate": f"WITH {RULES} SELECT model, count(*) AS rows, {r('avg(prediction)')} AS predicted_rate FROM predicted GROUP BY model",
         "threshold_score": f"WITH {RULES} SELECT model, userId, obs_date, {r('score')} AS score, prediction FROM predicted",

@@ -84,6 +84,12 @@ def _weights(ev: DataFrame) -> DataFrame:
     return dataset.with_class_weight(both, "positive", name="positive")
 
 
+def _roc_curve(ev: DataFrame) -> DataFrame:
+    """All points; the infinite threshold of the starting point is shown as NULL."""
+    points = metrics.roc_curve(_rules(ev))
+    return points.withColumn("threshold", F.when(F.col("threshold") < float("inf"), F.col("threshold")))
+
+
 def _submission(ev: DataFrame, *names: str) -> DataFrame:
     day = F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'")
     return submission(_rules(ev).where((F.col("model") == "risk_rule") & (F.col("obs_date") == day)), *names)
@@ -113,10 +119,10 @@ def _trained_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     fitted = models.fit(
-        materialise(training_set(ev, TRAINING, "v1")), "random_forest", features=FEATURES_V1
+        materialise(training_set(ev, TRAINING)), "random_forest", features=FEATURES_V2
     )
     threshold = models.BASE_THRESHOLDS["random_forest"]
-    return submission(fitted.predict(scoring_set(ev, SCORING_DATE, "v1"), threshold))
+    return submission(fitted.predict(scoring_set(ev, SCORING_DATE), threshold))
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,15 +215,18 @@ def queries() -> dict[str, Query]:
         "plain_folds": _on_events(lambda ev: dataset.stratified_folds(_labels(ev), k=3, label=None)),
         "user_folds": _on_events(lambda ev: dataset.user_folds(_labels(ev))),
         "smote_neighbours": _on_events(
-            lambda ev: smote.smote_neighbours(materialise(rounded(training_set(ev, TRAINING, "v1"))), FEATURES_V1)
+            lambda ev: smote.smote_neighbours(materialise(rounded(training_set(ev, TRAINING))), FEATURES_V2)
         ),
-        "smote_resample": _on_events(
-            lambda ev: smote.smote_resample(rounded(training_set(ev, TRAINING, "v1")), FEATURES_V1)
+        "smote_resample": _on_events(lambda ev: smote.smote_resample(rounded(training_set(ev, TRAINING)), FEATURES_V2)),
+        "smote_resample_zero": _on_events(
+            lambda ev: smote.smote_resample(
+                rounded(training_set(ev, TRAINING)).withColumn(LABEL, F.lit(1) - F.col(LABEL)), FEATURES_V2
+            )
         ),
         "confusion_matrix": _on_events(lambda ev: metrics.confusion_matrix(_rules(ev))),
         "classification_report": _on_events(lambda ev: metrics.classification_report(_rules(ev))),
         "model_metrics": _on_events(lambda ev: metrics.model_metrics(_rules(ev))),
-        "roc_curve": _on_events(lambda ev: metrics.roc_curve(_rules(ev)).where(F.col("threshold") < float("inf"))),
+        "roc_curve": _on_events(_roc_curve),
         "roc_auc": _on_events(lambda ev: metrics.roc_auc(_rules(ev))),
         "predicted_rate": _on_events(lambda ev: metrics.predicted_rate(_rules(ev))),
         "threshold_score": _on_events(lambda ev: _rules(ev).select("model", *KEYS, "score", "prediction")),

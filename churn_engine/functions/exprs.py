@@ -39,13 +39,13 @@ def fill_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return with_exprs(df, {n: f"coalesce({n}, {zero[n]})" for n in names if n in zero})
 
 
-def digest(parts: Iterable[Column | str], seed: int) -> Column:
+def digest(parts: Iterable[Column | str], seed: int | str) -> Column:
     """md5 of the key columns and a seed: the same on any partitioning, run or engine."""
     cols = [p if isinstance(p, Column) else F.col(p) for p in parts]
     return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols], F.lit(str(seed))))
 
 
 def uniform(md5: Column, position: int = 0) -> Column:
-    """A number in [0, 1) from eight hex digits of an md5; ``position`` 0..3 picks which eight."""
-    digits = F.substring(md5, 1 + 8 * position, 8)
-    return F.conv(digits, 16, 10).cast("bigint") / F.lit(4294967296.0)
+    """A number in [0, 1) from 13 hex digits (52 bits) of an md5; ``position`` 0 or 1 picks which."""
+    digits = F.substring(md5, 1 + 13 * position, 13)
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))

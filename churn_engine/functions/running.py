@@ -22,7 +22,7 @@ def running_total(
     a row is the sum over earlier buckets at each level, taken from grouped counts, plus a window
     inside the finest bucket. So no task ever sees more than one bucket, and the bucket choice
     affects balance only, never the result. The first level must have a fixed number of buckets (a few
-    thousand): its offsets are broadcast.
+    thousand); its offsets are small and AQE may broadcast them.
     """
     names = [f"_level{i}" for i in range(len(levels))]
     result = out = df.withColumns(dict(zip(names, levels, strict=True)))
@@ -38,7 +38,7 @@ def running_total(
             *[F.coalesce(F.sum(f"_s_{new}").over(earlier), F.lit(0)).alias(f"_o{i}_{new}") for new in totals],
         )
         same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(key)) for column, key in keys.items()])
-        result = result.join(F.broadcast(offsets) if i == 0 else offsets, same).drop(*keys.values())
+        result = result.join(offsets, same).drop(*keys.values())
         before = {new: before[new] + F.col(f"_o{i}_{new}") for new in totals}
     inside = Window.partitionBy(*by, *names).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     result = result.withColumns({new: before[new] + F.sum(col).over(inside) for new, col in totals.items()})
@@ -49,7 +49,8 @@ def md5_rank(df: DataFrame, md5: str, by: Sequence[str] = (), name: str = "rank"
     """Contiguous 1-based rank by an md5 column, equal to ``row_number`` ordered by it.
 
     The leading hex digits are order-preserving buckets of even size, so each bucket is ranked by
-    its own task. ``digits`` grows by one for every 16 times more rows.
+    its own task; three digits are 4096 buckets, enough for some ten billion rows, and every further digit
+    (up to 15) makes 16 times as many. It decides the balance, never the result.
     """
     prefix = F.conv(F.substring(F.col(md5), 1, digits), 16, 10).cast("bigint")
     return running_total(df.withColumn("_one", F.lit(1)), {name: "_one"}, F.col(md5), [prefix], by).drop("_one")

@@ -294,8 +294,8 @@ def evaluate_model(
 ) -> DataFrame:
     """Score rows, write the submission if a path is given, and return the predicted positive rate of
     the model's class and of the threshold."""
-    if path is not None:
-        write_submission(model.predict(rows, threshold), path)
-    own = model.predict(rows)
+    own = materialise(model.predict(rows))  # read for the file and for the rates
     chosen = F.col("prediction") if threshold is None else threshold_class(F.col("score"), threshold)
+    if path is not None:
+        write_submission(own.withColumn("prediction", chosen), path)
     return own.agg(F.avg("prediction").alias("base_rate"), F.avg(chosen).alias("predicted_rate"))

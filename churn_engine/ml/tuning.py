@@ -8,15 +8,16 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from churn_engine.ml.models import FittedModel, Mapped, assembler, map_params
-from churn_engine.operators.dataset import stratified_folds, with_class_weight
+from churn_engine.ml.models import MAX_DEPTH, FittedModel, fit
+from churn_engine.operators.dataset import stratified_folds
 from churn_engine.schema import KEYS, LABEL
 from churn_engine.session import materialise
 
@@ -114,7 +115,7 @@ SPACES: dict[str, Space] = {
     "random_forest": {
         "n_estimators": Whole(100, 500),
         "criterion": Choice(("gini", "entropy")),
-        "max_depth": Whole(5, 50),
+        "max_depth": Whole(5, MAX_DEPTH),  # 50 in the original space, beyond what MLlib builds
         "min_samples_split": Whole(2, 20),
         "min_samples_leaf": Whole(1, 10),
         "max_features": Choice(("sqrt", "log2")),
@@ -152,8 +153,15 @@ def grid(values: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
 
 def sample_grid(values: Mapping[str, Sequence[Any]], n: int, seed: int = 42) -> list[dict[str, Any]]:
     """``n`` different combinations (all, if there are fewer)."""
-    everything = grid(values)
-    return random.Random(seed).sample(everything, min(n, len(everything)))
+    total = math.prod(len(options) for options in values.values())
+    out = []
+    for index in random.Random(seed).sample(range(total), min(n, total)):
+        params = {}
+        for name, options in values.items():
+            index, at = divmod(index, len(options))
+            params[name] = options[at]
+        out.append(params)
+    return out
 
 
 def draw(space: Space, n: int, seed: int = 42) -> list[dict[str, Any]]:
@@ -207,10 +215,6 @@ def _evaluator(metric: str, label: str):
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def _weight_column(scheme: str | float | None) -> str:
-    return "weight_none" if scheme is None else f"weight_{scheme}".replace(".", "_")
-
-
 def search(
     rows: DataFrame,
     kind: str,
@@ -223,47 +227,27 @@ def search(
     seed: int = 42,
     parallelism: int = 4,
 ) -> SearchResult:
-    """Cross-validate every candidate on stratified folds and refit the best.
+    """Cross-validate every candidate on stratified folds and refit the best on all rows.
 
-    Rows, folds and class weights are materialised once; MLlib reads that table in every fit.
+    Rows and folds are materialised once. Each fit takes its class weights and the scale of C from the rows
+    it is fitted on: the training folds during validation, all rows in the end.
     """
-    rows = materialise(rows.select(*key, *features, label))  # folds and weights read it several times
-    marked = stratified_folds(rows, folds, seed, key, label)
-    schemes = {c.get("scale_pos_weight", c.get("class_weight")) for c in candidates}
-    for scheme in sorted(schemes, key=str):
-        marked = with_class_weight(marked, scheme, label, _weight_column(scheme))
-    stored = materialise(marked.drop(*key))
-    n = stored.count()
-
-    # One run per estimator class, as a parameter map belongs to one estimator.
-    by_class: dict[type, list[tuple[dict[str, Any], Mapped]]] = {}
-    for candidate in candidates:
-        mapped = map_params(kind, candidate, rows=n * (folds - 1) // folds)
-        by_class.setdefault(mapped.estimator, []).append((dict(candidate), mapped))
-    scored: list[tuple[float, dict[str, Any]]] = []
-    best: tuple[float, Any] | None = None
-    for members in by_class.values():
-        estimator = members[0][1].build(label=label, weight_col=_weight_column(members[0][1].weight), seed=seed)
-        names = sorted({name for _, mapped in members for name in mapped.params})
-        maps = []
-        for _, mapped in members:
-            values = {estimator.getParam(name): mapped.params.get(name, estimator.getOrDefault(name)) for name in names}
-            maps.append({**values, estimator.weightCol: _weight_column(mapped.weight)})
-        validator = CrossValidator(
-            estimator=Pipeline(stages=[*assembler(features), estimator]),
-            estimatorParamMaps=maps,
-            evaluator=_evaluator(metric, label),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        fitted = validator.fit(stored)
-        scored += [(score, params) for score, (params, _) in zip(fitted.avgMetrics, members, strict=True)]
-        if best is None or max(fitted.avgMetrics) > best[0]:
-            best = (max(fitted.avgMetrics), fitted.bestModel)
-    scored.sort(key=lambda pair: -pair[0])
-    model = FittedModel(kind, kind, tuple(features), best[1])
-    return SearchResult(kind, [p for _, p in scored], [s for s, _ in scored], model)
+    rows = materialise(rows.select(*key, *features, label))  # the folds read it several times
+    stored = materialise(stratified_folds(rows, folds, seed, key, label).drop(*key))
+    evaluator = _evaluator(metric, label)
+
+    def validated(task: tuple[Mapping[str, Any], int]) -> float:
+        candidate, fold = task
+        model = fit(stored.where(F.col("fold") != fold), kind, candidate, features, label, seed=seed)
+        return evaluator.evaluate(model.pipeline.transform(stored.where(F.col("fold") == fold)))
+
+    tasks = [(candidate, fold) for candidate in candidates for fold in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
+    means = [sum(values[i : i + folds]) / folds for i in range(0, len(values), folds)]
+    ranked = sorted(zip(means, candidates, strict=True), key=lambda pair: -pair[0])
+    best = fit(stored, kind, ranked[0][1], features, label, seed=seed)
+    return SearchResult(kind, [dict(c) for _, c in ranked], [score for score, _ in ranked], best)
 
 
 def grid_search(rows: DataFrame, kind: str, values: Mapping[str, Sequence[Any]], features: Sequence[str], **options) -> SearchResult:

@@ -17,12 +17,10 @@ from churn_engine.operators.snapshots import Snapshots
 from churn_engine.schema import PAGE_COUNTS, PAGE_SET_COUNTS
 
 CELL = ["userId", "age", "on_mark"]
-ITEM_BITS = 20
 
-# Time order within a user as one BIGINT: milliseconds, then the position in the session.
-EVENT_ORDER = (
-    f"ts_ms * {1 << ITEM_BITS}L + greatest(least(coalesce(itemInSession, 0L), {(1 << ITEM_BITS) - 1}L), 0L)"
-)
+# Time order within a user as one number: milliseconds, then the position in the session. The factor is more
+# than twice the span of a doubled BIGINT position, so nothing is cut off, and even, so a 0/1 code can be added.
+EVENT_ORDER = "CAST(ts_ms AS DECIMAL(19, 0)) * 40000000000000000000BD + CAST(coalesce(itemInSession, 0L) AS DECIMAL(19, 0)) * 2BD"
 
 
 def _page_is(pages: str | list[str]) -> str:
@@ -32,8 +30,8 @@ def _page_is(pages: str | list[str]) -> str:
 
 PAGE_HITS = {name: _page_is(pages) for name, pages in {**PAGE_COUNTS, **PAGE_SET_COUNTS}.items()}
 
-# Mergeable aggregates of a cell, as SQL text. First and last value in time order: the 0/1 code rides
-# in the lowest bit of the order key, so a plain, hash-aggregated min / max finds it, and ties do not
+# Mergeable aggregates of a cell, as SQL text. First and last value in time order: the order key is even
+# and the 0/1 code is added to it, so a plain, hash-aggregated min / max finds it, and ties do not
 # depend on the row order.
 CELL_AGGREGATES = {
     "events": "count(1)",
@@ -42,9 +40,9 @@ CELL_AGGREGATES = {
     "length_count": "count(length)",
     "first_ms": "min(ts_ms)",
     "last_ms": "max(ts_ms)",
-    "gender_key": "min(event_order * 2 + gender)",
-    "level_first_key": "min(event_order * 2 + level)",
-    "level_last_key": "max(event_order * 2 + level)",
+    "gender_key": "min(event_order + gender)",
+    "level_first_key": "min(event_order + level)",
+    "level_last_key": "max(event_order + level)",
     "registration": "min_by(registration, IF(registration IS NOT NULL, event_order, NULL))",
     "registration_order": "min(IF(registration IS NOT NULL, event_order, NULL))",
     "max_item": "max(itemInSession)",
@@ -114,9 +112,9 @@ def activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     return with_exprs(
         merged,
         {
-            "gender": "CAST(gender_key & 1L AS INT)",
-            "level_first": "CAST(level_first_key & 1L AS INT)",
-            "level_current": "CAST(level_last_key & 1L AS INT)",
+            "gender": "CAST(pmod(gender_key, 2BD) AS INT)",
+            "level_first": "CAST(pmod(level_first_key, 2BD) AS INT)",
+            "level_current": "CAST(pmod(level_last_key, 2BD) AS INT)",
             "level_mode": "IF(paid_events > free_events, 1, 0)",
             "ts_min": timestamp_of("first_ms"),
             "ts_max": timestamp_of("last_ms"),

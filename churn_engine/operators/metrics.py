@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from churn_engine.functions.running import running_total
 from churn_engine.session import materialise
 
 
+#: Buckets of the running totals. They are cut at quantiles, so none holds much more than its share of the scores.
+BUCKETS = 1024
+
+
 def _cells(scored: DataFrame, prediction: Column | None = None, by: Sequence[str] = ("model",)) -> DataFrame:
     y, p = F.col("label"), F.col("prediction") if prediction is None else prediction
     return scored.groupBy(*by).agg(
@@ -152,10 +157,18 @@ def _by_score(scored: DataFrame) -> DataFrame:
 
 def _running(by_score: DataFrame) -> DataFrame:
     """Add running totals ``tp`` and ``fp`` from the highest score down."""
-    # Two integer prefixes of the (descending) score; scores outside [0, 1) share the end buckets.
-    unit = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    coarse, fine = (-F.floor(unit * F.lit(float(1 << bits))) for bits in (10, 20))
-    return running_total(by_score, {"tp": "pos", "fp": "neg"}, -F.col("score"), [coarse, fine], ["model"])
+    return running_total(_located(by_score), {"tp": "pos", "fp": "neg"}, -F.col("score"), [-F.col("_bucket")], ["model"]).drop("_bucket")
+
+
+def _located(by_score: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``_bucket``, ascending with the score. The cuts are approximate quantiles of the distinct scores of all
+    models, wherever these lie; only they come to the driver. They decide the balance, never the result."""
+    cuts = by_score.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    if len(splits) == 2:
+        return by_score.withColumn("_bucket", F.lit(0))
+    placed = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket", handleInvalid="keep").transform(by_score)
+    return placed.withColumn("_bucket", F.col("_bucket").cast("int"))
 
 
 def roc_curve(scored: DataFrame) -> DataFrame:

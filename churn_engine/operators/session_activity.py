@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from churn_engine.functions.exprs import with_exprs
 from churn_engine.functions.timeexpr import days_between, floor_div, timestamp_sql, to_millis
-from churn_engine.operators.activity import EVENT_ORDER, ITEM_BITS, aggregates
+from churn_engine.operators.activity import EVENT_ORDER, aggregates
 from churn_engine.operators.snapshots import Snapshots
 
 
@@ -36,22 +35,18 @@ def session_activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
                     **{f"n_{i}": f"count_if({seen[i]})" for i, _ in dates},
                     **{f"recent_{i}": f"count_if({recent[i]})" for i, _ in dates},
                     **{f"last_{i}": f"max(IF({seen[i]}, event_order, NULL))" for i, _ in dates},
+                    **{f"end_{i}": f"max(IF({seen[i]}, ts_ms, NULL))" for i, _ in dates if snapshots.asof_sessions},
                 }
             )
         )
     )
     rows = ", ".join(
         f"struct({timestamp_sql(day)} AS obs_date, {to_millis(day)}L AS obs_ms, n_{i} AS n, recent_{i} AS n_recent,"
-        f" last_{i} AS last, historical & {1 << i}L != 0 AS in_historical)"
+        f" last_{i} AS last, {f'end_{i}' if snapshots.asof_sessions else 'end_ms'} - start_ms AS span_ms,"
+        f" historical & {1 << i}L != 0 AS in_historical)"
         for i, day in dates
     )
-    # The order key of the last event so far starts with its time.
-    end = f"shiftright(last, {ITEM_BITS})" if snapshots.asof_sessions else "end_ms"
-    by_date = (
-        per_session.selectExpr("userId", "start_ms", "end_ms", f"inline(array({rows}))")
-        .where("n > 0")
-        .withColumn("span_ms", F.expr(f"{end} - start_ms"))
-    )
+    by_date = per_session.selectExpr("userId", "start_ms", f"inline(array({rows}))").where("n > 0")
     return by_date.groupBy("userId", "obs_date").agg(
         *aggregates(
             {
@@ -73,19 +68,18 @@ def session_trend(events: DataFrame, snapshots: Snapshots, min_days: int = 3) ->
     the day; 0 below ``min_days`` days.
 
     A session counts for a day from its first event of that day on, so it is enough to keep that
-    moment. The window orders the days of one user and date.
+    moment. A day whose events have no session id is an active day with 0 sessions. The window orders
+    the days of one user and date.
     """
     first = (
-        with_exprs(
-            snapshots.up_to_last_date(events).where("sessionId IS NOT NULL"), {"day": floor_div("ts_ms")}
-        )
+        with_exprs(snapshots.up_to_last_date(events), {"day": floor_div("ts_ms")})
         .groupBy("userId", "sessionId", "day")
         .agg(*aggregates({"first_ms": "min(ts_ms)"}))
     )
     starts = (
         with_exprs(first, {"age": snapshots.age("first_ms")})
         .groupBy("userId", "day", "age")
-        .agg(*aggregates({"sessions": "count(1)"}))
+        .agg(*aggregates({"sessions": "count(sessionId)"}))
         .repartition("userId")
     )
     daily = snapshots.fan_out(starts).groupBy("userId", "obs_date", "day").agg(

@@ -19,16 +19,25 @@ def row_id(key: Sequence[str] = KEYS):
     return F.concat_ws("|", *[F.col(c).cast("string") for c in key])
 
 
-def minority_rows(rows: DataFrame, features: Sequence[str], key: Sequence[str] = KEYS, label: str = LABEL) -> DataFrame:
-    """Rows of the positive class as (id, features)."""
-    return rows.where(F.col(label) == 1).select(row_id(key).alias("id"), *[F.col(c).cast("double").alias(c) for c in features])
+def minority(rows: DataFrame, label: str = LABEL) -> tuple[int, int, int]:
+    """The smaller class (1 if both are equal), its number of rows, and how many it lacks."""
+    counts = rows.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
+    few, many = sorted((counts["p"], counts["n"]))
+    return int(counts["p"] <= counts["n"]), few, many - few
+
+
+def class_rows(
+    rows: DataFrame, value: int, features: Sequence[str], key: Sequence[str] = KEYS, label: str = LABEL
+) -> DataFrame:
+    """Rows of one class as (id, features)."""
+    return rows.where(F.col(label) == value).select(row_id(key).alias("id"), *[F.col(c).cast("double").alias(c) for c in features])
 
 
 def smote_neighbours(
     rows: DataFrame, features: Sequence[str], key: Sequence[str] = KEYS, label: str = LABEL, k: int = 5
 ) -> DataFrame:
     """The k nearest minority rows of each minority row (exact)."""
-    return nearest_neighbours(minority_rows(rows, features, key, label), features, "id", k)
+    return nearest_neighbours(class_rows(rows, minority(rows, label)[0], features, key, label), features, "id", k)
 
 
 def synthetic_rows(
@@ -39,29 +48,28 @@ def synthetic_rows(
     k: int = 5,
     seed: int = 42,
 ) -> DataFrame:
-    """(synthetic_id, base, neighbour, gap, features) that bring the positive class to parity. ``rows``
+    """(synthetic_id, base, neighbour, gap, label, features) that bring the smaller class to parity. ``rows``
     is read several times and should be stored, as :func:`smote_resample` does.
 
-    Row number s draws its base row, one of its neighbours and the gap from an md5 of (s, seed), so a
-    lost task redraws the same rows. Only the two class counts come to the driver.
+    Row number s draws its base row, one of its neighbours and the gap from md5s of (s, seed), so a
+    lost task redraws the same rows. Only the two class counts come to the driver. A class of ``k`` rows
+    or fewer has not that many neighbours: this raises ValueError; pass a smaller ``k``.
     """
-    counts = rows.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    positives, negatives = counts["p"], counts["n"]
-    if positives < 2:
-        raise ValueError("oversampling needs at least two rows of the positive class")
-    reach = min(k, positives - 1)
-    base = minority_rows(rows, features, key, label)
+    value, size, lacking = minority(rows, label)
+    if lacking and size <= k:
+        raise ValueError(f"oversampling with k = {k} neighbours needs more than {k} rows of class {value}, found {size}")
+    base = class_rows(rows, value, features, key, label)
     numbered = md5_rank(base.withColumn("_md5", digest(["id"], seed)), "_md5", name="_index").drop("_md5")
     near = nearest_neighbours(base, features, "id", k)
     draw = F.col("_draw")
     plan = (
-        rows.sparkSession.range(max(0, negatives - positives))
-        .select(F.col("id").alias("synthetic_id"), digest(["id"], seed).alias("_draw"))
+        rows.sparkSession.range(lacking)
+        .select(F.col("id").alias("synthetic_id"), digest(["id"], seed).alias("_draw"), digest(["id"], f"{seed}|gap").alias("_gap"))
         .select(
             "synthetic_id",
-            (F.floor(uniform(draw, 0) * positives) + 1).alias("_index"),
-            (F.floor(uniform(draw, 1) * reach) + 1).cast("int").alias("rank"),
-            uniform(draw, 2).alias("gap"),
+            (F.floor(uniform(draw, 0) * size) + 1).alias("_index"),
+            (F.floor(uniform(draw, 1) * k) + 1).cast("int").alias("rank"),
+            uniform(F.col("_gap")).alias("gap"),
         )
     )
     chosen = plan.join(numbered.withColumnRenamed("id", "base"), "_index").join(
@@ -69,7 +77,8 @@ def synthetic_rows(
     )
     other = base.select(F.col("id").alias("neighbour"), *[F.col(c).alias(f"_to_{c}") for c in features])
     moved = [(F.col(c) + F.col("gap") * (F.col(f"_to_{c}") - F.col(c))).alias(c) for c in features]
-    return chosen.join(other, "neighbour").select("synthetic_id", "base", "neighbour", "gap", *moved)
+    own = F.lit(value).cast(rows.schema[label].dataType).alias(label)
+    return chosen.join(other, "neighbour").select("synthetic_id", "base", "neighbour", "gap", own, *moved)
 
 
 def smote_resample(
@@ -91,7 +100,7 @@ def smote_resample(
     made = synthetic_rows(rows, features, key, label, k, seed).select(
         F.concat(F.lit("synthetic|"), F.col("synthetic_id").cast("string")).alias("id"),
         *features,
-        F.lit(1).cast(rows.schema[label].dataType).alias(label),
+        label,
         F.lit(1).alias("is_synthetic"),
     )
     return originals.unionByName(made)

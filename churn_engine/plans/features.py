@@ -25,8 +25,9 @@ def _per_pass(build: Callable[[DataFrame, Snapshots], DataFrame], events: DataFr
 
 
 def _joined(base: DataFrame, *others: DataFrame) -> DataFrame:
-    """All sides are aggregated by the same keys, so they are co-partitioned already. A later side does
-    not repeat a column of an earlier one."""
+    """Each side has one row per user and date. Sides are partitioned by ``userId`` or by both keys; with
+    ``spark.sql.requireAllClusterKeysForCoPartition`` off, as :func:`build_session` sets it, the former are not
+    shuffled again. A later side does not repeat a column of an earlier one."""
     return reduce(lambda left, right: left.join(right, KEYS, "left"), others, base)
 
 

@@ -21,6 +21,7 @@ def build_session(app: str = "churn_engine", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},

@@ -155,6 +155,21 @@ def test_split_before_oversampling(imbalanced):
     assert legacy_train.count() + legacy_test.count() == 176
 
 
-def test_too_few_positives(imbalanced):
-    with pytest.raises(ValueError, match="at least two"):
-        smote.smote_resample(imbalanced.where("userId >= 11"), ["f", "g"], ["userId"])
+def test_class_zero_as_the_minority(imbalanced):
+    flipped = imbalanced.withColumn("churned", 1 - F.col("churned"))
+    out = smote.smote_resample(flipped, ["f", "g"], ["userId"])
+    expected = smote.smote_resample(imbalanced, ["f", "g"], ["userId"]).withColumn("churned", 1 - F.col("churned"))
+    assert out.exceptAll(expected).count() == 0 and expected.exceptAll(out).count() == 0
+
+
+def test_equal_classes_stay_as_they_are(imbalanced):
+    even = imbalanced.where("userId < 24")
+    assert smote.smote_resample(even, ["f", "g"], ["userId"]).count() == 24
+
+
+def test_too_few_rows_for_k(imbalanced):
+    few = imbalanced.where("userId >= 9")  # three of class 1
+    with pytest.raises(ValueError, match="k = 5 .* class 1, found 3"):
+        smote.smote_resample(few, ["f", "g"], ["userId"])
+    made = smote.smote_resample(few, ["f", "g"], ["userId"], k=2)
+    assert made.where("churned = 1").count() == made.where("churned = 0").count() == 88

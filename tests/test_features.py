@@ -80,6 +80,23 @@ def test_same_millisecond_is_ordered_by_item(spark):
     assert (row.level_first, row.level_current) == (0, 1)
 
 
+def test_order_holds_for_items_of_any_size(spark):
+    rows = [event("2018-10-01", item=2_000_000, level="paid"), event("2018-10-01", item=3_000_000, level="free")]
+    row = one(spark, rows)
+    assert (row.level_first, row.level_current) == (1, 0)
+    rows = [event("2018-10-01", item=2**62, level="paid"), event("2018-10-01", item=-(2**62), level="free")]
+    row = one(spark, rows)
+    assert (row.level_first, row.level_current) == (0, 1)
+
+
+@pytest.mark.parametrize("asof", [False, True])
+def test_a_time_in_microseconds_fails_no_job(spark, asof):
+    rows = [song("2018-10-01", session=5), song("2018-10-02", title="t", session=2)]
+    late = dict(song("2018-10-03", session=3), ts=to_millis("2018-10-03") * 1000)
+    at = Snapshots.at(OBS, asof_sessions=asof)
+    assert one(spark, [*rows, late], at) == one(spark, rows, at)
+
+
 def test_all_null_values(spark):
     row = one(spark, [song("2018-10-14", artist=None, title=None, length=None)])
     assert (row.unique_artists, row.unique_songs, row.total_length, row.avg_song_length) == (0, 0, 0, 0)
@@ -123,6 +140,12 @@ def test_trend(spark):
     assert (row.session_freq_trend, row.session_consistency) == (0, 0)
 
 
+def test_a_day_without_session_ids_is_an_active_day(spark):
+    rows = [event(f"2018-10-0{i + 1}", session=s) for i, s in enumerate([1, None, 2, 3])]
+    row = one(spark, rows)  # 1, 0, 1, 1
+    assert (row.session_freq_trend, row.session_consistency) == (pytest.approx(0.1), pytest.approx(0.5))
+
+
 def test_a_session_over_midnight_counts_on_both_days(spark):
     rows = [event("2018-10-01 23:59"), event("2018-10-02 00:01"), event("2018-10-02 09:00", session=2), event("2018-10-03", session=3)]
     assert one(spark, rows).session_freq_trend == pytest.approx(0.0)  # 1, 2, 1

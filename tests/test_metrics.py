@@ -80,3 +80,11 @@ def test_first_listed_model_wins_a_tie(spark, four):
     assert metrics.best_model(both).first().model == "b"
     table = {r.model: r.is_best for r in metrics.compare_models(both).collect()}
     assert table == {"b": 1, "a": 0}
+
+
+def test_scores_within_a_billionth_are_split(spark):
+    """No bucket of the running totals holds more than a few times its share, wherever the scores lie."""
+    close = spark.range(1_000_000).select((F.lit(0.999) + F.col("id") * 1e-15).alias("score"))
+    sizes = metrics._located(close.distinct()).groupBy("_bucket").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] < 4 * 1_000_000 / metrics.BUCKETS
+    assert sizes[1] > metrics.BUCKETS / 2

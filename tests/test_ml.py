@@ -78,13 +78,7 @@ def test_logistic_regression_minimises_the_c_form(rows):
     """At the optimum the gradient of ``C * weighted loss + |w|^2 / 2`` vanishes."""
     c = 0.01
     model = models.fit(rows, "logistic_regression", {"class_weight": "balanced", "C": c, "max_iter": 500}, FEATURES)
-    pdf = rows.toPandas()
-    x, y = pdf[FEATURES].to_numpy(), pdf["churned"].to_numpy()
-    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    w, b = model.pipeline.stages[-1].coefficients.toArray(), model.pipeline.stages[-1].intercept
-    p = 1 / (1 + np.exp(-(x @ w + b)))
-    gradient = c * (x * (weight * (p - y))[:, None]).sum(axis=0) + w
-    assert np.abs(gradient).max() < 1e-3
+    assert c_form_gradient(rows, model, c) < 1e-3
 
 
 def test_parameters_without_a_twin_are_named():
@@ -142,6 +136,21 @@ def test_grid_search(rows):
     assert found.best.predict(rows).count() == 300
 
 
+def c_form_gradient(rows, model, c):
+    pdf = rows.toPandas()
+    x, y = pdf[FEATURES].to_numpy(), pdf["churned"].to_numpy()
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    w, b = model.pipeline.stages[-1].coefficients.toArray(), model.pipeline.stages[-1].intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    return np.abs(c * (x * (weight * (p - y))[:, None]).sum(axis=0) + w).max()
+
+
+def test_the_best_is_refitted_for_all_rows(rows):
+    grid = {"C": [0.01], "penalty": ["l2"], "class_weight": ["balanced"], "max_iter": [500]}
+    found = tuning.grid_search(rows, "logistic_regression", grid, FEATURES, folds=3)
+    assert c_form_gradient(rows, found.best, 0.01) < 1e-3
+
+
 def test_random_search_over_mixed_estimators(rows):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", models.IgnoredParameter)
