@@ -276,23 +276,30 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = first.where(F.col("similarity") >= similarity).select("a", "b")
     found = store(components(linked))
     # What is left are pairs of one bucket in two components. By the triangle inequality they can only reach the
-    # similarity if their distances to the lead, where they are known, differ by no more than 1 - similarity.
+    # similarity if their distances to the lead, where they are known, differ by no more than 1 - similarity. Also, two
+    # texts share at most the lesser of what they share with the lead, and the lesser of the rest that is not alone.
     placed = led.join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.join(first.select(F.col("a").alias("lead_id"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("far")), ["lead_id", "id"], "left")
-    placed = placed.select(
-        "band", "bucket", "id", "common", "total", F.coalesce("component", "id").alias("component"), F.when(F.col("id") == F.col("lead_id"), 0.0).otherwise(F.col("far")).alias("far")
-    )
+    far = F.when(F.col("id") == F.col("lead_id"), 0.0).otherwise(F.col("far"))
+    # Jaccard similarity s of totals p and q means that s / (1 + s) * (p + q) is shared.
+    met = (1 - far) / (2 - far) * (F.col("total") + F.col("lead_total"))
+    placed = placed.select("band", "bucket", "id", "common", "total", F.coalesce("component", "id").alias("component"), far.alias("far"), met.alias("met"))
     spread = placed.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     placed = placed.join(spread.select("band", "bucket"), ["band", "bucket"], "left_semi")
     placed = store(placed.join(heads.select("id", "bands"), "id"))
-    kept = ("id", "component", "far", "common", "total", "bands")
+    kept = ("id", "component", "far", "met", "common", "total", "bands")
     x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{s}{c}") for c in kept)) for s in ("x_", "y_"))
     # A pair that shares several buckets is made in the first of them only.
     shared_before = F.exists(F.slice(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), F.lit(1), F.col("band")), lambda z: z)
+    beyond = F.least(F.col("x_common") - F.col("x_met"), F.col("y_common") - F.col("y_met"))
+    both = F.least("x_met", "y_met") + F.greatest(beyond, F.lit(0.0))
+    # Null where a text was not compared with the lead; least() would skip it.
+    both = F.when(F.col("x_met").isNotNull() & F.col("y_met").isNotNull(), both)
     rest = x.join(y, ["band", "bucket"]).where(
         (F.col("x_id") < F.col("y_id"))
         & (F.col("x_component") != F.col("y_component"))
         & reachable("x_", "y_")
+        & F.coalesce(both >= (similarity - EPSILON) * (F.col("x_total") + F.col("y_total") - both), F.lit(True))
         & ~shared_before
         & F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity + EPSILON, F.lit(True))
     )
