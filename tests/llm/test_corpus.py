@@ -408,6 +408,37 @@ def test_key_words_miss_no_line():
         assert sum((n * idf[w]) ** 2 for w, n in counted.items() if w not in keys) < 0.36 * whole
 
 
+def own_licenses(spark, texts: list[str]) -> list[str | None]:
+    """Licences of texts among a hundred others, which lie in no directory."""
+    rows = [(i, None, t) for i, t in enumerate([*texts, *prose(5, 100)])]
+    df = spark.createDataFrame(rows, "file_id long, path string, text string")
+    found = {r.file_id: r.license for r in license_scan.scan_licenses(df).collect()}
+    assert all(found[i] is None for i in range(len(texts), len(rows)))
+    return [found[i] for i in range(len(texts))]
+
+
+def test_licenses_of_headers_spans_and_ids(spark):
+    filler = " ".join(prose(6, 80))
+    cases = {
+        "x = 1\n# SPDX-License-Identifier: MIT\n": "MIT",
+        "// SPDX-License-Identifier: Apache-2.0\nint x;": "Apache-2.0",
+        "The MIT License (MIT)\n" + filler: "MIT",
+        filler + " Released under the MIT License. " + filler: "MIT",
+        filler + " Licensed under CC BY-NC 4.0. " + filler: "CC-BY-NC-4.0",
+        "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+        "// file, You can obtain one at https://mozilla.org/MPL/2.0/.\nint x;\n" + filler: "MPL-2.0",
+        "/* This program is free software; you can redistribute it and/or modify\n it under the terms of the GNU General Public License as published by\n"
+        " the Free Software Foundation; either version 2 of the License, or\n (at your option) any later version. */\n" + filler: "GPL-2.0",
+        dict(license_scan.full_texts())["MIT"].replace("\n", "\n# ") + "\nx = 1\n" + filler: "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 4.": None,
+        "Licensed under the Apache License, Version 1.1.": None,
+        "Released under the ISC License.": None,
+        filler: None,
+    }
+    assert dict(zip(cases, own_licenses(spark, list(cases)), strict=True)) == cases
+
+
 # 8: URLs
 
 
