@@ -439,6 +439,26 @@ def test_licenses_of_headers_spans_and_ids(spark):
     assert dict(zip(cases, own_licenses(spark, list(cases)), strict=True)) == cases
 
 
+def test_full_license_texts_cover_their_directories(spark):
+    full = dict(license_scan.full_texts())
+    rows = [
+        (1, "m/LICENSE", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + full["MIT"]),
+        (2, "m/src/a.py", "x = 1\n"),
+        (3, "m/vendor/terms", full["Apache-2.0"]),
+        (4, "m/vendor/lib/b.c", "int x;\n"),
+        (5, "n/a.py", "y = 2\n# Released under the MIT License.\n" + " ".join(prose(7, 80))),
+        (6, "n/b.py", "z = 3\n"),
+        *[(10 + i, f"t/{name}/text", text) for i, (name, text) in enumerate(sorted(full.items()))],
+        *[(100 + i, None, t) for i, t in enumerate(prose(8, 50))],
+    ]
+    df = spark.createDataFrame(rows, "file_id long, path string, text string")
+    found = {r.file_id: (r.license, r.found_in, r.covered_by) for r in license_scan.scan_licenses(df).collect()}
+    assert found[1] == ("MIT", "file", None) and found[2] == ("MIT", "directory", "m")
+    assert found[3] == ("Apache-2.0", "file", None) and found[4] == ("Apache-2.0", "directory", "m/vendor")
+    assert found[5] == ("MIT", "line", None) and found[6] == (None, None, None)
+    assert [found[10 + i][:2] for i in range(len(full))] == [(name, "file") for name in sorted(full)]
+
+
 # 8: URLs
 
 
