@@ -95,9 +95,9 @@ def _submission(ev: DataFrame, *names: str) -> DataFrame:
     return submission(_rules(ev).where((F.col("model") == "risk_rule") & (F.col("obs_date") == day)), *names)
 
 
-def _model(kind: str, **changed) -> Query:
+def _model(kind: str) -> Query:
     """Train on the hash split's training part, score its test part."""
-    params = {**models.BASE_PARAMS[kind], **changed}
+    params = models.BASE_PARAMS[kind]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = materialise(training_set(events(spark, sf_dir), TRAINING))
@@ -111,8 +111,7 @@ def _model(kind: str, **changed) -> Query:
 def _trained_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(training_set(events(spark, sf_dir), TRAINING))
     train, test = dataset.train_test_split(rows)
-    kinds = ("logistic_regression", "decision_tree", "random_forest")
-    fitted = models.fit_all(train, {k: models.BASE_PARAMS[k] for k in kinds}, FEATURES_V2)
+    fitted = models.fit_all(train, models.BASE_PARAMS, FEATURES_V2)
     return rounded(metrics.compare_models(models.predictions(fitted, test)))
 
 
@@ -131,17 +130,13 @@ def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_set(events(spark, sf_dir), TRAINING, "v1")
-    found = tuning.grid_search(
-        rows, "logistic_regression", {**tuning.LR_GRID, "max_iter": [100]}, FEATURES_V1, folds=3, metric="roc_auc"
-    )
-    return found.table()
+    rows = training_set(events(spark, sf_dir), TRAINING)
+    return tuning.grid_search(rows, "logistic_regression", tuning.LR_GRID, FEATURES_V2, folds=5, metric="roc_auc").table()
 
 
 def _random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_set(events(spark, sf_dir), TRAINING, "v1")
-    space = tuning.SPACES["decision_tree"]
-    return tuning.random_search(rows, "decision_tree", space, FEATURES_V1, n=6, folds=3).table()
+    rows = training_set(events(spark, sf_dir), TRAINING)
+    return tuning.random_search(rows, "decision_tree", tuning.SPACES["decision_tree"], FEATURES_V2, n=50, folds=5).table()
 
 
 def queries() -> dict[str, Query]:
@@ -239,7 +234,7 @@ def queries() -> dict[str, Query]:
         "decision_tree": _model("decision_tree"),
         "random_forest": _model("random_forest"),
         "xgboost": _model("xgboost"),
-        "catboost": _model("catboost", iterations=100),
+        "catboost": _model("catboost"),
         "trained_model_comparison": _trained_comparison,
         "scored_submission": _scored_submission,
         "feature_importance": _importance,

@@ -163,3 +163,33 @@ def test_params_round_trip(spark, tmp_path):
     params = {"depth": 6, "learning_rate": 0.05, "penalty": None, "bootstrap": False, "name": "x"}
     sinks.write_params(spark, params, str(tmp_path / "params"))
     assert sinks.read_params(spark, str(tmp_path / "params")) == params
+
+
+def test_registered_searches_and_fits_have_the_stated_sizes(spark, sf_dir, monkeypatch):
+    from catalog import queries as registered
+    from churn_engine.schema import FEATURES_V2
+
+    class Seen(Exception):
+        pass
+
+    def seen(*args, **options):
+        raise Seen(args, options)
+
+    monkeypatch.setattr(tuning, "search", seen)
+    monkeypatch.setattr(models, "fit", seen)
+    monkeypatch.setattr(models, "fit_all", seen)
+
+    def asked(name):
+        with pytest.raises(Seen) as found:
+            registered.queries()[name](spark, sf_dir)
+        return found.value.args
+
+    (_, kind, candidates, features), options = asked("grid_search")
+    assert (kind, len(candidates), options["folds"], features) == ("logistic_regression", 8, 5, FEATURES_V2)
+    assert {c["max_iter"] for c in candidates} == {1000}
+    (_, kind, candidates, features), options = asked("random_search")
+    assert (kind, len(candidates), options["folds"], features) == ("decision_tree", 50, 5, FEATURES_V2)
+    (_, kind, params, features), _ = asked("catboost")
+    assert (kind, params["iterations"], features) == ("catboost", 500, FEATURES_V2)
+    (_, params, features), _ = asked("trained_model_comparison")
+    assert set(params) == set(models.BASE_PARAMS) and len(params) == 5 and features == FEATURES_V2
