@@ -69,5 +69,57 @@ FROM urls u LEFT JOIN judged j ON u.page_id = j.page_id
 """
 
 
+def _vector_codes(rounds: int = 6) -> str:
+    """Six rounds of assigning and averaging, one step of CTEs for each."""
+    steps = [
+        """
+WITH kept AS (
+    SELECT vec_id, label, embedding AS v, len(embedding) // 8 AS size FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), places AS (
+    SELECT vec_id, label, size, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS at FROM kept
+), parts AS (
+    SELECT vec_id, label, CAST(at // size AS INTEGER) AS part, CAST(at % size AS INTEGER) AS place,
+           CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+    FROM places
+), first AS (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16
+), book0 AS (
+    SELECT part, entry, place, x FROM parts JOIN first USING (vec_id)
+)"""
+    ]
+    near = """, apart{r} AS (
+    SELECT p.vec_id, p.part, b.entry, CAST(sum((p.x - b.x) * (p.x - b.x)) AS BIGINT) AS d
+    FROM parts p JOIN book{r} b ON p.part = b.part AND p.place = b.place GROUP BY p.vec_id, p.part, b.entry
+), near{r} AS (
+    SELECT vec_id, part, entry, d FROM (
+        SELECT vec_id, part, entry, d, row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) AS n FROM apart{r}
+    ) WHERE n = 1
+)"""
+    move = """, mean{n} AS (
+    SELECT n.part, n.entry, p.place, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM near{r} n JOIN parts p ON n.vec_id = p.vec_id AND n.part = p.part GROUP BY n.part, n.entry, p.place
+), book{n} AS (
+    SELECT b.part, b.entry, b.place, coalesce(m.x, b.x) AS x
+    FROM book{r} b LEFT JOIN mean{n} m ON b.part = m.part AND b.entry = m.entry AND b.place = m.place
+)"""
+    for r in range(rounds):
+        steps += [near.format(r=r), move.format(r=r, n=r + 1)]
+    steps += [
+        near.format(r=rounds),
+        """, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{r} GROUP BY vec_id
+), labelled AS (
+    SELECT c.vec_id, c.code, c.error, k.label FROM coded c JOIN kept k ON c.vec_id = k.vec_id
+), told AS (
+    SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) AS digest FROM book{r}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM labelled, told
+""".format(r=rounds),
+    ]
+    return "".join(steps)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4, "op6_warc": OP6, "op8_url_filter": OP8, "op10_exact_dedup": OP10}
+    return {"op4_substring_dedup": OP4, "op6_warc": OP6, "op8_url_filter": OP8, "op10_exact_dedup": OP10, "op13_vector_codes": _vector_codes()}

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churn_engine.llm import chunked_bpe, exact_dedup, license_scan, near_dedup, packing, quality, substring_dedup, url_filter, vector_dedup, warc
+from churn_engine.llm import (
+    chunked_bpe,
+    exact_dedup,
+    license_scan,
+    near_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    url_filter,
+    vector_codes,
+    vector_dedup,
+    warc,
+)
 from churn_engine.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +80,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1,
@@ -80,4 +96,5 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8,
         "op9_packing": op9,
         "op10_exact_dedup": op10,
+        "op13_vector_codes": op13,
     }
