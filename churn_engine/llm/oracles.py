@@ -77,9 +77,9 @@ WITH kept AS (
     SELECT vec_id, label, embedding AS v, len(embedding) // 8 AS size FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), places AS (
-    SELECT vec_id, label, size, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS at FROM kept
+    SELECT vec_id, label, size, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS spot FROM kept
 ), parts AS (
-    SELECT vec_id, label, CAST(at // size AS INTEGER) AS part, CAST(at % size AS INTEGER) AS place,
+    SELECT vec_id, label, CAST(spot // size AS INTEGER) AS part, CAST(spot % size AS INTEGER) AS place,
            CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
     FROM places
 ), first AS (
