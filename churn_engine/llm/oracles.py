@@ -69,6 +69,35 @@ FROM urls u LEFT JOIN judged j ON u.page_id = j.page_id
 """
 
 
+OP12 = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), asked AS (
+    SELECT item_id, term, count(*) AS repeats
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    GROUP BY item_id, term
+), totals AS (
+    SELECT count(DISTINCT doc_id) AS documents, count(*) AS terms FROM words
+), lengths AS (
+    SELECT doc_id, 100 - 25 + ((25 * count(*) * any_value(documents)) // any_value(terms)) AS m FROM words, totals GROUP BY doc_id
+), postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, totals GROUP BY term
+), scores AS (
+    SELECT a.item_id, p.doc_id, CAST(sum(a.repeats * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * l.m))) AS BIGINT) AS score
+    FROM asked a JOIN postings p ON a.term = p.term JOIN weights w ON a.term = w.term JOIN lengths l ON p.doc_id = l.doc_id
+    GROUP BY a.item_id, p.doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def _vector_codes(rounds: int = 6) -> str:
     """Six rounds of assigning and averaging, one step of CTEs for each."""
     steps = [
@@ -122,4 +151,4 @@ FROM labelled, told
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4, "op6_warc": OP6, "op8_url_filter": OP8, "op10_exact_dedup": OP10, "op13_vector_codes": _vector_codes()}
+    return {"op4_substring_dedup": OP4, "op6_warc": OP6, "op8_url_filter": OP8, "op10_exact_dedup": OP10, "op12_ranked_search": OP12, "op13_vector_codes": _vector_codes()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churn_engine.llm import (
     chunked_bpe,
     exact_dedup,
+    lexical_search,
     license_scan,
     near_dedup,
     packing,
@@ -80,6 +81,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
@@ -96,5 +101,6 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8,
         "op9_packing": op9,
         "op10_exact_dedup": op10,
+        "op12_ranked_search": op12,
         "op13_vector_codes": op13,
     }

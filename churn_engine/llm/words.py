@@ -72,9 +72,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters:
     return mixed(out)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the index of its first word (one more than texts)."""
-    inside = ~WHITE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each text the index of its first word (one more than texts).
+    ``outside`` tells for each byte whether it parts words."""
+    inside = ~outside[data]
     first, last = np.empty(len(data), bool), np.empty(len(data), bool)
     if len(data):
         first[0], first[1:] = True, ~inside[:-1]
