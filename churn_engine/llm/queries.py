@@ -15,6 +15,7 @@ from churn_engine.llm import (
     license_scan,
     near_dedup,
     packing,
+    pii,
     quality,
     substring_dedup,
     url_filter,
@@ -81,6 +82,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -101,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": op8,
         "op9_packing": op9,
         "op10_exact_dedup": op10,
+        "op11_pii": op11,
         "op12_ranked_search": op12,
         "op13_vector_codes": op13,
     }
