@@ -32,6 +32,8 @@ TERM, OUTSIDE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x
 NEAR, SHORTEST, BEGINNING = 100, 3, 3
 #: Different surroundings in which a term must stand near an entity, and the share of the entity's information that it may tell.
 SUPPORT, DISCLOSURE = 3, 0.9
+#: The share of its other terms that such a surrounding has in common with another one, on average; near copies of a passage share more.
+SHARED = 0.5
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -112,6 +114,25 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.concat(terms, F.transform(terms, _class)))
 
 
+def _apart(both: DataFrame, around: DataFrame, on: list[str]) -> DataFrame:
+    """``both`` without what gives an entity away only in near copies of one passage.
+
+    If w of n surroundings hold a term, w (w - 1) pairs share it. All pairs' shared terms over all terms of all pairs is the average share,
+    from counts alone.
+    """
+    one = around.select("kind", "entity", "around", "key").distinct()
+    asked = both.where("gives_away").select(*on)
+    inside = one.join(asked, on).select("kind", "entity", "around", F.col("key").alias("term"))
+    others = inside.join(one.where(~F.col("key").endswith("*")), ["kind", "entity", "around"]).where(~F.col("key").eqNullSafe(F.col("term")))
+    w = others.groupBy("kind", "entity", "term", "key").agg(F.count(F.lit(1)).alias("w"))
+    shared = w.groupBy("kind", "entity", "term").agg(F.sum(F.col("w") * (F.col("w") - 1)).alias("pairs"), F.sum("w").alias("terms"))
+    n = inside.groupBy("kind", "entity", "term").agg(F.count(F.lit(1)).alias("n"))
+    copies = shared.join(n, ["kind", "entity", "term"]).where(F.col("pairs") > SHARED * (F.col("n") - 1) * F.col("terms"))
+    copies = copies.select("kind", "entity", F.col("term").alias("key"), F.lit(True).alias("copied"))
+    both = both.join(copies, on, "left")
+    return store(both.withColumn("gives_away", F.col("gives_away") & F.col("copied").isNull()).drop("copied"))
+
+
 def revealing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
     """(term, replacement): terms that give an entity away, with the class to put in their place, or nothing where that does as well."""
     entity = F.when(F.col("kind") == 0, _lower(F.col("value"))).when(F.col("kind") == 1, F.col("value")).otherwise(F.regexp_replace("value", "[^0-9]", ""))
@@ -136,6 +157,7 @@ def revealing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
     # The sum guards against rounding where a term and its entity always come together.
     gives_away = (information > 0) & (told >= DISCLOSURE * information - 1e-9)
     both = store(both.join(counts, "key").select("kind", "entity", "key", gives_away.alias("gives_away")))
+    both = _apart(both, around, ["kind", "entity", "key"])
     is_class = F.col("key").endswith("*")
     classes = both.where(is_class).select("kind", "entity", F.col("key").alias("class"), F.col("gives_away").alias("class_too"))
     terms = both.where(~is_class & F.col("gives_away")).select("kind", "entity", F.col("key").alias("term"), _class(F.col("key")).alias("class"))
@@ -152,7 +174,7 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     if revealing.isEmpty():
         return texts, found
     with_term = texts.select("id", "h", F.explode(F.array_distinct(F.split(_lower(F.col("text")), OUTSIDE, -1))).alias("term"))
-    with_term = with_term.join(revealing, "term").select(F.col("id").alias("hit"), F.col("h").alias("hit_h")).distinct()
+    with_term = store(with_term.join(revealing, "term").select(F.col("id").alias("hit"), F.col("h").alias("hit_h")).distinct())
     hit = texts.join(with_term, F.col("id").eqNullSafe(F.col("hit")) & (F.col("h") == F.col("hit_h"))).select("id", "h", "text")
     terms = _pieces(hit, [(BASE, TERM, F.lit(True))]).withColumn("term", _lower(F.col("value"))).join(revealing, "term")
     kind = F.when(F.col("replacement").isNull(), F.lit(BASE + 1)).otherwise(F.lit(BASE))
@@ -168,7 +190,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Defined cases: a null text counts as empty; empty texts and texts without personal data have counts of 0, the digest of an empty list and no
     spans. Rows that repeat an id and a text get equal results, each its own row, and count as that many documents; rows that share an id with
     different texts are documents of their own; ids may be of any type, also null. A term near an entity counts once for each different
-    surrounding, so copies of a passage give nothing away. An empty table gives an empty result; other columns are ignored.
+    surrounding, and surroundings that share most of their terms do not count, so copies and near copies of a passage give nothing away. An empty table gives an empty result; other columns are ignored.
     """
     texts, spans = _spans(docs, id_col, text_col)
     count = lambda k: F.count_if(F.col("kind") == k).alias(f"n_{KINDS[k]}")

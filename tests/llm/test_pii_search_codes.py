@@ -75,10 +75,18 @@ def plain_spans(rows: list[tuple]) -> list[list[tuple[int, str, int]]]:
                     near[entity, key].setdefault(n, set()).add((left, right))
     replaced: dict[str, set] = defaultdict(set)
 
+    def copied(entity, key) -> bool:
+        around = {x for s in near[entity, key].values() for x in s}
+        terms = [{x for x in re.findall(TERM, lowered(a + " " + b)) if len(x) >= 3} - {key} for a, b in around]
+        w = Counter(x for s in terms for x in s)
+        return sum(c * (c - 1) for c in w.values()) > 0.5 * (len(around) - 1) * w.total()
+
     def gives_away(entity, key) -> bool:
         together, both = near[entity, key], len(holds[entity])
         if both >= len(rows):
             return False
+        if copied(entity, key):
+            return False
         return math.log2(len(rows) * len(together) / (df[key] * both)) >= 0.9 * math.log2(len(rows) / both) - 1e-9
 
     for (entity, key), where in list(near.items()):
@@ -98,13 +106,15 @@ def plain_spans(rows: list[tuple]) -> list[list[tuple[int, str, int]]]:
 
 def entities() -> list[tuple[int | None, str | None]]:
     rng = np.random.default_rng(5)
-    words = [f"{a}{b}" for a in ("lorem", "quid", "sunt", "Ünter", "kappa") for b in ("", "a", "en", "ö", "ist")]
+    words = [f"{a}{b}{c}" for a in ("lor", "qui", "su", "Ün", "kap") for b in ("em", "t", "d", "o", "ni", "ra") for c in ("", "a", "en", "ö", "ist", "es", "um")]
     prose = lambda n: " ".join(rng.choice(words, n))
     rows: list[tuple[int | None, str | None]] = [(i, prose(int(rng.integers(5, 60)))) for i in range(150)]
     rows += [(200 + i, f"{prose(8)} Zorblat Quix wrote to j.d+x@mail.example.org, {prose(6)}") for i in range(4)]  # a name that tells the address
     rows += [(210 + i, f"{prose(7)} quixote {prose(3)}") for i in range(9)]  # shares a beginning with the second name
     rows += [(220, f"{prose(3)} ZORBLAT alone here"), (221, "call +49 (30) 1234-5678. or 10.0.0.255 and 1.2.3.999")]
     rows += [(230 + i, "same passage Vexel speaks v@w.example here") for i in range(6)]  # copies tell nothing
+    edited = prose(30).split()
+    rows += [(250 + i, " ".join([*edited[: 2 * i], "w%d" % i, *edited[2 * i + 1 : 15], "Norvig n@w.example", *edited[15:]])) for i in range(6)]  # near copies
     rows += [(240, "card 4111 1111 1111 1111, not 4111 1111 1111 1112; 1-2-3"), (241, "a@b.cd%x@e.fg @x.y a@b ..@c.d.e- 1.2.3.4.5.6.7.8")]
     rows += [(242, "𝒳 ünï x@y.zz +1234567890"), (243, None), (244, ""), (None, "null id a@b.cc"), (245, "0001.002.3.4 +1 2"), (246, "x@y.zz"), (246, "x@y.zz")]
     return rows
@@ -135,6 +145,7 @@ def test_sanitised_texts(spark):
     assert texts[243] is None and texts[244] == "" and texts[None] == "null id [EMAIL]"
     assert texts[240] == "card [CARD], not 4111 1111 1111 1112; 1-2-3"
     assert texts[242] == "𝒳 ünï [EMAIL] [PHONE]"
+    assert texts[253].count("Norvig [EMAIL]") == 1
     assert texts[230] == "same passage Vexel speaks [EMAIL] here"
     assert re.fullmatch(r".*  qui\*  to \[EMAIL\], .*", texts[200]) and texts[220].endswith("  alone here")
     plain = {i: t for i, t in rows}
