@@ -423,6 +423,33 @@ made AS (
 )
 
 
+PROFILED = "userId sessionId itemInSession ts registration gender level page artist song length song_played".split()
+NUMBERS = set("userId sessionId itemInSession gender level length song_played".split())
+CATEGORIES = "page gender level artist song registration userId".split()
+
+
+def _profile_of(name: str) -> str:
+    mean = r(f"avg({name})") if name in NUMBERS else "CAST(NULL AS DOUBLE)"
+    return (
+        f"SELECT '{name}' AS \"column\", count(*) AS n_rows, count(*) - count({name}) AS nulls, CAST(min({name}) AS VARCHAR) AS least,"
+        f" CAST(max({name}) AS VARCHAR) AS greatest, {mean} AS mean FROM clean"
+    )
+
+
+VALUES = (
+    CLEAN
+    + f""",
+cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM clean" for c in CATEGORIES)}),
+counted AS (SELECT col, value, count(*) AS n FROM cells WHERE value IS NOT NULL GROUP BY col, value)"""
+)
+CORRELATED = ["churned", *V2]
+
+
+def _correlations(pairs: list[tuple[str, str]]) -> str:
+    listed = ", ".join(f"struct_pack(a := '{a}', b := '{b}', n := count(*), c := corr({a}, {b}))" for a, b in pairs)
+    return f"WITH {labelled(V2)}, packed AS (SELECT unnest([{listed}]) AS p FROM rows)"
+
+
 def _round_all(names: list[str]) -> str:
     return ", ".join(r_as(c) for c in names)
 
@@ -433,6 +460,18 @@ def oracle_sql() -> dict[str, str]:
         "clean_events": f"WITH {CLEAN} SELECT * EXCLUDE (session_ms, ts_ms) FROM clean",
         "session_length": f"WITH {CLEAN} SELECT userId, sessionId, ts, {r('session_ms / 1e3')} AS session_length FROM clean",
         "snapshot_fanout": f"WITH {snap()} SELECT userId, sessionId, ts, page, obs_date FROM snap",
+        "column_profile": f"WITH {CLEAN} {' UNION ALL '.join(map(_profile_of, PROFILED))}",
+        "top_values": f"""WITH {VALUES}, ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, value) AS rank, sum(n) OVER (PARTITION BY col) AS total FROM counted)
+          SELECT col AS "column", CAST(rank AS INTEGER) AS rank, value, n, {r('n / total')} AS share FROM ranked WHERE rank <= 10""",
+        "category_profile": f"""WITH {VALUES}, drawn AS (
+            SELECT *, row_number() OVER (PARTITION BY col ORDER BY md5(value), value) AS place FROM counted)
+          SELECT col AS "column", count(*) AS values, CAST(sum(n) AS BIGINT) AS n,
+            string_agg(value, '|' ORDER BY value) FILTER (WHERE place <= 5) AS samples FROM drawn GROUP BY col""",
+        "correlation_matrix": f"""{_correlations([(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i + 1:]])}
+          SELECT p.a AS a, p.b AS b, p.n AS n, CASE WHEN isfinite(p.c) THEN {r('p.c')} END AS correlation FROM packed""",
+        "label_correlation": f"""{_correlations([("churned", b) for b in V2])}
+          SELECT p.b AS feature, p.n AS n, CASE WHEN isfinite(p.c) THEN {r('p.c')} END AS correlation FROM packed""",
         "churned_users": f"WITH {CLEAN} SELECT DISTINCT userId FROM clean WHERE page = 'Cancellation Confirmation'"
         " AND ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'",
         "churned_by_date": f"WITH {snap()}{CHURNED} SELECT * FROM churned",

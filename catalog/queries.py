@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churn_engine.ml import models, tuning
-from churn_engine.operators import dataset, derived, labels, metrics, smote
+from churn_engine.operators import correlation, dataset, derived, labels, metrics, profile, smote
 from churn_engine.operators.activity import activity
 from churn_engine.operators.clean import CLEAN_COLUMNS, clean_events, with_session_length
 from churn_engine.operators.session_activity import session_activity, session_trend
@@ -95,6 +95,15 @@ def _submission(ev: DataFrame, *names: str) -> DataFrame:
     return submission(_rules(ev).where((F.col("model") == "risk_rule") & (F.col("obs_date") == day)), *names)
 
 
+PROFILED = ["userId", "sessionId", "itemInSession", "ts", "registration", "gender", "level", "page", "artist", "song", "length", "song_played"]
+CATEGORIES = ["page", "gender", "level", "artist", "song", "registration", "userId"]
+
+
+def _column_profile(ev: DataFrame) -> DataFrame:
+    """What is exact in the profile."""
+    return profile.profile(ev, PROFILED).select("column", "n_rows", "nulls", "least", "greatest", "mean")
+
+
 def _model(kind: str) -> Query:
     """Train on the hash split's training part, score its test part."""
     params = models.BASE_PARAMS[kind]
@@ -148,6 +157,13 @@ def queries() -> dict[str, Query]:
         "snapshot_fanout": _on_events(
             lambda ev: snapshot_events(ev, TRAINING).select("userId", "sessionId", "ts", "page", "obs_date")
         ),
+        "column_profile": _on_events(_column_profile),
+        "top_values": _on_events(lambda ev: profile.top_values(ev, CATEGORIES)),
+        "category_profile": _on_events(
+            lambda ev: profile.category_profile(ev, CATEGORIES).withColumn("samples", F.array_join("samples", "|"))
+        ),
+        "correlation_matrix": _on_events(lambda ev: correlation.correlation_matrix(materialise(rounded(training_set(ev, TRAINING))), [LABEL, *FEATURES_V2])),
+        "label_correlation": _on_events(lambda ev: correlation.correlation_with(materialise(rounded(training_set(ev, TRAINING))), LABEL, FEATURES_V2)),
         "churned_users": _on_events(lambda ev: labels.churned_users(ev, "2024-01-10", "2024-01-20")),
         "churned_by_date": _on_events(lambda ev: labels.churned_by_date(ev, TRAINING)),
         "labels": _on_events(_labels),
