@@ -1,9 +1,10 @@
 """Per-user activity: page counts, songs, first/last values, recency.
 
-Two steps. Events are reduced to cells of one user and one 24-hour step back from the last date
+Three steps. Events are reduced to cells of one user and one 24-hour step back from the last date
 (partially on the map side, so a user with a third of the log is no hot spot). A window bound is always
-a whole number of days from a date, so the cells carry everything any window of any date needs; only
-they, at most two per user and day, are fanned out to the dates.
+a whole number of days from a date, so the cells carry everything any window of any date needs. Each cell, at most two per
+user and day, becomes the few changes it makes along the grid: it is seen from one date on, and enters and leaves each window once. Running
+sums over a user's changes give the values at every date, so a grid may have any number of dates.
 """
 
 from __future__ import annotations
@@ -76,39 +77,63 @@ def activity_cells(events: DataFrame, snapshots: Snapshots) -> DataFrame:
 def activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Aggregates per (userId, obs_date), plus ``obs_ms``; counts of pages never seen are NULL.
 
-    The cells of a user are brought together once (two rows per day at most); the fan-out and the
-    second aggregate then need no further exchange.
+    The cells of a user are brought together once (two rows per day at most); changes and running sums
+    then need no further exchange.
     """
     cells = activity_cells(snapshots.up_to_last_date(events), snapshots).repartition("userId")
-    recent, historical = snapshots.is_recent, snapshots.is_historical
-    weight = snapshots.decay("age")
-    totals = {
-        "total_page_views": "sum(events)",
-        "recent_events": f"sum(IF({recent}, events, 0L))",
-        "historical_events": f"sum(IF({historical}, events, 0L))",
-        "num_songs_played": "sum(songs)",
-        "recent_songs": f"sum(IF({recent}, songs, 0L))",
-        "historical_songs": f"sum(IF({historical}, songs, 0L))",
-        "length_sum": "sum(length_sum)",
-        "length_count": "sum(length_count)",
-        "song_weight": f"sum(songs * {weight})",
-        "event_weight": f"sum(events * {weight})",
+    cells = with_exprs(cells, {"weight": snapshots.weight(f"{snapshots.span} - age")})
+    seen = lambda column: f"IF(seen = 1, {column}, NULL)"
+    sums = {
+        "total_page_views": "sum(seen * events)",
+        "recent_events": "sum(recent * events)",
+        "historical_events": "sum(historical * events)",
+        "num_songs_played": "sum(seen * songs)",
+        "recent_songs": "sum(recent * songs)",
+        "historical_songs": "sum(historical * songs)",
+        "length_sum": f"sum({seen('length_sum')})",
+        "length_count": "sum(seen * length_count)",
+        "song_weight": "sum(seen * songs * weight)",
+        "event_weight": "sum(seen * events * weight)",
+        "free_events": "sum(seen * free_events)",
+        "paid_events": "sum(seen * paid_events)",
+        **{name: f"sum(seen * {name})" for name in PAGE_HITS},
+        "cancel_visits_recent": "sum(recent * cancel_page_visits)",
+        "help_visits_recent": "sum(recent * help_visits)",
+        "thumbs_down_recent": "sum(recent * thumbs_down_count)",
+    }
+    ends = {
         "first_ms": "min(first_ms)",
         "last_ms": "max(last_ms)",
         "gender_key": "min(gender_key)",
         "level_first_key": "min(level_first_key)",
         "level_last_key": "max(level_last_key)",
-        "registration": "min_by(registration, registration_order)",
         "max_item_in_session": "max(max_item)",
-        "free_events": "sum(free_events)",
-        "paid_events": "sum(paid_events)",
         **{f"last_{x}_ms": f"max(last_{x}_ms)" for x in ("free", "paid", "unknown", "cancel", "help", "downgrade")},
-        **{name: f"nullif(sum({name}), 0L)" for name in PAGE_HITS},
-        "cancel_visits_recent": f"nullif(sum(IF({recent}, cancel_page_visits, 0L)), 0L)",
-        "help_visits_recent": f"nullif(sum(IF({recent}, help_visits, 0L)), 0L)",
-        "thumbs_down_recent": f"nullif(sum(IF({recent}, thumbs_down_count, 0L)), 0L)",
     }
-    merged = snapshots.fan_out(cells).groupBy("userId", "obs_date", "obs_ms").agg(*aggregates(totals))
+    own = {column: f"{x[:4]}{seen(x[4:-1])})" for column, x in ends.items()}
+    changes = (
+        cells.selectExpr("*", f"inline({snapshots.moves()})")
+        .groupBy("userId", "idx")
+        .agg(
+            *aggregates(
+                {
+                    **sums,
+                    **own,
+                    "registration": f"min_by(registration, {seen('registration_order')})",
+                    "registration_order": f"min({seen('registration_order')})",
+                }
+            )
+        )
+    )
+    running = {
+        **{column: f"sum({column})" for column in sums},
+        **{column: f"{x[:3]}({column})" for column, x in ends.items()},
+        "registration": "min_by(registration, registration_order)",
+    }
+    unknown = {*PAGE_HITS, "cancel_visits_recent", "help_visits_recent", "thumbs_down_recent"}
+    final = {column: f"nullif({column}, 0L)" if column in unknown else column for column in running}
+    final |= {column: snapshots.decayed(column) for column in ("song_weight", "event_weight")}
+    merged = snapshots.along(changes, running, final)
     return with_exprs(
         merged,
         {

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from churn_engine.functions.exprs import with_exprs
-from churn_engine.functions.timeexpr import days_between, floor_div, timestamp_sql, to_millis
-from churn_engine.operators.activity import EVENT_ORDER, aggregates
+from churn_engine.functions.timeexpr import floor_div
+from churn_engine.operators.activity import aggregates
+from churn_engine.operators.distinct_items import SESSION, item_activity
 from churn_engine.operators.snapshots import Snapshots
 
 
@@ -14,53 +15,9 @@ def session_activity(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Per (userId, obs_date): distinct sessions (all, recent, historical), mean session length over
     events, decayed number of sessions and the length of the session of the last event.
 
-    Each session becomes one row that holds, per date, its events so far, its recent events and its
-    last event: one map-side-combined aggregate, no window, no copies of events. Only these rows are
-    turned into one per date. The length looks at the whole log unless ``asof_sessions`` is set.
+    The length looks at the whole log unless ``asof_sessions`` is set.
     """
-    dates = list(enumerate(snapshots.dates))
-    seen = [snapshots.within("ts_ms", "seen", day) for _, day in dates]
-    recent = [snapshots.within("ts_ms", "recent", day) for _, day in dates]
-    if snapshots.asof_sessions:
-        events = snapshots.up_to_last_date(events)
-    per_session = (
-        with_exprs(events.where("sessionId IS NOT NULL"), {"event_order": EVENT_ORDER})
-        .groupBy("userId", "sessionId")
-        .agg(
-            *aggregates(
-                {
-                    "start_ms": "min(ts_ms)",
-                    "end_ms": "max(ts_ms)",
-                    "historical": f"bit_or({snapshots.mask('ts_ms', 'historical')})",
-                    **{f"n_{i}": f"count_if({seen[i]})" for i, _ in dates},
-                    **{f"recent_{i}": f"count_if({recent[i]})" for i, _ in dates},
-                    **{f"last_{i}": f"max(IF({seen[i]}, event_order, NULL))" for i, _ in dates},
-                    **{f"end_{i}": f"max(IF({seen[i]}, ts_ms, NULL))" for i, _ in dates if snapshots.asof_sessions},
-                }
-            )
-        )
-    )
-    rows = ", ".join(
-        f"struct({timestamp_sql(day)} AS obs_date, {to_millis(day)}L AS obs_ms, n_{i} AS n, recent_{i} AS n_recent,"
-        f" last_{i} AS last, {f'end_{i}' if snapshots.asof_sessions else 'end_ms'} - start_ms AS span_ms,"
-        f" historical & {1 << i}L != 0 AS in_historical)"
-        for i, day in dates
-    )
-    by_date = per_session.selectExpr("userId", "start_ms", f"inline(array({rows}))").where("n > 0")
-    return by_date.groupBy("userId", "obs_date").agg(
-        *aggregates(
-            {
-                "num_sessions": "count(1)",
-                "sessions_recent": "count_if(n_recent > 0)",
-                "sessions_in_historical": "count_if(in_historical)",
-                # Whole milliseconds until the division: no summing order can change the result.
-                "avg_session_length": "sum(n * span_ms) / (sum(n) * 1000D)",
-                "avg_session_length_recent": "try_divide(sum(n_recent * span_ms), sum(n_recent) * 1000D)",
-                "weighted_sessions": f"sum({snapshots.decay(days_between('obs_ms', 'start_ms'))})",
-                "last_session_length": "max_by(span_ms, last) / 1000D",
-            }
-        )
-    )
+    return item_activity(events, snapshots, [SESSION])
 
 
 def session_trend(events: DataFrame, snapshots: Snapshots, min_days: int = 3) -> DataFrame:
@@ -68,8 +25,8 @@ def session_trend(events: DataFrame, snapshots: Snapshots, min_days: int = 3) ->
     the day; 0 below ``min_days`` days.
 
     A session counts for a day from its first event of that day on, so it is enough to keep that
-    moment. A day whose events have no session id is an active day with 0 sessions. The window orders
-    the days of one user and date.
+    moment. A day whose events have no session id is an active day with 0 sessions. Both values come from running sums of whole
+    numbers over a user's days, so no date looks at the days again; a day that a date cuts changes its part later.
     """
     first = (
         with_exprs(snapshots.up_to_last_date(events), {"day": floor_div("ts_ms")})
@@ -82,20 +39,28 @@ def session_trend(events: DataFrame, snapshots: Snapshots, min_days: int = 3) ->
         .agg(*aggregates({"sessions": "count(sessionId)"}))
         .repartition("userId")
     )
-    daily = snapshots.fan_out(starts).groupBy("userId", "obs_date", "day").agg(
-        *aggregates({"y": "CAST(sum(sessions) AS DOUBLE)"})
-    )
-    numbered = daily.selectExpr(
+    # The steps of a day, earliest first: how many sessions it had before each, and the ordinal of the day.
+    numbered = starts.selectExpr(
         "userId",
-        "obs_date",
-        "y",
-        "CAST(row_number() OVER (PARTITION BY userId, obs_date ORDER BY day) - 1 AS DOUBLE) AS x",
-    )
-    return numbered.groupBy("userId", "obs_date").agg(
-        *aggregates(
-            {
-                "session_freq_trend": f"IF(count(1) >= {min_days}, regr_slope(y, x), 0D)",
-                "session_consistency": f"IF(count(1) >= {min_days}, stddev_samp(y), 0D)",
-            }
-        )
+        "sessions",
+        f"{snapshots.enters} AS idx",
+        "CAST(dense_rank() OVER (PARTITION BY userId ORDER BY day) - 1 AS BIGINT) AS x",
+        "coalesce(sum(sessions) OVER (PARTITION BY userId, day ORDER BY age DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before",
+        "IF(row_number() OVER (PARTITION BY userId, day ORDER BY age DESC) = 1, 1L, 0L) AS opens",
     )
+    sums = {
+        "n": "sum(opens)",
+        "x1": "sum(opens * x)",
+        "x2": "sum(opens * x * x)",
+        "y1": "sum(sessions)",
+        "xy": "sum(x * sessions)",
+        "y2": "sum(sessions * (sessions + 2 * before))",
+    }
+    changes = numbered.groupBy("userId", "idx").agg(*aggregates(sums))
+    slope = "(n * xy - x1 * y1) / CAST(n * x2 - x1 * x1 AS DOUBLE)"
+    deviation = "sqrt((n * y2 - y1 * y1) / CAST(n * (n - 1) AS DOUBLE))"
+    return snapshots.along(
+        changes,
+        {c: f"sum({c})" for c in sums},
+        {"session_freq_trend": f"IF(n >= {min_days}, {slope}, 0D)", "session_consistency": f"IF(n >= {min_days}, {deviation}, 0D)"},
+    ).drop("obs_ms")

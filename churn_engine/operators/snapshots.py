@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from churn_engine.functions.timeexpr import DAY_MS, days_between, parse_date, timestamp_literal, timestamp_sql, to_millis
 
-MAX_DATES_PER_PASS = 16
+# Decayed sums hold exp(days / decay_days) for up to this quotient; far below the greatest exponent of a double.
+MAX_DECAY_SPAN = 600
 
 
 def date_grid(start: str | datetime, end: str | datetime, step_days: int = 5) -> list[datetime]:
@@ -53,17 +54,21 @@ class Snapshots:
         return cls([parse_date(day)], **options)
 
     def passes(self) -> Iterable[Snapshots]:
-        """Sub-grids whose dates lie whole days apart, of a bounded length.
+        """Sub-grids whose dates lie whole days apart.
 
-        A regular grid is one pass; a long one is cut, so that one date is one bit of a mask and a few
-        columns of a row.
+        A regular grid is one pass, whatever its number of dates; only a grid of many years is cut, after
+        ``MAX_DECAY_SPAN * decay_days`` days (11 years by default).
         """
         by_time: dict[int, list[datetime]] = {}
         for day in self.dates:
             by_time.setdefault(to_millis(day) % DAY_MS, []).append(day)
+        longest = timedelta(days=int(MAX_DECAY_SPAN * self.decay_days))
         for days in by_time.values():
-            for i in range(0, len(days), MAX_DATES_PER_PASS):
-                yield replace(self, dates=days[i : i + MAX_DATES_PER_PASS])
+            start = 0
+            for i in range(1, len(days) + 1):
+                if i == len(days) or days[i] - days[start] > longest:
+                    yield replace(self, dates=days[start:i])
+                    start = i
 
     @property
     def anchor_ms(self) -> int:
@@ -79,66 +84,102 @@ class Snapshots:
         """Whether the event lies a whole number of days from the dates, i.e. on a window bound."""
         return f"pmod({self.anchor_ms}L - {ms}, {DAY_MS}L) = 0"
 
+    # --- a cell on the grid -------------------------------------------------------------------------
+    #
+    # A cell is (age, on_mark). With o the days from the first date, it is seen from the first date with o >= step on, where
+    # step = span - age; and since window bounds are whole days, it enters or leaves a window of n days at the first date with
+    # o >= step + n, or one more if it lies on the mark.
+
+    @property
+    def offsets(self) -> list[int]:
+        """Days from the first date to each date."""
+        return [(to_millis(d) - to_millis(self.dates[0])) // DAY_MS for d in self.dates]
+
     @property
-    def is_recent(self) -> str:
-        """``ts >= obs - recent_days``, of a cell."""
-        return f"(age < {self.recent_days} OR (age = {self.recent_days} AND on_mark))"
+    def span(self) -> int:
+        return self.offsets[-1]
+
+    def first_index(self, offset: str) -> str:
+        """SQL text: index of the first date that is at least ``offset`` days after the first one; the number of dates if there is none."""
+        n, offsets = len(self.dates), self.offsets
+        if n == 1:
+            return f"IF({offset} <= 0, 0, 1)"
+        step = offsets[1]
+        if offsets == [step * i for i in range(n)]:
+            return f"CAST(least(greatest(ceil(({offset}) / {float(step)}D), 0L), {n}L) AS INT)"
+        index, at = [], 0
+        for o in range(self.span + 1):
+            at += offsets[at] < o
+            index.append(str(at))
+        return f"IF({offset} <= 0, 0, IF({offset} > {self.span}, {n}, element_at(array({', '.join(index)}), CAST({offset} AS INT) + 1)))"
 
     @property
-    def is_historical(self) -> str:
-        """``obs - historical_start <= ts < obs - historical_end``, of a cell."""
-        start, end = self.historical_start_days, self.historical_end_days
-        return f"((age > {end} OR (age = {end} AND NOT on_mark)) AND (age < {start} OR (age = {start} AND on_mark)))"
-
-    def decay(self, days: str) -> str:
-        """Weight ``exp(-days / scale)``."""
-        return f"exp(-({days}) / {float(self.decay_days)}D)"
-
-    # --- dates as columns --------------------------------------------------------------------------
-
-    def fan_out(self, df: DataFrame) -> DataFrame:
-        """One row per (row, date) whose cell ``age`` lies at or before the date; ``age`` becomes
-        relative to that date. Adds obs_date and obs_ms."""
-        grid = ", ".join(
-            f"struct({timestamp_sql(d)} AS obs_date, {to_millis(d)}L AS obs_ms,"
-            f" {(self.anchor_ms - to_millis(d)) // DAY_MS}L AS _offset)"
-            for d in self.dates
+    def enters(self) -> str:
+        """Index of the first date that sees a cell."""
+        return self.first_index(f"({self.span} - age)") if self.cutoff else "0"
+
+    def moves(self) -> str:
+        """SQL text of an array of ``(idx, seen, recent, historical)``: how a cell's membership changes along the grid.
+
+        A cell after the last date has one entry beyond the grid.
+        """
+        after = lambda days: self.first_index(f"({self.span} - age + {days} + CAST(on_mark AS INT))")
+        points = [
+            f"struct({self.enters} AS idx, 1 AS seen, 1 AS recent, 0 AS historical)",
+            # A cell can lie before the recent window of every date it is seen at.
+            f"struct(greatest({after(self.recent_days)}, {self.enters}) AS idx, 0 AS seen, -1 AS recent, 0 AS historical)",
+            f"struct({after(self.historical_end_days)} AS idx, 0 AS seen, 0 AS recent, 1 AS historical)",
+            f"struct({after(self.historical_start_days)} AS idx, 0 AS seen, 0 AS recent, -1 AS historical)",
+        ]
+        return f"filter(array({', '.join(points)}), x -> x.seen = 1 OR x.idx < {len(self.dates)})"
+
+    def offset_at(self, idx: str) -> str:
+        """SQL text: days from the first date to the date with an index."""
+        return f"element_at(array({', '.join(f'{o}L' for o in self.offsets)}), {idx} + 1)"
+
+    def weight(self, step: str) -> str:
+        """SQL text: ``exp(-days / decay_days)`` of something ``step`` days after the first date, as seen from the last date.
+
+        Sums of these, times ``exp((span - o) / decay_days)``, are the decayed sums at the date o days in: see ``decayed``.
+        """
+        return f"exp(({step} - {self.span}) / {float(self.decay_days)}D)"
+
+    def decayed(self, total: str) -> str:
+        return f"{total} * exp(({self.span} - {self.offset_at('idx')}) / {float(self.decay_days)}D)"
+
+    def along(self, by_idx: DataFrame, running: dict[str, str], final: dict[str, str]) -> DataFrame:
+        """From changes per (userId, idx) to one row per (userId, date).
+
+        ``running`` are aggregates over all changes up to an index, ``final`` columns from them at each date. What holds between two
+        changes is computed once; a user's rows are bounded by the number of dates.
+        """
+        so_far = "(PARTITION BY userId ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        n = len(self.dates)
+        stepped = by_idx.selectExpr(
+            "userId", "idx", f"lead(idx, 1, {n}) OVER (PARTITION BY userId ORDER BY idx) AS until", *[f"{x} OVER {so_far} AS {c}" for c, x in running.items()]
         )
-        kept = df.selectExpr("*", f"inline(array({grid}))").withColumn("age", F.expr("age - _offset"))
-        if self.cutoff:
-            kept = kept.where("age >= 0")
-        return kept.drop("_offset")
+        dated = stepped.selectExpr("userId", *running, "explode(sequence(idx, until - 1)) AS idx")
+        dates = f"array({', '.join(timestamp_sql(d) for d in self.dates)})"
+        first = to_millis(self.dates[0])
+        return dated.selectExpr(
+            "userId",
+            f"element_at({dates}, idx + 1) AS obs_date",
+            f"{first}L + {self.offset_at('idx')} * {DAY_MS}L AS obs_ms",
+            *[f"{x} AS {c}" for c, x in final.items()],
+        )
+
+    # --- events -------------------------------------------------------------------------------------
 
     def up_to_last_date(self, events: DataFrame) -> DataFrame:
         """Drop events after the last date, when dates cut off."""
         return events.where(F.col("ts_ms") <= self.anchor_ms) if self.cutoff else events
 
-    def within(self, ms: str, window: str, day: datetime) -> str:
-        """SQL predicate: the event lies in the window of one date: ``seen``, ``recent`` or
-        ``historical``."""
-        obs = to_millis(day)
-        bounds = {
-            "seen": [],
-            "recent": [f"{ms} >= {obs - self.recent_days * DAY_MS}L"],
-            "historical": [
-                f"{ms} >= {obs - self.historical_start_days * DAY_MS}L",
-                f"{ms} < {obs - self.historical_end_days * DAY_MS}L",
-            ],
-        }[window]
-        if self.cutoff:
-            bounds.append(f"{ms} <= {obs}L")
-        return " AND ".join(bounds) or "true"
-
-    def mask(self, ms: str, window: str) -> str:
-        """BIGINT with bit i set when the event is in the window of date i."""
-        return " + ".join(f"IF({self.within(ms, window, day)}, {1 << i}L, 0L)" for i, day in enumerate(self.dates))
-
 
 def snapshot_events(events: DataFrame, snapshots: Snapshots) -> DataFrame:
     """Every event once per date at or after it (key ``userId, obs_date``).
 
-    The feature plans do not go through this: they reduce events to (user, day) cells first and fan
-    out those.
+    The feature plans do not go through this: they reduce events to (user, day) cells first, and those to
+    what changes from date to date.
     """
     dates = F.array(*[timestamp_literal(d) for d in snapshots.dates])
     if snapshots.cutoff:

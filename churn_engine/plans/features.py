@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from churn_engine.functions.exprs import fill_zero, smoothed_ratio, with_exprs
 from churn_engine.operators import derived
 from churn_engine.operators.activity import PAGE_HITS, activity
-from churn_engine.operators.distinct_items import distinct_items
-from churn_engine.operators.session_activity import session_activity, session_trend
+from churn_engine.operators.distinct_items import SESSION, item_activity
+from churn_engine.operators.session_activity import session_trend
 from churn_engine.operators.snapshots import Snapshots
 from churn_engine.schema import CARRIED, FEATURES_V0, FEATURES_V1, FEATURES_V2, KEYS
 
@@ -51,7 +51,7 @@ def _features_v0(events: DataFrame, snapshots: Snapshots) -> DataFrame:
         derived.tenure(activity(events, snapshots)),
         {"level": "level_mode", "songs_per_day": smoothed_ratio("num_songs_played", "days_active")},
     )
-    sides = [session_activity(events, snapshots), distinct_items(events, snapshots, ["artist"])]
+    sides = [item_activity(events, snapshots, [SESSION, "artist"])]
     df = with_exprs(
         _with_windows(_joined(own, *sides)),
         {
@@ -72,7 +72,7 @@ def _features(
     own = own.select(*KEYS, "recent_events", "historical_events", *mine, *CARRIED)
     if fill:  # nothing after the joins needs these as unknown
         own = fill_zero(own, final)
-    sides = [session_activity(events, snapshots), distinct_items(events, snapshots, ["artist", "song"])]
+    sides = [item_activity(events, snapshots, [SESSION, "artist", "song"])]
     if extra is not None:
         sides.append(extra(events, snapshots))
     df = with_exprs(_with_windows(_joined(own, *sides)), {"unique_songs": "coalesce(song_seen, 0L)"})

@@ -23,6 +23,8 @@ def build_session(app: str = "churn_engine", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # A feature set has more generated classes than the default of 100; with fewer, none is ever found again.
+        "spark.sql.codegen.cache.maxEntries": "1000",
         "spark.ui.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }

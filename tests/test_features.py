@@ -220,7 +220,7 @@ def test_later_events_do_not_change_a_snapshot(spark):
 
 def test_a_grid_equals_its_dates_one_by_one(spark):
     rows = random_log(4)
-    days = [*date_grid("2018-09-20", "2018-10-20", 1), "2018-10-07 05:30"]  # two passes, and another time of day
+    days = [*date_grid("2018-09-20", "2018-10-20", 1), "2018-10-07 05:30"]  # and another time of day
     events = cleaned(spark, rows).cache()
     whole = table(features_v1(events, Snapshots(days)))
     for day in (days[0], days[17], days[-1]):
@@ -229,6 +229,42 @@ def test_a_grid_equals_its_dates_one_by_one(spark):
     assert len({k[1] for k in whole}) == len(days)
 
 
+@pytest.mark.parametrize("options", [{}, {"asof_sessions": True}, {"cutoff": False}])
+def test_a_year_of_daily_dates_is_one_pass(spark, options):
+    events = cleaned(spark, random_log(6)).cache()
+    year = Snapshots.every("2018-03-01 07:15", "2019-02-28 07:15", 1, **options)
+    assert len(year.dates) == 365 and len(list(year.passes())) == 1
+    whole = table(features_v2(events, year))
+    for day in (year.dates[i] for i in (190, 214, 215, 222, 240, 260, 364)):
+        single = table(features_v2(events, Snapshots.at(day, **options)))
+        assert single == {k: v for k, v in whole.items() if k[1] == day}
+
+
+def test_scans_do_not_depend_on_the_number_of_dates(spark, tmp_path):
+    cleaned(spark, random_log(7)).write.parquet(f"{tmp_path}/log")
+    scans = []
+    for grid in (Snapshots.every("2018-10-01", "2018-10-16", 5), Snapshots.every("2018-01-01", "2018-12-31", 1)):
+        plan = features_v2(spark.read.parquet(f"{tmp_path}/log"), grid)._jdf.queryExecution().executedPlan().toString()
+        scans.append(plan.count("FileScan parquet"))
+    assert scans[0] == scans[1] == 3
+
+
+def test_dates_with_gaps(spark):
+    events = cleaned(spark, random_log(8)).cache()
+    grid = Snapshots(["2018-09-03", "2018-09-04", "2018-09-30", "2018-10-01", "2018-10-29", "2018-12-25"])
+    whole = table(features_v2(events, grid))
+    for day in grid.dates:
+        assert table(features_v2(events, Snapshots.at(day))) == {k: v for k, v in whole.items() if k[1] == day}
+
+
+def test_only_grids_of_many_years_are_cut(spark):
+    grid = Snapshots.every("2000-01-01", "2019-01-01", 365)
+    assert [len(x.dates) for x in grid.passes()] == [12, 8]
+    events = cleaned(spark, random_log(9)).cache()
+    last = table(features_v2(events, Snapshots.at(grid.dates[-1])))
+    assert last and last == {k: v for k, v in table(features_v2(events, grid)).items() if k[1] == grid.dates[-1]}
+
+
 def test_fan_out_of_events(spark):
     grid = Snapshots.every("2018-10-15", "2018-10-25")
     rows = [event("2018-10-15"), event("2018-10-15 00:00:00.001", item=1), event("2018-10-26", item=2)]
