@@ -2,36 +2,36 @@
 
 1. Copies of a vector are merged; each distinct vector keeps the ids of its first k + 1 copies, which
    is all that any answer can need.
-2. Distinct vectors are projected on one fixed direction of length 1. Distances on the line never
-   exceed distances in space, so a vector can only be near another whose projection is near.
-3. The line is cut into ranges of about ``block`` vectors (a crowded range into several blocks). In
-   its own block each vector finds an upper bound of its k-th distance.
-4. Every vector then visits just the blocks that its bound reaches. Visitors of one block are split
-   into groups of bounded size, so each task holds two small matrices.
+2. A tree cuts space into leaves, each time across the column in which a bounded sample spreads most. A leaf is cut further into blocks of
+   bounded size, so a crowded region is no hot spot. The sample decides how well the search prunes, never what it finds.
+3. Every block gets the smallest box around its vectors, every node of the tree the box around its blocks. In its own block each vector
+   finds k candidates and so an upper bound of its k-th distance.
+4. The distance to a box is a lower bound of the distance to all vectors in it, in all columns at once. Each vector goes down the tree
+   and lists the blocks that its bound reaches. It visits the nearest of them first, which tightens the bound, then those still in
+   reach. Visitors of one block are split into groups of bounded size, so each task holds two small matrices.
 5. The answers of the visited blocks are merged, and copies put back.
 
-The work depends on how well the line separates the data; the answer does not.
+The work depends on how well boxes separate the data; the answer does not.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from math import ceil
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churn_engine.session import materialise
 
-# Cut points on the driver; beyond this many ranges, ranges hold several blocks instead.
-MAX_RANGES = 4096
+#: Vectors on the driver that shape the tree, and its leaves; where there are more blocks than leaves, a leaf holds several.
+SAMPLE, LEAVES = 1 << 16, 4096
 
-# Executors need not have this package: the two task functions travel with the plan.
+# Executors need not have this package: the task functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FOUND = "vid string, neighbour string, d2 double"
@@ -50,25 +50,6 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
 
 
-def _local_bound(k: int):
-    """Upper bound of the k-th distance from the vectors of one block (infinite if too few)."""
-
-    def bound(block: pd.DataFrame) -> pd.DataFrame:
-        x = _matrix(block["x"])
-        copies = block["ids"].map(len).to_numpy()
-        d2 = squared_distances(x, x)
-        np.fill_diagonal(d2, np.inf)
-        order = np.argsort(d2, axis=1, kind="stable")
-        reached = np.cumsum(copies[order], axis=1) >= k
-        reached &= np.isfinite(np.take_along_axis(d2, order, axis=1))
-        first = reached.argmax(axis=1)
-        rows = np.arange(len(x))
-        radius = np.where(reached.any(axis=1), np.sqrt(d2[rows, order[rows, first]]), np.inf)
-        return pd.DataFrame({"vid": block["vid"], "radius": radius})
-
-    return bound
-
-
 def _search(k: int):
     """The k nearest (distance, id) of the visitors among the vectors of one block."""
 
@@ -97,28 +78,196 @@ def _search(k: int):
     return search
 
 
-def _direction(vectors: DataFrame, width: int) -> list[float]:
-    """Unit vector that weighs each column by its spread (one aggregate, ``width`` numbers)."""
-    spread = vectors.agg(*[F.stddev_pop(F.col("x")[j]).alias(f"s{j}") for j in range(width)]).first()
-    weights = np.array([float(v or 0.0) for v in spread])
-    length = float(np.sqrt((weights**2).sum()))
-    return [1.0] + [0.0] * (width - 1) if length == 0 else list(weights / length)
+class Tree:
+    """Cuts of space: node i goes left (2i + 1) where ``x[column[i]] < cut[i]``, else right (2i + 2); a leaf has column -1."""
+
+    def __init__(self, sample: np.ndarray, leaves: int):
+        self.column, self.cut, self.leaf, self.axis = {}, {}, {}, []
+        todo = [(0, np.arange(len(sample)), max(1, leaves))]
+        while todo:
+            node, own, share = todo.pop(0)
+            spread = sample[own].max(axis=0) - sample[own].min(axis=0) if len(own) else np.zeros(sample.shape[1])
+            widest = int(spread.argmax())
+            if share == 1 or len(own) < 2 or not spread[widest]:
+                self.column[node], self.leaf[node] = -1, len(self.axis)
+                self.axis.append(widest)
+                continue
+            values = np.sort(sample[own, widest])
+            cut = values[len(values) * (share // 2) // share]
+            cut = cut if cut > values[0] else values[np.searchsorted(values, cut, side="right")]
+            self.column[node], self.cut[node] = widest, cut
+            low = sample[own, widest] < cut
+            todo += [(2 * node + 1, own[low], share // 2), (2 * node + 2, own[~low], share - share // 2)]
+
+    def route(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector."""
+        out = np.zeros(len(x), np.int32)
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            node, own = todo.pop()
+            if self.column[node] < 0:
+                out[own] = self.leaf[node]
+                continue
+            low = x[own, self.column[node]] < self.cut[node]
+            todo += [(2 * node + 1, own[low]), (2 * node + 2, own[~low])]
+        return out
+
+    def with_boxes(self, low: np.ndarray, high: np.ndarray) -> Tree:
+        """Boxes of all nodes from those of the leaves (infinitely small where a leaf is empty)."""
+        self.low, self.high = {}, {}
+        for node in sorted(self.column, reverse=True):
+            if self.column[node] < 0:
+                self.low[node], self.high[node] = low[self.leaf[node]], high[self.leaf[node]]
+            else:
+                kids = 2 * node + 1, 2 * node + 2
+                self.low[node], self.high[node] = np.minimum(*(self.low[i] for i in kids)), np.maximum(*(self.high[i] for i in kids))
+        return self
+
+    def within(self, x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, leaf) of all leaves whose box a vector's radius reaches."""
+        found, todo = [(np.zeros(0, np.int64), np.zeros(0, np.int32))], [(0, np.arange(len(x)))]
+        while todo:
+            node, own = todo.pop()
+            away = np.maximum(0.0, np.maximum(self.low[node] - x[own], x[own] - self.high[node]))
+            own = own[np.sqrt((away * away).sum(axis=1)) <= radius[own]]
+            if not len(own):
+                continue
+            if self.column[node] < 0:
+                found.append((own, np.full(len(own), self.leaf[node], np.int32)))
+            else:
+                todo += [(2 * node + 1, own), (2 * node + 2, own)]
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _routed(tree: Tree):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            leaf = tree.route(_matrix(rows["x"])) if len(rows) else np.zeros(0, np.int32)
+            axis = np.array(tree.axis)[leaf]
+            along = [v[j] for v, j in zip(rows["x"], axis, strict=True)]
+            yield pd.DataFrame({"vid": rows["vid"], "ids": rows["ids"], "x": rows["x"], "leaf": leaf, "along": along})
+
+    return run
+
+
+def _reached(tree: Tree):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                i, leaf = tree.within(_matrix(rows["x"]), rows["radius"].to_numpy())
+                part = rows.iloc[i]
+                yield pd.DataFrame({"vid": part["vid"], "x": part["x"], "home": part["home"], "home_part": part["home_part"], "radius": part["radius"], "leaf": leaf})
+
+    return run
+
+
+def _own(k: int):
+    """The k nearest of each vector within its own block."""
+    search = _search(k)
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        return search(block, block.rename(columns={"vid": "host", "x": "host_x"}))
+
+    return run
+
+
+def _visited(visits: DataFrame, blocks: DataFrame, k: int, block: int) -> DataFrame:
+    """What the visitors (vid, x, leaf, part) find; a block's visitors in groups of bounded size."""
+    crowds = visits.groupBy("leaf", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("groups"))
+    seat = F.pmod(F.xxhash64("vid", F.lit(7)), F.col("groups")).cast("int")
+    visitors = visits.join(crowds, ["leaf", "part"]).select("leaf", "part", seat.alias("seat"), "vid", "x")
+    hosts = blocks.join(crowds, ["leaf", "part"]).select(
+        F.col("leaf").alias("host_leaf"),
+        F.col("part").alias("host_part"),
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("host_seat"),
+        F.col("vid").alias("host"),
+        "ids",
+        F.col("x").alias("host_x"),
+    )
+    return visitors.groupBy("leaf", "part", "seat").cogroup(hosts.groupBy("host_leaf", "host_part", "host_seat")).applyInPandas(_search(k), FOUND)
 
 
-def _dot(weights: Sequence[float]) -> Column:
-    total = F.lit(0.0)
-    for j, w in enumerate(weights):
-        if w:
-            total = total + F.col("x")[j] * F.lit(float(w))
-    return total
+def _closest(found: DataFrame, k: int) -> DataFrame:
+    closest = Window.partitionBy("vid").orderBy("d2", "neighbour")
+    return found.withColumn("_r", F.row_number().over(closest)).where(F.col("_r") <= k).drop("_r")
 
 
-def _bucket(df: DataFrame, splits: list[float], source: str, target: str) -> DataFrame:
-    """Range number of a projection (binary search on the JVM)."""
-    if len(splits) == 2:
-        return df.withColumn(target, F.lit(0))
-    out = Bucketizer(splits=splits, inputCol=source, outputCol=target).transform(df)
-    return out.withColumn(target, F.col(target).cast("int"))
+def _radius(found: DataFrame, k: int) -> DataFrame:
+    """(vid, radius): the k-th distance found, with slack for rounding; a vector with fewer has no row."""
+    kth = found.groupBy("vid").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max("d2")).alias("d"))
+    return kth.where(F.col("n") >= k).select("vid", (F.col("d") * (1 + 1e-9) + 1e-12).alias("radius"))
+
+
+def _merged(points: DataFrame, features: Sequence[str], id_col: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """(id, x) of all points; distinct vectors with the ids of their first k + 1 copies."""
+    x = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])
+    members = points.select(F.col(id_col).alias("id"), x.alias("x"))
+    # The rank filter is applied before and after the shuffle (group limit).
+    copies = Window.partitionBy("x").orderBy("id")
+    heads = members.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1)
+    return members, heads.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("vid", F.col("ids")[0])
+
+
+def _blocks(vectors: DataFrame, count: int, width: int, block: int) -> tuple[Tree, DataFrame]:
+    """The tree, and the vectors with their block (leaf, part)."""
+    share = min(1.0, SAMPLE / max(count, 1))
+    drawn = vectors.where(F.pmod(F.xxhash64("vid", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("x").limit(2 * SAMPLE)
+    drawn = drawn if count > block else drawn.limit(0)
+    sample = np.array([r.x for r in drawn.collect()], dtype=float).reshape(-1, width)
+    tree = Tree(sample, min(ceil(count / block), LEAVES))
+    routed = vectors.select("vid", "ids", "x").mapInPandas(_routed(tree), "vid string, ids array<string>, x array<double>, leaf int, along double")
+    if len(tree.axis) == 1 and count <= block:
+        return tree, routed.withColumn("part", F.lit(0)).drop("along")
+    place = F.row_number().over(Window.partitionBy("leaf").orderBy("along", "vid")) - 1
+    return tree, routed.withColumn("part", F.floor(place / F.lit(block)).cast("int")).drop("along")
+
+
+def _visits(blocks: DataFrame, tree: Tree, found: DataFrame, width: int, k: int) -> DataFrame:
+    """(vid, x, leaf, part, away): blocks other than its own that a vector's bound reaches, with the distance to their boxes."""
+    dims = range(width)
+    ends = [F.array(*[f(F.col("x")[j]) for j in dims]) for f in (F.min, F.max)]
+    boxes = materialise(blocks.groupBy("leaf", "part").agg(ends[0].alias("low"), ends[1].alias("high")))
+    around = boxes.groupBy("leaf").agg(F.array(*[F.min(F.col("low")[j]) for j in dims]).alias("low"), F.array(*[F.max(F.col("high")[j]) for j in dims]).alias("high"))
+    low, high = np.full((len(tree.axis), width), np.inf), np.full((len(tree.axis), width), -np.inf)
+    for r in around.collect():  # at most LEAVES boxes
+        low[r.leaf], high[r.leaf] = r.low, r.high
+    tree.with_boxes(low, high)
+    # A vector with more than k copies is answered by them alone.
+    asking = blocks.where(F.size("ids") <= k).select("vid", "x", F.col("leaf").alias("home"), F.col("part").alias("home_part"))
+    asking = asking.join(_radius(found, k), "vid", "left").withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
+    reached = asking.mapInPandas(_reached(tree), "vid string, x array<double>, home int, home_part int, radius double, leaf int")
+    near = reached.join(boxes, "leaf").where((F.col("leaf") != F.col("home")) | (F.col("part") != F.col("home_part")))
+    outside = F.zip_with("x", F.zip_with("low", "high", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda v, e: F.greatest(F.lit(0.0), e["a"] - v, v - e["b"]))
+    away = F.sqrt(F.aggregate(outside, F.lit(0.0), lambda total, d: total + d * d))
+    return near.withColumn("away", away).where(F.col("away") <= F.col("radius")).select("vid", "x", "leaf", "part", "away", "radius")
+
+
+def _all_found(vectors: DataFrame, width: int, k: int, block: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """(candidates of all distinct vectors, number of blocks, visits to blocks other than one's own)."""
+    count = vectors.count()
+    tree, blocks = _blocks(vectors, count, width, block)
+    blocks = materialise(blocks)
+    found = blocks.groupBy("leaf", "part").applyInPandas(_own(k), FOUND)
+    if count <= block:
+        return found, 1, None
+    found = materialise(found)
+    visits = materialise(_visits(blocks, tree, found, width, k))
+    order = F.row_number().over(Window.partitionBy("vid").orderBy("away", "leaf", "part"))
+    visits = visits.withColumn("turn", order)
+    first = _visited(visits.where("turn = 1").select("vid", "x", "leaf", "part"), blocks, k, block)
+    found = materialise(_closest(found.unionByName(first), k))
+    tight = _radius(found, k).withColumnRenamed("radius", "tighter")
+    rest = visits.where("turn > 1").join(tight, "vid", "left").where(F.col("away") <= F.coalesce("tighter", "radius"))
+    rest = materialise(rest.select("vid", "x", "leaf", "part"))
+    done = visits.where("turn = 1").select("vid", "leaf", "part").unionByName(rest.select("vid", "leaf", "part"))
+    return _closest(found.unionByName(_visited(rest, blocks, k, block)), k), blocks.select("leaf", "part").distinct().count(), done
+
+
+def visited_blocks(points: DataFrame, features: Sequence[str], id_col: str = "id", k: int = 5, block: int = 1024) -> dict[str, int]:
+    """How much a search has to look at: distinct vectors, blocks, and visits to blocks other than a vector's own."""
+    vectors = materialise(_merged(points, features, id_col, k)[1])
+    _, blocks, visits = _all_found(vectors, len(features), k, block)
+    return {"vectors": vectors.count(), "blocks": blocks, "visits": visits.count() if visits is not None else 0}
 
 
 def nearest_neighbours(
@@ -129,76 +278,11 @@ def nearest_neighbours(
     ``points`` has a unique string ``id_col`` and numeric, non-null ``features``. It is read more than
     once: pass a checkpointed or stored table when it is costly.
     """
-    x = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])
-    members = points.select(F.col(id_col).alias("id"), x.alias("x"))
-
-    # 1. Distinct vectors; the rank filter is applied before and after the shuffle (group limit).
-    copies = Window.partitionBy("x").orderBy("id")
-    heads = members.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1)
-    vectors = materialise(
-        heads.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("vid", F.col("ids")[0])
-    )
-
-    # 2. + 3. Ranges, blocks and bounds.
-    count = vectors.count()
-    projected = vectors.withColumn("p", _dot(_direction(vectors, len(features))))
-    ranges = min(max(1, ceil(count / block)), MAX_RANGES)
-    cuts = projected.approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    located = _bucket(projected, splits, "p", "range")
-    sizes = located.groupBy("range").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")
-    blocks = (
-        located.join(F.broadcast(sizes), "range")  # at most MAX_RANGES rows
-        .withColumn("part", part)
-        .select("vid", "ids", "x", "p", "range", "part")
-    )
-    bounds = (
-        blocks.select("range", "part", "vid", "ids", "x")
-        .groupBy("range", "part")
-        .applyInPandas(_local_bound(k), "vid string, radius double")
-    )
-
-    # 4. Visits. A vector with more than k copies is answered by them alone.
-    slack = F.col("radius") * 1e-9 + F.abs("p") * 1e-12 + 1e-12
-    open_ends = (
-        blocks.where(F.size("ids") <= k)
-        .select("vid", "x", "p")
-        .join(bounds, "vid")
-        .withColumns({"_low": F.col("p") - F.col("radius") - slack, "_high": F.col("p") + F.col("radius") + slack})
-    )
-    reach = materialise(
-        _bucket(_bucket(open_ends, splits, "_low", "_from"), splits, "_high", "_to").select("vid", "x", "_from", "_to")
-    )
-    visits = (
-        reach.select("vid", "x", F.explode(F.sequence("_from", "_to")).alias("range"))
-        .join(blocks.select("range", "part").distinct(), "range")
-    )
-    crowds = visits.groupBy("range", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("groups"))
-    seat = F.pmod(F.xxhash64("vid", F.lit(7)), F.col("groups")).cast("int")
-    visitors = visits.join(crowds, ["range", "part"]).select("range", "part", seat.alias("seat"), "vid", "x")
-    hosts = blocks.join(crowds, ["range", "part"]).select(
-        F.col("range").alias("host_range"),
-        F.col("part").alias("host_part"),
-        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("host_seat"),
-        F.col("vid").alias("host"),
-        "ids",
-        F.col("x").alias("host_x"),
-    )
-    found = (
-        visitors.groupBy("range", "part", "seat")
-        .cogroup(hosts.groupBy("host_range", "host_part", "host_seat"))
-        .applyInPandas(_search(k), FOUND)
-    )
-
-    # 5. Merge, then give every member its list: its own copies first, itself left out.
-    closest = Window.partitionBy("vid").orderBy("d2", "neighbour")
-    others = (
-        found.withColumn("_r", F.row_number().over(closest))
-        .where(F.col("_r") <= k)
-        .groupBy("vid")
-        .agg(F.collect_list(F.struct("d2", F.col("neighbour").alias("id"))).alias("far"))
-    )
+    members, vectors = _merged(points, features, id_col, k)
+    vectors = materialise(vectors)
+    found, _, _ = _all_found(vectors, len(features), k, block)
+    # Every member gets its list: its own copies first, itself left out.
+    others = found.groupBy("vid").agg(F.collect_list(F.struct("d2", F.col("neighbour").alias("id"))).alias("far"))
     own = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("d2"), i.alias("id")))
     empty = F.filter(own, lambda c: F.lit(False))
     lists = vectors.join(others, "vid", "left").select(

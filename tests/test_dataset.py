@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from churn_engine.functions.exprs import digest
 from churn_engine.functions.running import md5_rank, running_total
 from churn_engine.operators import dataset, smote
-from churn_engine.operators.knn import nearest_neighbours
+from churn_engine.operators.knn import nearest_neighbours, visited_blocks
 
 
 @pytest.fixture(scope="module")
@@ -173,3 +173,15 @@ def test_too_few_rows_for_k(imbalanced):
         smote.smote_resample(few, ["f", "g"], ["userId"])
     made = smote.smote_resample(few, ["f", "g"], ["userId"], k=2)
     assert made.where("churned = 1").count() == made.where("churned = 0").count() == 88
+
+
+def test_search_prunes_in_every_direction(spark):
+    """Clusters that lie apart in some columns each: a block's neighbours are few, whichever column parts them."""
+    rng = np.random.default_rng(11)
+    middles = rng.choice([-50.0, 0.0, 50.0], size=(40, 6))
+    x = middles[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 6))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcdef")).assign(id=[f"r{i:04d}" for i in range(2000)]))
+    seen = visited_blocks(df, list("abcdef"), block=50)
+    assert seen["vectors"] == 2000 and seen["blocks"] >= 40 and seen["visits"] < 3 * 2000
+    got = nearest_neighbours(df, list("abcdef"), block=50).collect()
+    assert {(r.id, r["rank"]): (r.neighbour, round(r.distance, 9)) for r in got} == brute_force([f"r{i:04d}" for i in range(2000)], x, 5)
