@@ -525,6 +525,19 @@ def oracle_sql() -> dict[str, str]:
           SELECT *, CAST((row_number() OVER (ORDER BY md5({KEY} || '|42')) - 1) % 3 AS INTEGER) AS fold FROM labels""",
         "user_folds": f"""WITH {snap()}{LABELS}
           SELECT *, CAST(floor({uniform("md5(CAST(userId AS VARCHAR) || '|42')")} * 5) AS INTEGER) AS fold FROM labels""",
+        "scaled_features": f"""WITH {labelled(V2)}, split AS (SELECT *, {uniform(f"md5({KEY} || '|42')")} < 0.2 AS is_test FROM rows),
+          moments AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in V2)} FROM split WHERE NOT is_test)
+          SELECT userId, obs_date, {", ".join(f"{r(f'CASE WHEN s_{c} > 0 THEN (CAST({c} AS DOUBLE) - m_{c}) / s_{c} ELSE 0 END')} AS {c}" for c in V2)}
+          FROM split, moments WHERE is_test""",
+        "page_one_hot": f"""WITH {CLEAN}, pages AS (
+            SELECT page, CAST(row_number() OVER (ORDER BY count(*) DESC, page) - 1 AS INTEGER) AS page_position FROM clean
+            WHERE ts < TIMESTAMP '2024-01-03' GROUP BY page),
+          levels AS (
+            SELECT level, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(level AS VARCHAR)) - 1 AS INTEGER) AS level_position FROM clean
+            WHERE ts < TIMESTAMP '2024-01-03' AND level IS NOT NULL GROUP BY level)
+          SELECT userId, sessionId, itemInSession, c.page AS page, page_position, level_position,
+            CAST(page_position IS NULL AS INTEGER) AS page_other, CAST(level_position IS NULL AND c.level IS NOT NULL AS INTEGER) AS level_other, 1 AS page_ones
+          FROM clean c LEFT JOIN pages p ON c.page = p.page LEFT JOIN levels l ON c.level = l.level""",
         "smote_neighbours": f"WITH {MINORITY} SELECT id, neighbour, rank, {r('distance')} AS distance FROM near",
         "smote_resample": f"""WITH {SYNTHETIC}
           SELECT {KEY} AS id, {_round_all(V2)}, churned, 0 AS is_synthetic FROM rows

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churn_engine.ml import models, tuning
-from churn_engine.operators import correlation, dataset, derived, labels, metrics, profile, smote
+from churn_engine.operators import correlation, dataset, derived, encoding, labels, metrics, profile, scaling, smote
 from churn_engine.operators.activity import activity
 from churn_engine.operators.clean import CLEAN_COLUMNS, clean_events, with_session_length
 from churn_engine.operators.session_activity import session_activity, session_trend
@@ -121,7 +121,29 @@ def _trained_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(training_set(events(spark, sf_dir), TRAINING))
     train, test = dataset.train_test_split(rows)
     fitted = models.fit_all(train, models.BASE_PARAMS, FEATURES_V2)
-    return rounded(metrics.compare_models(models.predictions(fitted, test)))
+    return rounded(metrics.compare_models(materialise(models.predictions(fitted, test))))
+
+
+def _scaled(ev: DataFrame) -> DataFrame:
+    """Test rows, scaled by the moments of the training rows."""
+    train, test = dataset.train_test_split(materialise(rounded(training_set(ev, TRAINING))))
+    return scaling.scaled(test.select(*KEYS, *FEATURES_V2), scaling.fit_moments(train, FEATURES_V2))
+
+
+def _page_positions(ev: DataFrame) -> DataFrame:
+    """Where the page of each event stands in the dictionary of the log's first two days."""
+    known = encoding.fit_dictionary(ev.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-03 00:00:00'")), ["page", "level"])
+    coded = encoding.one_hot(ev, known, unseen="column")
+    ones = sum(F.col(c) for c in [*known.names("page"), "page_other"])
+    names = [encoding.position(known, c).alias(f"{c}_position") for c in ("page", "level")]
+    return coded.select("userId", "sessionId", "itemInSession", "page", *names, "page_other", "level_other", ones.alias("page_ones"))
+
+
+def _neural_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train the multilayer perceptron on the hash split's training part, score its test part."""
+    train, test = dataset.train_test_split(materialise(training_set(events(spark, sf_dir), TRAINING)))
+    fitted = models.fit(train, "neural_network", features=FEATURES_V2)
+    return rounded(models.predictions({"neural_network": fitted}, test))
 
 
 def _scored_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +247,8 @@ def queries() -> dict[str, Query]:
         "stratified_folds": _on_events(lambda ev: dataset.stratified_folds(_labels(ev))),
         "plain_folds": _on_events(lambda ev: dataset.stratified_folds(_labels(ev), k=3, label=None)),
         "user_folds": _on_events(lambda ev: dataset.user_folds(_labels(ev))),
+        "scaled_features": _on_events(_scaled),
+        "page_one_hot": _on_events(_page_positions),
         "smote_neighbours": _on_events(
             lambda ev: smote.smote_neighbours(materialise(rounded(training_set(ev, TRAINING))), FEATURES_V2)
         ),
@@ -251,6 +275,7 @@ def queries() -> dict[str, Query]:
         "random_forest": _model("random_forest"),
         "xgboost": _model("xgboost"),
         "catboost": _model("catboost"),
+        "neural_network": _neural_network,
         "trained_model_comparison": _trained_comparison,
         "scored_submission": _scored_submission,
         "feature_importance": _importance,

@@ -6,13 +6,16 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,13 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churn_engine.operators.dataset import with_class_weight
+from churn_engine.operators.encoding import Dictionary
 from churn_engine.operators.metrics import threshold_class
 from churn_engine.schema import KEYS, LABEL
 from churn_engine.session import materialise
 from churn_engine.sources.sinks import write_submission
 
 MAX_DEPTH = 30  # MLlib's limit
-KINDS = ("logistic_regression", "decision_tree", "random_forest", "xgboost", "catboost")
+KINDS = ("logistic_regression", "decision_tree", "random_forest", "xgboost", "catboost", "neural_network")
+
+#: The multilayer perceptron, which takes scaled features and no weights.
+NEURAL_PARAMS: dict[str, Any] = {"hidden_layers": (16, 8), "max_iter": 100}
 
 # The parameters of the untuned models, and the tuned ones, under their usual names.
 BASE_PARAMS: dict[str, dict[str, Any]] = {
@@ -109,11 +116,14 @@ class Mapped:
     weight: str | float | None
     ignored: tuple[str, ...] = field(default=())
 
-    def build(self, features_col: str = "features", label: str = LABEL, weight_col: str = "weight", seed: int = 42):
-        seeded = {} if self.estimator is LogisticRegression else {"seed": seed}
-        return self.estimator(
-            featuresCol=features_col, labelCol=label, weightCol=weight_col, **seeded, **self.params
-        )
+    def build(self, features_col: str = "features", label: str = LABEL, weight_col: str = "weight", seed: int = 42, width: int = 0):
+        more = {} if self.estimator is LogisticRegression else {"seed": seed}
+        params = dict(self.params)
+        if self.estimator is MultilayerPerceptronClassifier:
+            more["layers"] = [width, *params.pop("hidden"), 2]
+        else:
+            more["weightCol"] = weight_col
+        return self.estimator(featuresCol=features_col, labelCol=label, **more, **params)
 
 
 def _depth(value: int | None, ignored: list[str]) -> int:
@@ -188,6 +198,16 @@ def map_params(kind: str, params: Mapping[str, Any], rows: int | None = None) ->
             "minInfoGain": float(take("gamma", 0.0)),
         }
         estimator = GBTClassifier
+    elif kind == "neural_network":
+        out = {
+            "hidden": tuple(int(n) for n in take("hidden_layers", (16, 8))),
+            "maxIter": int(take("max_iter", 100)),
+            "tol": float(take("tol", 1e-6)),
+        }
+        estimator = MultilayerPerceptronClassifier
+        if weight is not None:
+            ignored.append("class_weight")  # oversample instead
+            weight = None
     else:
         out = {
             "maxIter": int(take("iterations", 500)),
@@ -205,38 +225,43 @@ def map_params(kind: str, params: Mapping[str, Any], rows: int | None = None) ->
 
 @dataclass(frozen=True)
 class FittedModel:
-    """A fitted pipeline with the feature list it was trained on."""
+    """A fitted pipeline with the feature list it was trained on; ``inputs`` names each place of the feature vector."""
 
     name: str
     kind: str
     features: tuple[str, ...]
     pipeline: PipelineModel
+    inputs: tuple[str, ...] = ()
 
     def predict(self, rows: DataFrame, threshold: float | None = None) -> DataFrame:
         """Rows plus ``score`` (probability of the positive class) and ``prediction``: the model's
         class, or score > threshold."""
         out = self.pipeline.transform(rows).withColumn("score", vector_to_array("probability")[1])
         chosen = F.col("prediction").cast("int") if threshold is None else threshold_class(F.col("score"), threshold)
-        helpers = [c for c in ("features", "_assembled", "rawPrediction", "probability") if c not in rows.columns]
+        helpers = [c for c in out.columns if (c.startswith("_") or c in ("features", "rawPrediction", "probability")) and c not in rows.columns]
         return out.withColumn("prediction", chosen).drop(*helpers)
 
     def importance(self) -> DataFrame:
-        """(feature, importance): split importance of trees, coefficients of logistic regression."""
+        """(feature, importance): split importance of trees, coefficients of logistic regression; a neural network has none."""
         fitted = self.pipeline.stages[-1]
+        if self.kind == "neural_network":
+            raise ValueError("a neural network has no importance of single features")
         values = fitted.coefficients if self.kind == "logistic_regression" else fitted.featureImportances
-        rows = [(name, float(v)) for name, v in zip(self.features, values.toArray(), strict=True)]
+        rows = [(name, float(v)) for name, v in zip(self.inputs or self.features, values.toArray(), strict=True)]
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
     def save(self, path: str) -> None:
         self.pipeline.write().save(path)
 
 
-def assembler(features: Sequence[str], scale: bool = False) -> list:
-    """Stages that make the feature vector; scaling is off unless asked for."""
+def assembler(features: Sequence[str], scale: bool = False, categories: Dictionary | None = None) -> list:
+    """Stages that make the feature vector; scaling is off unless asked for. Encoded categories come after the features."""
+    stages, vectors = categories.stages() if categories is not None else ([], [])
     if not scale:
-        return [VectorAssembler(inputCols=list(features), outputCol="features")]
+        return [*stages, VectorAssembler(inputCols=[*features, *vectors], outputCol="features")]
     return [
-        VectorAssembler(inputCols=list(features), outputCol="_assembled"),
+        *stages,
+        VectorAssembler(inputCols=[*features, *vectors], outputCol="_assembled"),
         StandardScaler(inputCol="_assembled", outputCol="features", withMean=True, withStd=True),
     ]
 
@@ -249,19 +274,25 @@ def fit(
     label: str = LABEL,
     name: str | None = None,
     seed: int = 42,
-    scale: bool = False,
+    scale: bool | None = None,
+    categories: Dictionary | None = None,
 ) -> FittedModel:
     """Fit one model. MLlib passes over the rows many times: hand in a materialised table (see
     :func:`churn_engine.session.materialise`) when they are costly to compute.
 
-    Class weights come from the rows being fitted.
+    Class weights and the moments of scaling come from the rows being fitted. Scaling is off, but for a neural network, unless ``scale`` says
+    otherwise. ``categories`` adds one-hot vectors of columns; the dictionary is saved with the model.
     """
-    params = BASE_PARAMS[kind] if params is None else params
+    if params is None:
+        params = NEURAL_PARAMS if kind == "neural_network" else BASE_PARAMS[kind]
     n = rows.count() if kind == "logistic_regression" else None
     mapped = map_params(kind, params, n)
     weighted = with_class_weight(rows, mapped.weight, label)
-    pipeline = Pipeline(stages=[*assembler(features, scale), mapped.build(label=label, seed=seed)])
-    return FittedModel(name or kind, kind, tuple(features), pipeline.fit(weighted))
+    inputs = [*features, *(x for c in (categories.values if categories is not None else ()) for x in categories.names(c))]
+    estimator = mapped.build(label=label, seed=seed, width=len(inputs))
+    wanted = kind == "neural_network" if scale is None else scale
+    pipeline = Pipeline(stages=[*assembler(features, wanted, categories), estimator])
+    return FittedModel(name or kind, kind, tuple(features), pipeline.fit(weighted), tuple(inputs))
 
 
 def fit_all(
@@ -270,10 +301,18 @@ def fit_all(
     features: Sequence[str],
     label: str = LABEL,
     seed: int = 42,
+    parallelism: int = 5,
 ) -> dict[str, FittedModel]:
-    """Fit several models (kind -> parameters) on the same, once materialised rows."""
+    """Fit several models (kind -> parameters) on the same, once materialised rows, ``parallelism`` at a time: a fit is many small
+    jobs one after the other, and other fits use the cores that these leave."""
     stored = materialise(rows.select(*features, label))
-    return {kind: fit(stored, kind, params, features, label, seed=seed) for kind, params in models.items()}
+
+    def one(task: tuple[str, Mapping[str, Any]]) -> FittedModel:
+        return fit(stored, *task, features, label, seed=seed)
+
+    with ThreadPool(max(1, min(parallelism, len(models)))) as pool:
+        fitted = pool.map(inheritable_thread_target(stored.sparkSession)(one), list(models.items()), chunksize=1)
+    return dict(zip(models, fitted, strict=True))
 
 
 def predictions(

@@ -21,6 +21,9 @@ from churn_engine.operators.dataset import stratified_folds
 from churn_engine.schema import KEYS, LABEL
 from churn_engine.session import materialise
 
+#: Fits of a search at the same time, unless told otherwise; more only wait for the driver.
+MOST_FITS = 16
+
 # --- search spaces -----------------------------------------------------------------------------------
 
 
@@ -144,6 +147,8 @@ SPACES: dict[str, Space] = {
         "random_strength": Real(0, 10),
     },
 }
+#: Architectures of the neural network to try; the other spaces are fixed values.
+SPACES["neural_network"] = {"hidden_layers": Choice(((8,), (16,), (16, 8), (32, 16), (64, 32))), "max_iter": Whole(50, 200)}
 
 
 def grid(values: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -225,7 +230,7 @@ def search(
     label: str = LABEL,
     key: Sequence[str] = KEYS,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Cross-validate every candidate on stratified folds and refit the best on all rows.
 
@@ -242,7 +247,9 @@ def search(
         return evaluator.evaluate(model.pipeline.transform(stored.where(F.col("fold") == fold)))
 
     tasks = [(candidate, fold) for candidate in candidates for fold in range(folds)]
-    with ThreadPool(parallelism) as pool:
+    # A fit is hundreds of small jobs one after the other: as many fits at once as there are cores keep them busy.
+    at_once = parallelism or min(MOST_FITS, max(1, stored.sparkSession.sparkContext.defaultParallelism))
+    with ThreadPool(min(at_once, len(tasks))) as pool:
         values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
     means = [sum(values[i : i + folds]) / folds for i in range(0, len(values), folds)]
     ranked = sorted(zip(means, candidates, strict=True), key=lambda pair: -pair[0])

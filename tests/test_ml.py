@@ -6,11 +6,12 @@ import warnings
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from churn_engine.ml import models, tuning
-from churn_engine.operators import metrics
+from churn_engine.operators import encoding, metrics, scaling
 from churn_engine.sources import sinks
 
 FEATURES = ["a", "b", "c"]
@@ -35,6 +36,7 @@ SMALL = {
     "random_forest": {"class_weight": "balanced", "max_depth": 4, "n_estimators": 10},
     "xgboost": {"scale_pos_weight": "positive", "n_estimators": 5, "max_depth": 2, "learning_rate": 0.3},
     "catboost": {"scale_pos_weight": "positive", "iterations": 5, "depth": 2, "border_count": 16},
+    "neural_network": {"hidden_layers": (4,), "max_iter": 40},
 }
 
 
@@ -50,6 +52,8 @@ def test_every_model_finds_the_signal(rows, fitted):
     assert set(auc) == set(models.KINDS)
     assert min(auc.values()) > 0.85
     for model in fitted.values():
+        if model.kind == "neural_network":
+            continue
         top = model.importance().orderBy(F.desc(F.abs("importance"))).first()
         assert top.feature == "a"
 
@@ -193,3 +197,71 @@ def test_registered_searches_and_fits_have_the_stated_sizes(spark, sf_dir, monke
     assert (kind, params["iterations"], features) == ("catboost", 500, FEATURES_V2)
     (_, params, features), _ = asked("trained_model_comparison")
     assert set(params) == set(models.BASE_PARAMS) and len(params) == 5 and features == FEATURES_V2
+
+
+def test_six_models_in_one_comparison(rows, fitted):
+    best = metrics.compare_models(models.predictions(fitted, rows)).collect()
+    assert {r.model for r in best} == set(models.KINDS) and sum(r.is_best for r in best) == 1
+
+
+def test_neural_network(rows, fitted):
+    model = fitted["neural_network"]
+    assert model.pipeline.stages[-1].getLayers() == [3, 4, 2]
+    with pytest.raises(ValueError):
+        model.importance()
+    with pytest.warns(models.IgnoredParameter, match="class_weight"):
+        models.map_params("neural_network", {"class_weight": "balanced"})
+
+
+def test_scaled_fit_uses_the_moments_of_its_rows(rows):
+    wide = rows.withColumn("a", F.col("a") * 1000 + 5).withColumn("b", F.lit(7.0))
+    model = models.fit(wide, "logistic_regression", {"C": 1.0}, FEATURES, scale=True)
+    scaler = model.pipeline.stages[-2]
+    stats = wide.agg(F.avg("a"), F.stddev_samp("a")).first()
+    assert (scaler.mean[0], scaler.std[0], scaler.std[1]) == (pytest.approx(stats[0]), pytest.approx(stats[1]), 0.0)
+    plain = models.fit(rows.withColumn("b", F.lit(7.0)), "logistic_regression", {"C": 1.0}, FEATURES, scale=True)
+    a = {r.userId: r.score for r in model.predict(wide).collect()}
+    b = {r.userId: r.score for r in plain.predict(rows.withColumn("b", F.lit(7.0))).collect()}
+    assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_moments_are_fitted_once(rows, spark):
+    table = rows.withColumns({"same": F.lit(3.0), "none": F.lit(None).cast("double")})
+    train, other = table.where("userId < 200"), table.where("userId >= 200")
+    moments = scaling.fit_moments(train, ["a", "same", "none"])
+    assert sorted(scaling.Moments.of_table(moments.table(spark)).columns) == ["a", "none", "same"]
+    stats = train.agg(F.avg("a").alias("m"), F.stddev_samp("a").alias("s")).first()
+    plain = {r.userId: r.a for r in other.collect()}
+    for r in scaling.scaled(other, moments).collect():
+        assert (r.a, r.same, r.none) == (pytest.approx((plain[r.userId] - stats.m) / stats.s), 0.0, None)
+    assert scaling.fit_moments(train.limit(0), ["a"]) == scaling.Moments(("a",), (0.0,), (0.0,))
+
+
+def test_one_hot(spark):
+    train = spark.createDataFrame([("Home", 1), ("Add Friend", 1), ("Home", None), (None, 2), ("add friend!", 2)], "page string, level int")
+    known = encoding.fit_dictionary(train, ["page", "level"])
+    assert known.values == {"page": ("Home", "Add Friend", "add friend!"), "level": ("1", "2")}
+    assert known.names("page") == ["page_home", "page_add_friend", "page_add_friend_2"]
+    assert encoding.Dictionary.of_table(known.table(spark)) == encoding.Dictionary(dict(sorted(known.values.items())))
+    other = spark.createDataFrame([("Home", 2), ("New", None), (None, 9)], "page string, level int")
+    names = [*known.names("page"), *known.names("level")]
+    assert [tuple(r) for r in encoding.one_hot(other, known).select(*names).collect()] == [(1, 0, 0, 0, 1), (0,) * 5, (0,) * 5]
+    own = encoding.one_hot(other, known, unseen="column").select("page_other", "level_other").collect()
+    assert [tuple(r) for r in own] == [(0, 0), (1, 0), (0, 1)]
+    with pytest.raises(Exception, match="no such value"):
+        encoding.one_hot(other, known, unseen="error").collect()
+    with pytest.raises(ValueError, match="more than 2"):
+        encoding.fit_dictionary(train, ["page"], most=2)
+
+
+def test_categories_travel_with_the_model(rows, spark, tmp_path):
+    coded = rows.withColumn("page", F.when(F.col("churned") == 1, "bye").when(F.col("b") > 0, "home").otherwise("song"))
+    known = encoding.fit_dictionary(coded, ["page"])
+    model = models.fit(coded, "decision_tree", {"max_depth": 3}, ["b", "c"], categories=known)
+    assert model.inputs == ("b", "c", *known.names("page"))
+    assert model.importance().orderBy(F.desc("importance")).first().feature == "page_bye"
+    unseen = coded.withColumn("page", F.lit("new"))
+    assert model.predict(unseen).columns == [*unseen.columns, "prediction", "score"]
+    model.save(str(tmp_path / "model"))
+    again = models.FittedModel(model.name, model.kind, model.features, PipelineModel.load(str(tmp_path / "model")), model.inputs)
+    assert sorted(r.score for r in again.predict(unseen).collect()) == sorted(r.score for r in model.predict(unseen).collect())
