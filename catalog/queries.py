@@ -14,6 +14,7 @@ from churn_engine.operators.activity import activity
 from churn_engine.operators.clean import CLEAN_COLUMNS, clean_events, with_session_length
 from churn_engine.operators.session_activity import session_activity, session_trend
 from churn_engine.operators.snapshots import Snapshots, snapshot_events
+from churn_engine.plans.experiment import experiment
 from churn_engine.plans.features import features_v0, features_v1, features_v2, unfilled_v2
 from churn_engine.plans.training import scoring_set, training_set
 from churn_engine.schema import FEATURES_V1, FEATURES_V2, KEYS, LABEL, PAGE_COUNTS, PAGE_SET_COUNTS
@@ -146,6 +147,16 @@ def _neural_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(models.predictions({"neural_network": fitted}, test))
 
 
+def _experiment(params: dict, thresholds: dict, *kinds: str) -> Query:
+    """Split, oversample the training part, fit the named models, compare them at their own class and at their thresholds."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = training_set(events(spark, sf_dir), TRAINING)
+        return rounded(experiment(rows, {k: params[k] for k in kinds}, FEATURES_V2, thresholds)[2])
+
+    return run
+
+
 def _scored_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     fitted = models.fit(
@@ -276,6 +287,9 @@ def queries() -> dict[str, Query]:
         "xgboost": _model("xgboost"),
         "catboost": _model("catboost"),
         "neural_network": _neural_network,
+        "oversampled_comparison": _experiment(models.BASE_PARAMS, models.BASE_THRESHOLDS, "logistic_regression", "decision_tree", "random_forest"),
+        "tuned_logistic_regression": _experiment(models.TUNED_PARAMS, models.TUNED_THRESHOLDS, "logistic_regression"),
+        "tuned_decision_tree": _experiment(models.TUNED_PARAMS, models.TUNED_THRESHOLDS, "decision_tree"),
         "trained_model_comparison": _trained_comparison,
         "scored_submission": _scored_submission,
         "feature_importance": _importance,

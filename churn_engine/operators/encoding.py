@@ -46,7 +46,7 @@ class Dictionary:
         indexed, vectors = [f"_{c}_index" for c in columns], [f"_{c}_vector" for c in columns]
         indexer = StringIndexerModel.from_arrays_of_labels([list(self.values[c]) for c in columns], columns, indexed, handleInvalid="keep")
         # The index after the last value stands for all others and is the one that is dropped.
-        return [indexer, OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=True, handleInvalid="keep")], vectors
+        return [indexer, OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=True)], vectors
 
 
 def fit_dictionary(train: DataFrame, columns: Sequence[str], most: int = 100) -> Dictionary:

@@ -11,7 +11,8 @@ from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassi
 from pyspark.sql import functions as F
 
 from churn_engine.ml import models, tuning
-from churn_engine.operators import encoding, metrics, scaling
+from churn_engine.operators import dataset, encoding, metrics, scaling
+from churn_engine.plans.experiment import experiment
 from churn_engine.sources import sinks
 
 FEATURES = ["a", "b", "c"]
@@ -265,3 +266,22 @@ def test_categories_travel_with_the_model(rows, spark, tmp_path):
     model.save(str(tmp_path / "model"))
     again = models.FittedModel(model.name, model.kind, model.features, PipelineModel.load(str(tmp_path / "model")), model.inputs)
     assert sorted(r.score for r in again.predict(unseen).collect()) == sorted(r.score for r in model.predict(unseen).collect())
+
+
+def test_experiment(rows):
+    params = {"decision_tree": SMALL["decision_tree"], "random_forest": SMALL["random_forest"]}
+    fitted, scored, compared = experiment(rows, params, FEATURES, {"random_forest": 0.9, "decision_tree": None, "xgboost": 0.1})
+    assert list(fitted) == list(params) and scored.columns == ["model", "seq", "userId", "obs_date", "label", "prediction", "score"]
+    train, test = dataset.train_test_split(rows)
+    assert scored.count() == 2 * test.count()
+    found = {r.model: r for r in compared.collect()}
+    assert set(found) == {"decision_tree", "random_forest", "random_forest@0.9"} and sum(r.is_best for r in found.values()) == 1
+    forest = scored.where("model = 'random_forest'").collect()
+    assert found["random_forest"].accuracy == pytest.approx(np.mean([r.prediction == r.label for r in forest]))
+    assert found["random_forest@0.9"].accuracy == pytest.approx(np.mean([int(r.score > 0.9) == r.label for r in forest]))
+    assert found["random_forest"].auc == pytest.approx(found["random_forest@0.9"].auc) and found["random_forest"].auc > 0.85
+
+
+def test_experiment_without_oversampling_or_thresholds(rows):
+    _, _, compared = experiment(rows, {"decision_tree": SMALL["decision_tree"]}, FEATURES, oversample=False)
+    assert [r.model for r in compared.collect()] == ["decision_tree"]
