@@ -219,7 +219,9 @@ def _told(fields: dict[str, str], block: bytes) -> dict:
 def read_archives(archives: DataFrame, id_col: str = "page_id") -> DataFrame:
     """One row per record of the listed archives: ``id_col, payload_bytes, payload_digest, record_type, refers_to, url``. Payloads are checked
     against their digests."""
-    told = archives.select("archive").repartition("archive")
+    listed = archives.select("archive")
+    # A row of the list is a few bytes and an archive many: as many tasks as archives, which no coalescing joins.
+    told = listed.repartition(max(1, listed.count()), "archive")
     schema = "page long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return told.mapInArrow(_read, schema).select(F.col("page").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
