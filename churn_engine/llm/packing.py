@@ -228,8 +228,10 @@ def pack_documents(
         F.col("x.length").cast("array<int>").alias("lengths"),
         F.expr("cast(array() as array<array<int>>)").alias("population"),
         F.lit(None).cast("array<int>").alias("migrant"),
-    ).repartition("block", "island")
+    )
     for number in range(EPOCHS):
+        # An island is one row and seconds of work: a task for each, which no coalescing joins.
+        state = state.repartition(blocks * islands, "block", "island")
         state = store(state.mapInArrow(_epoch(number, capacity, GENERATIONS, POPULATION), STATE))
         moved = state.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("population")[0].alias("migrant"))
         if number < EPOCHS - 1 and islands > 1:
