@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
-from churn_engine.llm.common import components, in_slices, pack, pieces, small_batches, store, text_bytes, unpacked
+from churn_engine.llm.common import components, in_slices, pack, pieces, ranges, small_batches, store, text_bytes, unpacked
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -28,6 +28,8 @@ SLOTS = 1 << 20
 DRAWS = 1 << 16
 #: 64-bit blocks of the filter that spares texts an exchange: 2 MB whatever the corpus.
 BLOOM_BLOCKS = 1 << 18
+#: Members of a tile of a bucket, and their shingles, on average. A task compares two tiles.
+TILE_MEMBERS, TILE_SHINGLES = 256, 1 << 19
 #: Slack for rounding wherever a bound leaves a pair out.
 EPSILON = 1e-6
 
@@ -147,7 +149,8 @@ def _banded(weights: np.ndarray) -> Callable:
             )
             ids = pa.array(np.asarray(batch.column("id"))[full])
             total = np.add.reduceat(weight.astype(np.float64), begins)
-            yield from pieces({"id": ids, "content": content, "bands": lists, "total": total})
+            counts = np.diff(index)[full]
+            yield from pieces({"id": ids, "content": content, "bands": lists, "total": total, "n_shingles": counts})
 
     return run
 
@@ -216,6 +219,74 @@ def _similarities(weights: np.ndarray) -> Callable:
     return run
 
 
+def _tile_links(weights: np.ndarray, similarity: float) -> Callable:
+    """The pairs of two tiles of a bucket that reach the similarity; only pairs that no bound leaves out are compared."""
+
+    def undecided(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which pairs can reach the similarity, lie in two components and share no earlier bucket. The similarity of a text to
+        the bucket's lead may be unknown (NaN); comparisons with NaN leave nothing out."""
+        sides = lambda name: (lambda x: (x[left][:, None], x[right][None, :]))(rows[name].to_numpy())
+        (x, y), (p, q), (of_x, of_y) = sides("common"), sides("total"), sides("component")
+        both = np.minimum(x, y)
+        may = (of_x != of_y) & (both >= (similarity - EPSILON) * (p + q - both))
+        (met_x, met_y), (far_x, far_y) = sides("met"), sides("far")
+        # Two texts share at most the lesser of what they share with the lead, and the lesser of the rest that is not alone.
+        both = np.minimum(met_x, met_y) + np.maximum(np.minimum(x - met_x, y - met_y), 0)
+        may &= ~(both < (similarity - EPSILON) * (p + q - both))
+        # The triangle inequality of the Jaccard distance.
+        may &= ~(np.abs(far_x - far_y) > 1 - similarity + EPSILON)
+        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+        for i in range(rows["band"][0].as_py()):
+            may &= bands[left, i][:, None] != bands[right, i][None, :]
+        return may
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids, tile = rows["id"].to_numpy(), rows["tile"].to_numpy()
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+        out_a, out_b = [], []
+        if len(left) and len(right):
+            may = undecided(rows, left, right)
+            if i == j:
+                may &= ids[left][:, None] < ids[right][None, :]
+            needed = np.union1d(left[may.any(1)], right[may.any(0)])
+            keys, found, counts = [], [], []
+            for batch in rows.select(["body"]).take(pa.array(needed)).to_batches():
+                for part in in_slices([batch], "body", 1 << 18):
+                    hashes, first = _folded_words(pa.array(unpacked(part.column("body")), pa.large_binary()))
+                    key, weight, index = shingles(hashes, first, weights)
+                    keys.append(key), found.append(weight), counts.append(np.diff(index))
+            if len(needed):
+                key, weight = np.concatenate(keys), np.concatenate(found)
+                ends = np.cumsum(np.concatenate(counts))
+                starts = np.r_[0, ends[:-1]]
+                total = np.add.reduceat(weight.astype(np.float64), starts)
+                numbers = np.unique(key, return_inverse=True)[1]
+                place = np.zeros(rows.num_rows, np.int64)
+                place[needed] = np.arange(len(needed))
+                mine = np.zeros(int(numbers.max()) + 1, np.float32)
+                for row in np.flatnonzero(may.any(1)):
+                    a, others = place[left[row]], place[right[may[row]]]
+                    own = slice(starts[a], ends[a])
+                    mine[numbers[own]] = weight[own]
+                    lengths = ends[others] - starts[others]
+                    at = ranges(starts[others], lengths)
+                    least = np.minimum(mine[numbers[at]], weight[at]).astype(np.float64)
+                    shared = np.add.reduceat(least, np.r_[0, np.cumsum(lengths)[:-1]])
+                    mine[numbers[own]] = 0
+                    close = shared / (total[a] + total[others] - shared)
+                    for b, value in zip(others[close >= similarity - EPSILON].tolist(), close[close >= similarity - EPSILON].tolist(), strict=True):
+                        # Sums in another order differ in their last bits; at the threshold the usual one decides.
+                        if value < similarity + EPSILON:
+                            value = jaccard(key[own], weight[own], key[starts[b] : ends[b]], weight[starts[b] : ends[b]])
+                        if value >= similarity:
+                            out_a.append(ids[needed[a]])
+                            out_b.append(ids[needed[b]])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return run
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: ``id_col, class_id, component_id, class_size, kept``.
 
@@ -226,10 +297,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Candidates are classes that share a band. What a class has in common with any other candidate bounds its
     similarities from above (a shingle found nowhere else is never shared), which leaves out most members of a group whose edits differ. Each
     class is compared with a lead of its bucket, one that shares the most buckets (a star, as many pairs as rows), and
-    components are formed. Then only pairs are left whose classes share a bucket but no component; of those the
-    bound and the triangle inequality of the Jaccard distance leave out what cannot reach the similarity, the others
-    are compared too. So no link between components is lost, and a group of thousands of near copies costs thousands of
-    comparisons rather than millions.
+    components are formed. Then only pairs are left whose classes share a bucket but no component. A bucket that has such pairs is dealt
+    into tiles of bounded size, and a task compares two tiles: the bound and the triangle inequality of the Jaccard distance leave out
+    what cannot reach the similarity, the others are compared in full, and only links leave the task. So no link between
+    components is lost, no pair is ever a row, and members of one component are not compared again.
 
     Defined cases: null texts and texts without words are classes of their own and are kept; rows with a null id are
     kept and never compared; rows that repeat an id are one node, and the node has the words of all of them only if
@@ -239,10 +310,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
     weights = slot_weights(texts.select("text"))
-    signed = store(texts.mapInArrow(_banded(weights), "id long, content binary, bands array<long>, total double"))
+    signed = store(texts.mapInArrow(_banded(weights), "id long, content binary, bands array<long>, total double, n_shingles long"))
     classes = store(signed.groupBy("content").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("class_size")))
     members = store(signed.select("id", "content").join(classes, "content").select("id", "class", "class_size"))
-    heads = signed.join(classes.where("class IS NOT NULL"), ["content"]).where("id = class").select("id", "bands", "total").dropDuplicates(["id"])
+    heads = signed.join(classes.where("class IS NOT NULL"), ["content"]).where("id = class").select("id", "bands", "total", "n_shingles").dropDuplicates(["id"])
     buckets = heads.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = store(buckets.join(sizes, ["band", "bucket"]))
@@ -275,37 +346,36 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = compared(star)
     linked = first.where(F.col("similarity") >= similarity).select("a", "b")
     found = store(components(linked))
-    # What is left are pairs of one bucket in two components. By the triangle inequality they can only reach the
-    # similarity if their distances to the lead, where they are known, differ by no more than 1 - similarity. Also, two
-    # texts share at most the lesser of what they share with the lead, and the lesser of the rest that is not alone.
+    # What is left are pairs of one bucket in two components.
     placed = led.join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.join(first.select(F.col("a").alias("lead_id"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("far")), ["lead_id", "id"], "left")
     far = F.when(F.col("id") == F.col("lead_id"), 0.0).otherwise(F.col("far"))
     # Jaccard similarity s of totals p and q means that s / (1 + s) * (p + q) is shared.
     met = (1 - far) / (2 - far) * (F.col("total") + F.col("lead_total"))
     placed = placed.select("band", "bucket", "id", "common", "total", F.coalesce("component", "id").alias("component"), far.alias("far"), met.alias("met"))
-    spread = placed.groupBy("band", "bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = placed.join(spread.select("band", "bucket"), ["band", "bucket"], "left_semi")
-    placed = store(placed.join(heads.select("id", "bands"), "id"))
-    kept = ("id", "component", "far", "met", "common", "total", "bands")
-    x, y = (placed.select("band", "bucket", *(F.col(c).alias(f"{s}{c}") for c in kept)) for s in ("x_", "y_"))
-    # A pair that shares several buckets is made in the first of them only.
-    shared_before = F.exists(F.slice(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), F.lit(1), F.col("band")), lambda z: z)
-    beyond = F.least(F.col("x_common") - F.col("x_met"), F.col("y_common") - F.col("y_met"))
-    both = F.least("x_met", "y_met") + F.greatest(beyond, F.lit(0.0))
-    # Null where a text was not compared with the lead; least() would skip it.
-    both = F.when(F.col("x_met").isNotNull() & F.col("y_met").isNotNull(), both)
-    rest = x.join(y, ["band", "bucket"]).where(
-        (F.col("x_id") < F.col("y_id"))
-        & (F.col("x_component") != F.col("y_component"))
-        & reachable("x_", "y_")
-        & F.coalesce(both >= (similarity - EPSILON) * (F.col("x_total") + F.col("y_total") - both), F.lit(True))
-        & ~shared_before
-        & F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity + EPSILON, F.lit(True))
-    )
-    rest = rest.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-    known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = compared(rest.join(known, ["a", "b"], "left_anti")).where(F.col("similarity") >= similarity).select("a", "b")
+    placed = placed.join(heads.select("id", "bands", "n_shingles"), "id")
+    # The members of a bucket's largest component are not compared with each other, so they have tiles of their own.
+    parts = placed.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    parts = parts.groupBy("band", "bucket").agg(
+        F.max(F.struct("n", -F.col("component"), "component", "size")).alias("most"),
+        F.sum("n").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n_parts"),
+    )
+    tiles = lambda n, size: F.ceil(F.greatest(n / TILE_MEMBERS, size / TILE_SHINGLES)).cast("int")
+    parts = parts.where("n_parts > 1").select(
+        "band", "bucket", F.col("most.component").alias("largest"), tiles(F.col("most.n"), F.col("most.size")).alias("n_largest"),
+        tiles(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("n_rest"),
+    )
+    placed = placed.join(parts, ["band", "bucket"])
+    dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    tile = F.when(F.col("component") == F.col("largest"), F.col("n_rest") + dealt("n_largest")).otherwise(dealt("n_rest"))
+    placed = placed.withColumn("tile", tile).drop("n_shingles", "largest").join(bodies, "id")
+    # A tile of the rest meets itself and every later one, so no task holds more than two tiles and no pair is a row.
+    as_left = F.transform(F.sequence("tile", F.col("n_rest") + F.col("n_largest") - 1), lambda j: F.struct(F.col("tile").alias("i"), j.alias("j")))
+    as_right = F.transform(F.sequence(F.lit(0), F.least("tile", "n_rest") - 1), lambda i: F.struct(i.alias("i"), F.col("tile").alias("j")))
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    meets = F.concat(F.when(F.col("tile") < F.col("n_rest"), as_left).otherwise(none), F.when(F.col("tile") > 0, as_right).otherwise(none))
+    met_by = placed.select("band", "bucket", "tile", "id", "component", "common", "total", "far", "met", "bands", "body", F.inline(meets))
+    second = store(met_by.groupBy("band", "bucket", "i", "j").applyInArrow(_tile_links(weights, similarity), "a long, b long"))
     if second.limit(1).count():
         found = store(components(linked.unionByName(second)))
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left").select(

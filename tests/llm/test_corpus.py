@@ -92,17 +92,21 @@ def weighted(texts: list[str], weights: np.ndarray) -> list[dict[int, float]]:
     return out
 
 
-def test_near_groups_equal_brute_force(spark):
+def near_edits(n_groups: int, copies: int, edits) -> list[str]:
+    """Texts of 120 words in groups; copy ``c`` of a group has ``edits(c)`` words of its own."""
     rng = np.random.default_rng(5)
     texts = []
-    for g in range(6):
+    for g in range(n_groups):
         base = prose(g, 120)
-        for c in range(25):
+        for c in range(copies):
             copy = list(base)
-            for p in rng.choice(120, c // 3, replace=False):
+            for p in rng.choice(120, edits(c), replace=False):
                 copy[p] = f"edit{g}x{c}x{p}"
             texts.append(" ".join(copy))
-    texts += ["a b c", "A b C", "alone words here", ""]
+    return texts
+
+
+def assert_near_groups_equal_brute_force(spark, texts: list[str]) -> int:
     rows = list(enumerate(texts))
     docs = documents(spark, rows)
     found = {r.doc_id: r for r in near_dedup.near_groups(docs).collect()}
@@ -123,6 +127,53 @@ def test_near_groups_equal_brute_force(spark):
                 parent[y] = x
     assert {i: r.component_id for i, r in found.items()} == {i: root(i) for i in range(len(texts))}
     assert sum(r.kept for r in found.values()) == len({root(i) for i in range(len(texts))})
+    return len({root(i) for i in range(len(texts))})
+
+
+def test_near_groups_equal_brute_force(spark):
+    texts = near_edits(6, 25, lambda c: c // 3) + ["a b c", "A b C", "alone words here", ""]
+    assert_near_groups_equal_brute_force(spark, texts)
+
+
+def test_members_just_below_the_similarity_are_compared_tile_by_tile(spark, monkeypatch):
+    """Copies about as far from each other as the similarity: many components share a bucket, in many small tiles."""
+    monkeypatch.setattr(near_dedup, "TILE_MEMBERS", 5)
+    compared, inner = [], near_dedup._tile_links
+    monkeypatch.setattr(near_dedup, "_tile_links", lambda *x: compared.append(x) or inner(*x))
+    texts = near_edits(2, 60, lambda c: 1 + c % 3)
+    assert 2 < assert_near_groups_equal_brute_force(spark, texts) < len(texts)
+    assert compared
+
+
+def test_tiles_hold_bounded_groups_and_emit_links_only():
+    """One tile pair by itself: unknown leads, an earlier shared bucket, a pair at the similarity."""
+    from churn_engine.llm.common import BATCH_ROWS
+    import zstandard
+
+    texts = near_edits(1, 12, lambda c: c % 4)
+    squeeze = zstandard.ZstdCompressor()
+    weights = np.full(near_dedup.SLOTS, 1024, np.int32)
+    vectors = weighted(texts, weights)
+    total = [sum(v.values()) for v in vectors]
+    n = len(texts)
+    assert n < BATCH_ROWS
+    rows = {
+        "band": [1] * n, "bucket": [7] * n, "i": [0] * n, "j": [1] * n, "tile": [k % 2 for k in range(n)], "id": list(range(n)),
+        "component": list(range(n)), "common": total, "total": total, "far": [None] * n, "met": [None] * n,
+        "bands": [[k if k > 1 else 0, 5] for k in range(n)], "body": [squeeze.compress(t.encode()) for t in texts],
+    }
+    types = {"far": pa.float64(), "met": pa.float64(), "bands": pa.list_(pa.int64())}
+    table = pa.table({k: pa.array(v, types.get(k)) for k, v in rows.items()})
+    found = near_dedup._tile_links(weights, 0.8)(table).to_pydict()
+
+    def similar(a, b):
+        low = sum(min(w, vectors[b][k]) for k, w in vectors[a].items() if k in vectors[b])
+        return low / (total[a] + total[b] - low) >= 0.8
+
+    # 0 and 1 share the bucket of band 0, so they are made there.
+    true = {(a, b) for a in range(0, n, 2) for b in range(1, n, 2) if similar(a, b) and (a, b) != (0, 1)}
+    assert 0 < len(true) < n * n / 4
+    assert {tuple(sorted(x)) for x in zip(found["a"], found["b"], strict=True)} == {tuple(sorted(x)) for x in true}
 
 
 def test_sampler_agrees_as_often_as_texts_are_similar():
