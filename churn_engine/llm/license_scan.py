@@ -153,6 +153,33 @@ def _header(text: Column) -> Column:
     )
 
 
+def _near_spans(floor: float, rarest: float) -> Column:
+    """The spans of ``words`` that may come near a notice: as long as it (``n_words``), with the words it ``needs``.
+
+    Blocks as long as the notice are summed first. A span lies in two neighbouring blocks, so where what two of them share with the notice is
+    below ``floor`` no span between them is looked at. What is left is bounded again with the span's own length: a word that no template
+    has (not in ``found``) weighs ``rarest``.
+    """
+    n, size = F.col("n_words"), F.size("words")
+    of = lambda w, what: F.coalesce(F.try_element_at("shares", w)[what], F.lit(0.0))
+    total = lambda part, what: F.aggregate(part, F.lit(0.0), lambda x, w: x + of(w, what))
+    gain = lambda at, many: total(F.slice("words", at, many), "share")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(size / n).cast("int")), lambda k: F.struct(k.alias("k"), gain(k * n + 1, n).alias("sum")))
+    pairs = F.zip_with(blocks, F.slice(blocks, 2, size + 1), lambda x, y: F.struct(x.k.alias("k"), (x.sum + F.coalesce(y.sum, F.lit(0.0))).alias("sum")))
+    last = F.greatest(F.lit(1), size - n + 1)
+    begins = F.filter(pairs, lambda p: (p.sum >= floor) & (p.k * n + 1 <= last))
+    starts = F.flatten(F.transform(begins, lambda p: F.sequence(p.k * n + 1, F.least(p.k * n + n, last))))
+    spans = F.transform(F.filter(starts, lambda at: gain(at, n) >= floor), lambda at: F.slice("words", at, n))
+
+    def near(span: Column) -> Column:
+        weight, unknown = total(span, "idf"), F.size(F.filter(span, lambda w: ~F.array_contains("found", w)))
+        square = weight * weight
+        return F.least(F.lit(1.0), total(span, "share")) * square >= floor * (square + unknown * rarest**2)
+
+    spans = F.filter(spans, lambda x: (F.size(F.array_except("needs", x)) == 0) & near(x))
+    return F.transform(spans, lambda x: F.array_join(x, " "))
+
+
 def scan_licenses(
     files: DataFrame,
     id_col: str = "file_id",
@@ -172,7 +199,8 @@ def scan_licenses(
     without its version names no licence that has versions.
 
     A span is any run of as many words as a notice has. A text is cut into spans for a notice only if the words they share have ``cosine`` of the notice's
-    length, and a span is compared only if its words have: all others are below ``cosine`` by Cauchy and Schwarz, so none is missed.
+    length, and a span is compared only if its words have, also for the span's own length: all others are below ``cosine`` by Cauchy and
+    Schwarz, so none is missed.
 
     Equal pieces are compared once, and directories rather than files are joined to their ancestors, so neither a notice that a third
     of all files share nor a directory with a third of all files is a single task.
@@ -193,13 +221,14 @@ def scan_licenses(
     for i, (name, text) in enumerate(everything):
         squares = {w: (n * idf[w]) ** 2 for w, n in _template_tokens(text).items()}
         length, needed = math.sqrt(sum(squares.values())), _needed(name, text)
-        names.append((i, name, len(needed), i >= len(templates)))
+        names.append((i, name, needed, i >= len(templates)))
         postings += [(w, i, math.sqrt(x) / length, int(w in needed)) for w, x in squares.items()]
         if i < len(templates):
-            spans.append((i, len(re.findall("[a-z0-9]+", text.lower())), {w: x / length**2 for w, x in squares.items()}))
+            shares = {w: (x / length**2, idf[w]) for w, x in squares.items()}
+            spans.append((i, len(re.findall("[a-z0-9]+", text.lower())), needed, shares))
     postings = F.broadcast(spark.createDataFrame(postings, "word string, template int, weight double, needed int"))
-    names = F.broadcast(spark.createDataFrame(names, "template int, license string, n_needed int, is_full boolean"))
-    spans = F.broadcast(spark.createDataFrame(spans, "template int, n_words int, shares map<string,double>"))
+    names = F.broadcast(spark.createDataFrame(names, "template int, license string, needs array<string>, is_full boolean"))
+    spans = F.broadcast(spark.createDataFrame(spans, "template int, n_words int, needs array<string>, shares map<string,struct<share:double,idf:double>>"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
     floor = cosine**2 * (1 - 1e-9)
 
@@ -208,39 +237,35 @@ def scan_licenses(
     held = store(held.withColumn("key", F.xxhash64("id", "path", "text")))
     shared = held.select("key", F.explode("found").alias("word")).join(postings, "word").groupBy("key", "template")
     shared = shared.agg(F.sum(F.col("weight") * F.col("weight")).alias("share"), F.sum("needed").alias("needed")).where(F.col("share") >= floor)
-    shared = store(shared.join(names, "template").where("needed >= n_needed").select("key", "template", "is_full"))
-    whole = shared.groupBy("key").agg(F.max("is_full").alias("is_full"))
-    held = store(held.drop("found").join(whole, "key"))
+    shared = shared.join(names, "template").where("needed >= size(needs)").groupBy("key")
+    shared = shared.agg(F.collect_list(F.struct("template", "needs", "is_full")).alias("near"), F.max("is_full").alias("is_full"))
+    held = store(held.join(shared.hint("merge"), "key").drop("key"))
 
     # Their pieces.
+    may_name = lambda x: F.arrays_overlap(tokens(x), keys) & F.exists("near", lambda t: F.size(F.array_except(t.needs, tokens(x))) == 0)
     pieces = F.concat(
-        F.transform(F.filter(F.split("text", "\n"), lambda x: F.arrays_overlap(tokens(x), keys)), lambda x: F.struct(F.lit("line").alias("kind"), x.alias("piece"))),
+        F.transform(F.filter(F.split("text", "\n"), may_name), lambda x: F.struct(F.lit("line").alias("kind"), x.alias("piece"))),
         F.array(F.struct(F.lit("header").alias("kind"), _header(F.col("text")).alias("piece"))),
         F.when(F.col("is_full"), F.array(F.struct(F.lit("whole").alias("kind"), F.col("text").alias("piece")))).otherwise(F.array()),
     )
     n_chars = F.length("text").alias("n_chars")
     pieces = held.select("id", "path", n_chars, F.lit(None).cast("int").alias("template"), F.inline(pieces))
-    cut = held.join(shared.where("NOT is_full"), "key").join(spans, "template").select("id", "path", n_chars, "template", "n_words", "shares", tokens(F.col("text")).alias("words"))
-    cut = cut.withColumn("gain", F.transform("words", lambda w: F.coalesce(F.try_element_at("shares", w), F.lit(0.0))))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("n_words") + 1))
-    near_enough = lambda at: F.aggregate(F.slice("gain", at, F.col("n_words")), F.lit(0.0), lambda x, y: x + y) >= floor
-    cut = cut.select("id", "path", "n_chars", "template", "n_words", "words", F.explode(F.filter(starts, near_enough)).alias("at"))
-    span = F.array_join(F.slice("words", F.col("at"), F.col("n_words")), " ").alias("piece")
-    cut = cut.select("id", "path", "n_chars", "template", F.lit("span").alias("kind"), span)
+    cut = held.select("id", "path", n_chars, tokens(F.col("text")).alias("words"), "found", F.explode(F.filter("near", lambda t: ~t.is_full)).alias("t"))
+    cut = cut.withColumn("template", F.col("t.template")).drop("t").join(spans, "template")
+    cut = cut.select("id", "path", "n_chars", "template", F.explode(_near_spans(floor, rarest)).alias("piece")).withColumn("kind", F.lit("span"))
     pieces = pieces.unionByName(cut).where("piece != ''")
     pieces = store(pieces.withColumn("digest", F.unhex(F.md5(F.concat_ws("/", "template", "piece")))))
 
-    # Distinct pieces as sparse vectors, joined to the templates' words; a span only to its notice's. A piece's words stay in one task.
+    # Distinct pieces as sparse vectors, joined to the templates' words; a span only to its notice's. All that follows for a piece
+    # happens where its digest lies.
     single = store(pieces.groupBy("digest").agg(F.first("template").alias("only"), F.first("piece").alias("piece")))
-    terms = single.select("digest", "only", tokens(F.col("piece")).alias("words"))
-    tf = F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("word"), F.size(F.filter("words", lambda x: x == w)).alias("tf")))
-    terms = terms.select("digest", "only", F.inline(tf)).join(known, "word", "left")
-    terms = terms.select("digest", "only", "word", (F.col("tf") * F.coalesce("idf", F.lit(rarest))).alias("weight_piece"))
+    spread = single.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "digest")
+    terms = spread.select("digest", "only", F.explode(tokens(F.col("piece"))).alias("word")).groupBy("digest", "only", "word").agg(F.count(F.lit(1)).alias("tf"))
+    terms = terms.join(known, "word", "left").withColumn("weight_piece", F.col("tf") * F.coalesce("idf", F.lit(rarest)))
     lengths = terms.groupBy("digest").agg(F.sqrt(F.sum(F.col("weight_piece") * F.col("weight_piece"))).alias("length"))
-    by_span = terms.where("only IS NOT NULL").withColumnRenamed("only", "template").join(postings, ["word", "template"])
-    products = terms.where("only IS NULL").join(postings, "word").drop("only").unionByName(by_span).groupBy("digest", "template")
+    products = terms.join(postings, "word").where("only IS NULL OR only = template").groupBy("digest", "template")
     products = products.agg(F.sum(F.col("weight_piece") * F.col("weight")).alias("product"), F.sum("needed").alias("needed"))
-    near = products.join(names, "template").where("needed >= n_needed")
+    near = products.join(names, "template").where("needed >= size(needs)")
     near = near.join(lengths, "digest").select("digest", "license", "is_full", F.round(F.col("product") / F.col("length"), 6).alias("similarity"))
     near = near.where(F.col("similarity") >= cosine)
     order = F.struct(-F.col("similarity"), F.col("license"))
