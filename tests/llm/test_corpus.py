@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import zlib
 from collections import defaultdict
 
@@ -490,6 +491,61 @@ def test_licenses_of_headers_spans_and_ids(spark):
     assert dict(zip(cases, own_licenses(spark, list(cases)), strict=True)) == cases
 
 
+def brute_license(texts: dict[int, str]) -> dict[int, tuple[str, float] | None]:
+    """The most similar template of any line, any run of a notice's length, and the whole text, by plain cosine."""
+    terms = license_scan._template_tokens
+    everything = [*license_scan.TEMPLATES, *license_scan.full_texts()]
+    vocabulary = {w for _, t in everything for w in terms(t)}
+    df = defaultdict(int)
+    for text in texts.values():
+        for w in set(terms(text)) & vocabulary:
+            df[w] += 1
+    idf = {w: 1 + math.log((1 + len(texts)) / (1 + df[w])) for w in vocabulary}
+    rarest = max(idf.values())
+
+    def similarity(piece: str, i: int) -> float:
+        name, template = everything[i]
+        a = {w: n * idf.get(w, rarest) for w, n in terms(piece).items()}
+        b = {w: n * idf[w] for w, n in terms(template).items()}
+        if not set(license_scan._needed(name, template)) <= set(a):
+            return 0.0
+        return sum(x * b.get(w, 0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())) if a else 0.0
+
+    found = {}
+    for key, text in texts.items():
+        run = re.findall("[a-z0-9]+", text.lower())
+        scores = []
+        for i, (name, template) in enumerate(everything):
+            is_full, n = i >= len(license_scan.TEMPLATES), len(re.findall("[a-z0-9]+", template.lower()))
+            spans = [] if is_full else [" ".join(run[k : k + n]) for k in range(max(1, len(run) - n + 1))]
+            for whole, piece in [(False, x) for x in {*text.split("\n"), *spans}] + [(True, text)] * is_full:
+                if (x := round(similarity(piece, i), 6)) >= license_scan.COSINE:
+                    scores.append((not whole, -x, name))
+        found[key] = (min(scores)[2], -min(scores)[1]) if scores else None
+    return found
+
+
+def test_licenses_equal_brute_force(spark):
+    """Notices whole, cut, mixed and with words changed, in texts of fewer words than a notice up to many blocks of it."""
+    rng = np.random.default_rng(11)
+    short = [t for _, t in license_scan.TEMPLATES if len(t) < 120]
+    texts = {}
+    for i in range(150):
+        parts = []
+        for _ in range(rng.integers(1, 5)):
+            notice = short[rng.integers(len(short))].split()
+            notice = [w if rng.random() > 0.12 * (i % 4) else f"w{rng.integers(40)}" for w in notice][rng.integers(0, 3) :]
+            parts += [" ".join(notice), " ".join(prose(1000 + 7 * i + len(parts), int(rng.integers(0, 60))))]
+        texts[i] = "".join(x + ("\n" if rng.random() < 0.4 else " ") for x in (parts if i % 3 else parts[1:2]))
+    texts[150], texts[151] = dict(license_scan.full_texts())["BSD-2-Clause"], "mit " * 300 + "der die das " * 300
+    df = spark.createDataFrame([(i, None, t) for i, t in texts.items()], "file_id long, path string, text string")
+    got = {r.file_id: None if r.license is None else (r.license, r.similarity) for r in license_scan.scan_licenses(df).collect()}
+    want = brute_license(texts)
+    assert 30 < sum(x is not None for x in want.values()) < 150
+    assert {i: x and x[0] for i, x in got.items()} == {i: x and x[0] for i, x in want.items()}
+    assert all(abs(got[i][1] - x[1]) <= 2e-6 for i, x in want.items() if x)
+
+
 def test_full_license_texts_cover_their_directories(spark):
     full = dict(license_scan.full_texts())
     rows = [
