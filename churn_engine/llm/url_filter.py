@@ -2,7 +2,7 @@
 
 Built-in functions only. A listed entry is a host and the beginning of a path. The keys under which a URL could be listed
 are its host and the parents of its host, each with the beginnings of its path of the lengths that are listed. The
-filter, of a size that is a parameter, lets through the keys that may be listed; the join decides.
+filter grows with the list, 16 bits for each key, and lets through the keys that may be listed; the join decides.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 64-bit blocks of the filter and bits set per key; a longer list passes more false keys on to the join, nothing else.
-BLOCKS, BITS = 1 << 14, 4
+#: Keys for each 64-bit block of the filter, and bits set per key: about one unlisted key in a hundred passes.
+KEYS, BITS = 4, 4
+#: A filter of more blocks than this (4 million keys) is not broadcast; Spark then joins it like any table.
+BROADCAST_BLOCKS = 1 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,8 +30,8 @@ def canonical(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(BLOCKS)).cast("int")
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(blocks)).cast("int")
 
 
 def _mask(key: Column) -> Column:
@@ -40,18 +42,18 @@ def _mask(key: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [one(shift(i)) for i in range(BITS)])
 
 
-def blocked_filter(keys: DataFrame, key: str = "key") -> list[int]:
-    """The filter as ``BLOCKS`` numbers: that many rows at most reach the driver, whatever the list's size."""
-    rows = keys.groupBy(_block(F.col(key)).alias("block")).agg(F.bit_or(_mask(F.col(key))).alias("bits")).collect()
-    out = [0] * BLOCKS
-    for row in rows:
-        out[row.block] = row.bits
-    return out
+def blocked_filter(keys: DataFrame, n_keys: int, key: str = "key") -> tuple[DataFrame, int]:
+    """The filter as rows ``block, bits`` (blocks without keys have none), and its number of blocks."""
+    blocks = -(-max(n_keys, 1) // KEYS)
+    return keys.groupBy(_block(F.col(key), blocks).alias("block")).agg(F.bit_or(_mask(F.col(key))).alias("bits")), blocks
 
 
-def may_hold(words: list[int], key: Column) -> Column:
-    filled = F.element_at(F.lit(words).cast("array<bigint>"), _block(key) + 1)
-    return filled.bitwiseAND(_mask(key)) == _mask(key)
+def passed(rows: DataFrame, keys: DataFrame, n_keys: int, key: str = "key") -> DataFrame:
+    """The rows whose ``key`` may be among ``keys``; none that is among them is left out."""
+    held, blocks = blocked_filter(keys, n_keys)
+    held = F.broadcast(held) if blocks <= BROADCAST_BLOCKS else held
+    near = rows.withColumn("block", _block(F.col(key), blocks)).join(held, "block")
+    return near.where(F.col("bits").bitwiseAND(_mask(F.col(key))) == _mask(F.col(key))).drop("block", "bits")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -72,10 +74,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     listed = listed.where("rule_host != '' AND rule_path IS NOT NULL AND verdict IS NOT NULL")
     key = F.concat_ws("\n", "rule_host", "rule_path")
     listed = listed.groupBy("rule_host", "rule_path").agg(F.min("verdict").alias("verdict")).withColumn("key", key)
-    filled = blocked_filter(listed)
-    # Shapes of the list: how many labels its hosts have, and which lengths its paths.
+    # Shapes of the list: how many entries and labels of hosts it has, and which lengths its paths.
     shape = listed.agg(
-        F.max(F.size(F.split("rule_host", r"\."))).alias("labels"), F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths")
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.size(F.split("rule_host", r"\."))).alias("labels"),
+        F.sort_array(F.collect_set(F.length("rule_path"))).alias("lengths"),
     ).collect()[0]
     labels, lengths = shape.labels or 0, list(shape.lengths or [])
     urls = rows.where("host != ''").select("host", "path").distinct()
@@ -85,7 +88,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
         F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n)
     )
     keys = F.flatten(F.transform(parents, lambda h: F.transform(beginnings, lambda p: F.concat_ws("\n", h, p))))
-    possible = urls.select("host", "path", F.explode(keys).alias("key")).where(may_hold(filled, F.col("key")))
+    possible = passed(urls.select("host", "path", F.explode(keys).alias("key")), listed, shape.n)
     exact = possible.join(listed, "key")
     size = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), "rule_host", "rule_path")
     best = exact.groupBy("host", "path").agg(F.max_by(F.struct("rule_host", "rule_path", "verdict"), size).alias("r"))

@@ -593,6 +593,21 @@ def test_urls(spark):
     assert {r.verdict for r in url_filter.judge_urls(df, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_url_filter_grows_with_the_list(spark, monkeypatch):
+    """Of a long list every listed key passes and few others do, whether the filter is broadcast or joined like a table."""
+    n = 200_000
+    listed = spark.range(n).select(F.concat(F.lit("h"), "id", F.lit(".org\n/")).alias("key"))
+    others = spark.range(n).select(F.concat(F.lit("x"), "id", F.lit(".org\n/")).alias("key"))
+    for bound in (url_filter.BROADCAST_BLOCKS, 10):
+        monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", bound)
+        assert url_filter.passed(listed, listed, n).count() == n
+        assert 0 < url_filter.passed(others, listed, n).count() < n / 50
+    rules = spark.range(n).select(F.concat(F.lit("h"), "id", F.lit(".org")).alias("host"), F.lit("/").alias("path"), F.lit("block").alias("verdict"))
+    pages = spark.range(0, 2 * n, 2).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.h"), "id", F.lit(".org/p")).alias("url"))
+    found = url_filter.judge_urls(pages, rules).groupBy("verdict").count().collect()
+    assert {r.verdict: r["count"] for r in found} == {"block": n // 2, "allow": n // 2}
+
+
 # the pipeline
 
 
