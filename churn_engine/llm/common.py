@@ -41,6 +41,17 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before each as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def small_batches(spark: SparkSession) -> None:
     """Limit Arrow batches to ``BATCH_ROWS`` rows, unless the session asks for fewer."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

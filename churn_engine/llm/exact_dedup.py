@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churn_engine.llm.common import store
+from churn_engine.llm.common import store, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,12 +58,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text, one stays."""
     names = docs.columns
+    id_name, sha_name, n_name, own_name = unused(docs, "__id", "__sha", "__n", "__own")
     groups = exact_groups(docs, id_col, text_col).where("kept")
-    groups = store(groups.groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__n")))
-    marked = docs.withColumn("__own", sha256_of(normalised(F.col(text_col))))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha"))
-    if not groups.where("__n > 1").limit(1).count():
+    groups = store(groups.groupBy(F.col(id_col).alias(id_name), F.col("text_sha256").alias(sha_name)).agg(F.count(F.lit(1)).alias(n_name)))
+    marked = docs.withColumn(own_name, sha256_of(normalised(F.col(text_col))))
+    same = F.col(id_col).eqNullSafe(F.col(id_name)) & (F.col(own_name) == F.col(sha_name))
+    once, many = groups.where(F.col(n_name) == 1), groups.where(F.col(n_name) > 1)
+    if not many.limit(1).count():
         return marked.join(groups, same, "left_semi").select(*names)
-    once = marked.join(groups.where("__n = 1"), same, "left_semi").select(*names)
-    many = marked.join(groups.where("__n > 1"), same, "left_semi").dropDuplicates([id_col, "__own"])
-    return once.unionByName(many.select(*names))
+    left = marked.join(once, same, "left_semi").select(*names)
+    return left.unionByName(marked.join(many, same, "left_semi").dropDuplicates([id_col, own_name]).select(*names))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
-from churn_engine.llm.common import components, in_slices, pack, pieces, ranges, small_batches, store, text_bytes, unpacked
+from churn_engine.llm.common import components, in_slices, pack, pieces, ranges, small_batches, store, text_bytes, unpacked, unused
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -303,11 +303,41 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     components is lost, no pair is ever a row, and members of one component are not compared again.
 
     Defined cases: null texts and texts without words are classes of their own and are kept; rows with a null id are
-    kept and never compared; rows that repeat an id are one node, and the node has the words of all of them only if
-    the texts are equal; an empty table gives an empty result; other columns are ignored.
+    kept and never compared; rows that repeat an id with the same text are one node and are kept or dropped together; rows that repeat
+    an id with different texts are compared each by its own text, and of such rows in one component that of the smallest 64-bit hash is
+    kept; an empty table gives an empty result; other columns are ignored.
+    """
+    told, _ = _told(docs, id_col, text_col, similarity)
+    return told.select(F.col("id").alias(id_col), "class_id", "component_id", "class_size", "kept")
+
+
+def _told(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, bool]:
+    """What ``near_groups`` tells, and whether some id has several texts; then ``own`` is the hash of each row's text.
+
+    Where an id has several texts, all but that of the smallest hash get a node number below zero from the hash of id and text, and the
+    groups are named by ids again afterwards.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    hashed = rows.where("id IS NOT NULL").select("id", F.xxhash64("text").alias("own"))
+    several = store(hashed.groupBy("id").agg(F.min("own").alias("least"), F.max("own").alias("most")).where("least != most").select("id", "least"))
+    if not several.limit(1).count():
+        return _groups(rows, similarity), False
+    own = F.xxhash64("text")
+    number = F.when(F.col("least").isNull() | (own == F.col("least")), F.col("id")).otherwise(F.xxhash64("id", "text").bitwiseOR(F.lit(-(2**63))))
+    numbered = store(rows.join(several, "id", "left").select("id", number.alias("node"), own.alias("own"), "text"))
+    found = store(_groups(numbered.select(F.col("node").alias("id"), "text"), similarity).withColumnRenamed("id", "node"))
+    found = found.join(numbered.where("id IS NOT NULL").select("node", "id", "own").distinct(), "node", "left")
+    order = F.struct("id", "own", "node")
+    classes = found.groupBy("class_id").agg(F.min("id").alias("class"))
+    components = found.groupBy("component_id").agg(F.min(order).alias("least"))
+    found = found.join(classes, "class_id", "left").join(components, "component_id", "left")
+    kept = F.coalesce(F.col("node") == F.col("least.node"), F.lit(True))
+    return found.select("id", "own", F.col("class").alias("class_id"), F.col("least.id").alias("component_id"), "class_size", kept.alias("kept")), True
+
+
+def _groups(rows: DataFrame, similarity: float) -> DataFrame:
+    """``near_groups`` of rows ``id, text`` whose ids have one text each."""
     texts = rows.where("id IS NOT NULL AND text IS NOT NULL")
     weights = slot_weights(texts.select("text"))
     signed = store(texts.mapInArrow(_banded(weights), "id long, content binary, bands array<long>, total double, n_shingles long"))
@@ -383,7 +413,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     placed = rows.select("id").join(joined.dropDuplicates(["__id"]), F.col("id") == F.col("__id"), "left")
     return placed.select(
-        F.col("id").alias(id_col),
+        "id",
         F.coalesce("class", "id").alias("class_id"),
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
@@ -392,6 +422,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies, all columns as they were; ids must be unique."""
-    gone = store(near_groups(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("__id")))
-    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    """``docs`` with one row of each group of near copies, all columns as they were. Defined cases as in ``near_groups``."""
+    told, by_text = _told(docs, id_col, text_col, SIMILARITY)
+    id_name, own_name = unused(docs, "__id", "__own")
+    gone = told.where("NOT kept").select(F.col("id").alias(id_name), *([F.col("own").alias(own_name)] if by_text else []))
+    same = F.col(id_col).cast("long") == F.col(id_name)
+    if by_text:
+        same &= F.xxhash64(text_col) == F.col(own_name)
+    return docs.join(store(gone.distinct() if by_text else gone), same, "left_anti")

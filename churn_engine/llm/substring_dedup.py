@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churn_engine.llm import words
-from churn_engine.llm.common import in_slices, pack, pieces, small_batches, store, text_bytes, unpacked
+from churn_engine.llm.common import in_slices, pack, pieces, small_batches, store, text_bytes, unpacked, unused
 
 #: A perfect difference set modulo 31, every difference occurs.
 PERIOD = 31
@@ -147,10 +147,11 @@ def _removed(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _cut(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept, counts, removed = [], [], []
+        kept, counts, removed, own = [], [], [], []
         keys = batch.column("keys")
         for row, body in enumerate(unpacked(batch.column("body"))):
             split = body.split()
+            own.append(hashlib.sha256(body).hexdigest() if texts else None)
             counts.append(len(split))
             gone = 0
             if keys[row].is_valid:
@@ -168,12 +169,13 @@ def _cut(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBa
             "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
         }
         if texts:
+            out["own_sha256"] = pa.array(own, pa.string())
             out["kept_text"] = pa.array(kept, pa.binary()).cast(pa.string())
         yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
-    """One row per input row: ``id_col, n_words, n_removed, kept_sha256`` and, with ``texts``, ``kept_text``.
+    """One row per input row: ``id_col, n_words, n_removed, kept_sha256`` and, with ``texts``, ``own_sha256`` (of the text as it was) and ``kept_text``.
 
     A window is 50 consecutive words; each word covered by a window whose words also start in a document with a
     smaller id goes. ``kept_text`` is what is left, joined by one space; ``kept_sha256`` is of its UTF-8.
@@ -197,19 +199,25 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     windows = packed.join(shared, "doc_id", "left").mapInArrow(_windows, "h long, doc_id long, key long")
     windows = windows.repartition("h").sortWithinPartitions("h", F.shiftrightunsigned("key", 32), "doc_id")
     later = windows.mapInArrow(_later, "doc_id long, key long").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", own_sha256 string, kept_text string" * texts
     cut = packed.join(later, "doc_id", "left").mapInArrow(lambda batches: _cut(batches, texts), schema)
     return cut.withColumnRenamed("doc_id", id_col)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated words taken out of the text (an untouched text stays as it is, a row whose words all
-    go is dropped) and ``n_chars``, where there is one, counted anew. Other columns follow by id, so ids must be unique."""
+    go is dropped) and ``n_chars``, where there is one, counted anew. Other columns follow by id and text, so rows that repeat an id
+    keep their own texts; equal rows stay equal rows. Other cases as in ``cut_repeats``."""
     names = docs.columns
+    id_name, own_name, text_name = unused(docs, "__id", "__own", "__text")
     kept = cut_repeats(docs, id_col, text_col).where("n_removed > 0")
-    kept = store(kept.select(F.col(id_col).alias("__id"), F.col("kept_text").alias("__text")))
-    out = docs.join(kept, F.col(id_col) == F.col("__id"), "left").where("__text IS NULL OR __text != ''")
-    changed = {text_col: F.coalesce("__text", text_col)}
+    kept = kept.select(F.col(id_col).alias(id_name), F.col("own_sha256").alias(own_name), F.col("kept_text").alias(text_name))
+    kept = store(kept.dropDuplicates([id_name, own_name]))
+    own = F.sha2(F.col(text_col).cast("binary"), 256)
+    out = docs.join(kept, (F.col(id_col).cast("long") == F.col(id_name)) & (own == F.col(own_name)), "left")
+    text = F.col(text_name)
+    out = out.where(text.isNull() | (text != ""))
+    changed = {text_col: F.coalesce(text, F.col(text_col))}
     if "n_chars" in names:
-        changed["n_chars"] = F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(text.isNotNull(), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return out.withColumns(changed).select(*names)

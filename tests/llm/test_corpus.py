@@ -81,6 +81,14 @@ def test_exact_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.text[:9]) for r in left.collect() if r.text) == [(0, "null id"), (3, " \n\t"), (4, "a"), (6, "same text"), (7, "x x x x x")]
 
 
+def test_exact_copies_with_clashing_names(spark):
+    docs = documents(spark, ODD).selectExpr("*", "'mine' AS __id", "'mine' AS __own", "'mine' AS __sha", "'mine' AS __n")
+    left = exact_dedup.drop_copies(docs)
+    assert left.columns == docs.columns
+    assert {(r["__id"], r["__own"], r["__sha"], r["__n"]) for r in left.collect()} == {("mine",) * 4}
+    assert left.count() == exact_dedup.drop_copies(documents(spark, ODD)).count()
+
+
 # 1: near dedup
 
 
@@ -197,6 +205,19 @@ def test_near_odd_rows(spark):
     assert near_dedup.drop_near_copies(documents(spark, ODD)).columns == documents(spark, []).columns
 
 
+def test_near_rows_that_repeat_an_id_have_their_own_texts(spark):
+    """Id 5 is a near copy of 1 and, with another text, of 2; with a third text it is alone. Id 3 names a text and a null."""
+    first, second, third = (" ".join(prose(k, 100)) for k in (21, 22, 23))
+    rows = [(1, first), (2, second), (5, first + " end"), (5, second + " end"), (5, third), (3, third + " x"), (3, None), (7, first), (None, first)]
+    docs = documents(spark, rows).withColumn("__id", F.lit("mine")).withColumn("__own", F.lit("mine"))
+    assert near_dedup.near_groups(docs).count() == len(rows)
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(docs).collect() if r.doc_id is not None)
+    assert found == [(1, 1, True), (2, 2, True), (3, 3, True), (3, 3, True), (5, 1, False), (5, 2, False), (5, 3, False), (7, 1, False)]
+    left = near_dedup.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in left.collect()) == sorted([("1", first), ("2", second), ("3", third + " x"), ("3", ""), ("None", first)])
+
+
 # 4: substring dedup
 
 
@@ -248,6 +269,16 @@ def test_substring_odd_rows(spark):
     assert [(r.doc_id, r.text, r.n_chars) for r in kept.orderBy("doc_id").collect()] == [(1, long, len(long)), (2, "end", 3)]
 
 
+def test_substring_rows_that_repeat_an_id_keep_their_own_texts(spark):
+    long, other = " ".join(prose(1, 60)), " ".join(prose(2, 60))
+    rows = [(1, long), (2, long + " end"), (2, other), (2, long + " end"), (3, other + " tail"), (None, other)]
+    docs = documents(spark, rows).withColumn("__id", F.lit("mine")).withColumn("__text", F.lit("mine"))
+    kept = substring_dedup.drop_repeats(docs)
+    assert kept.columns == docs.columns
+    found = sorted((str(r.doc_id), r.text, r.n_chars) for r in kept.collect())
+    assert found == sorted((str(i), t, len(t)) for i, t in [(1, long), (2, "end"), (2, "end"), (2, other), (3, "tail"), (None, other)])
+
+
 # 5: vectors
 
 
