@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; what it returns is written as
 Parquet and read again as the next stage's documents. All but the last return the columns of ``documents``.
+
+Defined cases, for every stage: other columns may be null or have any name and stay as they are; an empty table gives an empty one. A
+null or empty text is scored like any other, equals other null and empty texts in exact dedup, is never a near copy, has no words to take out, and is
+packed as its end token. A row with a null id is scored, and compared in exact dedup only. Rows that repeat an id keep their own texts. Ties go to the largest id in
+exact dedup, to the smallest in near and substring dedup.
 """
 
 from __future__ import annotations
@@ -46,7 +51,7 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: The classifier, the near dedup and the packing have no SQL; the tests hold the stages against brute force.
+#: The classifier, the near dedup and the packing have no SQL; the tests hold exact, near and substring dedup against brute force.
 ORACLE_SQL = None
 
 
