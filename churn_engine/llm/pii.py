@@ -114,6 +114,12 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.concat(terms, F.transform(terms, _class)))
 
 
+def _document_frequencies(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, df) of the keys asked for: the texts that hold them. Keys are counted first, so the join makes a row for each key, not for
+    each text and key."""
+    return texts.select(F.explode(_keys(F.col("text"))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df")).join(asked, "key")
+
+
 def _apart(both: DataFrame, around: DataFrame, on: list[str]) -> DataFrame:
     """``both`` without what gives an entity away only in near copies of one passage.
 
@@ -150,7 +156,7 @@ def revealing_terms(texts: DataFrame, base: DataFrame) -> DataFrame:
     empty = both.select(F.col("key").alias("term"), F.col("key").alias("replacement")).limit(0)
     if asked.isEmpty():
         return empty
-    counts = texts.select(F.explode(_keys(F.col("text"))).alias("key")).join(asked, "key").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    counts = _document_frequencies(texts, asked)
     total = texts.count()
     information = F.log2(F.lit(float(total)) / F.col("df_entity"))
     told = F.log2(F.lit(float(total)) * F.col("together") / (F.col("df") * F.col("df_entity")))

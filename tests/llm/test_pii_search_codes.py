@@ -136,6 +136,17 @@ def test_personal_data_equals_brute_force(spark):
             assert (r.base_sha256, [r.n_email, r.n_ip, r.n_card, r.n_phone]) == (digest, [sum(x[1] == k for x in base) for k in range(4)])
 
 
+def test_keys_are_counted_before_they_are_joined(spark):
+    """The join with the keys asked for makes no row for each text and key."""
+    rows = [(i, f"alpha Beta gamma{i % 3} alpha x") for i in range(30)] + [(31, None)]
+    texts = pii._texts(documents(spark, rows), "doc_id", "text")
+    asked = spark.createDataFrame([("alpha",), ("alp*",), ("gamma1",), ("missing",)], "key string")
+    counts = pii._document_frequencies(texts, asked)
+    assert {r.key: r.df for r in counts.collect()} == {"alpha": 30, "alp*": 30, "gamma1": 10}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate") < plan.index("Generate")
+
+
 def test_sanitised_texts(spark):
     rows = entities()
     docs = documents(spark, rows)
