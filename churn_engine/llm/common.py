@@ -147,8 +147,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: the neighbours below a node, and the node, go to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), "m").where("u != m")
-        links = store(small.select("u", F.col("m").alias("v")).distinct())
+        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = store(small.unionByName(least.withColumnRenamed("m", "v")).distinct())
         before, state = state, links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

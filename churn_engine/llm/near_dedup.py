@@ -219,8 +219,9 @@ def _similarities(weights: np.ndarray) -> Callable:
     return run
 
 
-def _tile_links(weights: np.ndarray, similarity: float) -> Callable:
-    """The pairs of two tiles of a bucket that reach the similarity; only pairs that no bound leaves out are compared."""
+def _tile_links(weights: np.ndarray, similarity: float, joining: bool = False) -> Callable:
+    """The pairs of two tiles of a bucket that reach the similarity; only pairs that no bound leaves out are compared. With ``joining``
+    only as many of them as join the components that any of them joins, fewer than members; pairs that these have joined are not compared."""
 
     def undecided(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Which pairs can reach the similarity, lie in two components and share no earlier bucket. The similarity of a text to
@@ -244,6 +245,8 @@ def _tile_links(weights: np.ndarray, similarity: float) -> Callable:
         ids, tile = rows["id"].to_numpy(), rows["tile"].to_numpy()
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+        # The component of each row; links of ``joining`` make components one.
+        group = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
         out_a, out_b = [], []
         if len(left) and len(right):
             may = undecided(rows, left, right)
@@ -266,7 +269,10 @@ def _tile_links(weights: np.ndarray, similarity: float) -> Callable:
                 place[needed] = np.arange(len(needed))
                 mine = np.zeros(int(numbers.max()) + 1, np.float32)
                 for row in np.flatnonzero(may.any(1)):
-                    a, others = place[left[row]], place[right[may[row]]]
+                    apart = right[may[row] & (group[right] != group[left[row]])] if joining else right[may[row]]
+                    if not len(apart):
+                        continue
+                    a, others = place[left[row]], place[apart]
                     own = slice(starts[a], ends[a])
                     mine[numbers[own]] = weight[own]
                     lengths = ends[others] - starts[others]
@@ -275,13 +281,18 @@ def _tile_links(weights: np.ndarray, similarity: float) -> Callable:
                     shared = np.add.reduceat(least, np.r_[0, np.cumsum(lengths)[:-1]])
                     mine[numbers[own]] = 0
                     close = shared / (total[a] + total[others] - shared)
-                    for b, value in zip(others[close >= similarity - EPSILON].tolist(), close[close >= similarity - EPSILON].tolist(), strict=True):
+                    for at_b in np.flatnonzero(close >= similarity - EPSILON).tolist():
+                        b, value = others[at_b], close[at_b]
+                        if joining and group[apart[at_b]] == group[left[row]]:
+                            continue
                         # Sums in another order differ in their last bits; at the threshold the usual one decides.
                         if value < similarity + EPSILON:
                             value = jaccard(key[own], weight[own], key[starts[b] : ends[b]], weight[starts[b] : ends[b]])
                         if value >= similarity:
                             out_a.append(ids[needed[a]])
                             out_b.append(ids[needed[b]])
+                            if joining:
+                                group[group == group[apart[at_b]]] = group[left[row]]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
@@ -299,8 +310,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class is compared with a lead of its bucket, one that shares the most buckets (a star, as many pairs as rows), and
     components are formed. Then only pairs are left whose classes share a bucket but no component. A bucket that has such pairs is dealt
     into tiles of bounded size, and a task compares two tiles: the bound and the triangle inequality of the Jaccard distance leave out
-    what cannot reach the similarity, the others are compared in full, and only links leave the task. So no link between
-    components is lost, no pair is ever a row, and members of one component are not compared again.
+    what cannot reach the similarity, the others are compared in full until a link joins their components, and only such links leave the
+    task, fewer than it has members. So no link between components is lost, no pair is ever a row, and members of one component are not
+    compared again.
 
     Defined cases: null texts and texts without words are classes of their own and are kept; rows with a null id are
     kept and never compared; rows that repeat an id with the same text are one node and are kept or dropped together; rows that repeat
@@ -405,7 +417,7 @@ def _groups(rows: DataFrame, similarity: float) -> DataFrame:
     none = F.array().cast("array<struct<i:int,j:int>>")
     meets = F.concat(F.when(F.col("tile") < F.col("n_rest"), as_left).otherwise(none), F.when(F.col("tile") > 0, as_right).otherwise(none))
     met_by = placed.select("band", "bucket", "tile", "id", "component", "common", "total", "far", "met", "bands", "body", F.inline(meets))
-    second = store(met_by.groupBy("band", "bucket", "i", "j").applyInArrow(_tile_links(weights, similarity), "a long, b long"))
+    second = store(met_by.groupBy("band", "bucket", "i", "j").applyInArrow(_tile_links(weights, similarity, True), "a long, b long"))
     if second.limit(1).count():
         found = store(components(linked.unionByName(second)))
     joined = members.join(found.withColumnRenamed("node", "class"), "class", "left").select(

@@ -185,6 +185,36 @@ def test_tiles_hold_bounded_groups_and_emit_links_only():
     assert {tuple(sorted(x)) for x in zip(found["a"], found["b"], strict=True)} == {tuple(sorted(x)) for x in true}
 
 
+def test_links_of_tiles_grow_with_members_not_with_pairs():
+    """Every text of one component is near every text of the other: one link joins them; what only a third component links stays linked."""
+    import zstandard
+
+    texts = near_edits(1, 40, lambda c: 1) + near_edits(2, 4, lambda c: 1)[4:]
+    weights = np.full(near_dedup.SLOTS, 1024, np.int32)
+    total = [sum(v.values()) for v in weighted(texts, weights)]
+    n = len(texts)
+    component = [k % 2 for k in range(20)] + list(range(20, 40)) + [99] * 4
+    rows = {
+        "band": [0] * n, "i": [0] * n, "j": [0] * n, "tile": [0] * n, "id": list(range(n)), "component": component, "common": total,
+        "total": total, "far": [None] * n, "met": [None] * n, "bands": [[k, 5] for k in range(n)],
+        "body": [zstandard.compress(t.encode()) for t in texts],
+    }
+    types = {"far": pa.float64(), "met": pa.float64(), "bands": pa.list_(pa.int64())}
+    table = pa.table({k: pa.array(v, types.get(k)) for k, v in rows.items()})
+    every = near_dedup._tile_links(weights, 0.8)(table).to_pydict()
+    few = near_dedup._tile_links(weights, 0.8, True)(table).to_pydict()
+
+    def joined(found):
+        name = list(component)
+        for a, b in zip(found["a"], found["b"], strict=True):
+            name = [name[a] if x == name[b] else x for x in name]
+        return {frozenset(k for k in range(n) if name[k] == x) for x in name}
+
+    assert joined(few) == joined(every) == {frozenset(range(40)), frozenset(range(40, 44))}
+    assert len(every["a"]) > 500
+    assert len(few["a"]) == 21  # 22 components become one
+
+
 def test_sampler_agrees_as_often_as_texts_are_similar():
     rng = np.random.default_rng(2)
     key = np.sort(rng.integers(1, 2**63, 300).astype(np.uint64))
