@@ -16,7 +16,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churn_engine.ml.models import MAX_DEPTH, FittedModel, fit
+from churn_engine.ml import linear
+from churn_engine.ml.models import MAX_DEPTH, FittedModel, fit, map_params
 from churn_engine.operators.dataset import stratified_folds
 from churn_engine.schema import KEYS, LABEL
 from churn_engine.session import materialise
@@ -220,6 +221,21 @@ def _evaluator(metric: str, label: str):
     raise ValueError(f"unknown metric {metric!r}")
 
 
+def _linear_tasks(counts: DataFrame, candidates: Sequence[Mapping[str, Any]], folds: int, label: str) -> list[linear.Task] | None:
+    """The fits of logistic regressions, by candidate, then fold; None where a training part lacks a class or a label is no class."""
+    found = {(r.fold, r[label]): r.n for r in counts.collect()}
+    tasks = []
+    for candidate, fold in product(candidates, range(folds)):
+        zero, one = (sum(n for (f, y), n in found.items() if f != fold and y == c) for c in (0, 1))
+        if not zero or not one or any(y not in (0, 1) for _, y in found):
+            return None
+        mapped = map_params("logistic_regression", candidate, zero + one)
+        weights = linear.class_weights(mapped.weight, zero, one)
+        p = mapped.params
+        tasks.append(linear.Task(fold, weights, weights[0] * zero + weights[1] * one, p["regParam"], p["elasticNetParam"], p["maxIter"]))
+    return tasks
+
+
 def search(
     rows: DataFrame,
     kind: str,
@@ -235,7 +251,8 @@ def search(
     """Cross-validate every candidate on stratified folds and refit the best on all rows.
 
     Rows and folds are materialised once. Each fit takes its class weights and the scale of C from the rows
-    it is fitted on: the training folds during validation, all rows in the end.
+    it is fitted on: the training folds during validation, all rows in the end. Logistic regressions are validated together, to the
+    minimum of their objectives: every pass over the rows serves all candidates and folds.
     """
     rows = materialise(rows.select(*key, *features, label))  # the folds read it several times
     stored = materialise(stratified_folds(rows, folds, seed, key, label).drop(*key))
@@ -247,6 +264,20 @@ def search(
         return evaluator.evaluate(model.pipeline.transform(stored.where(F.col("fold") == fold)))
 
     tasks = [(candidate, fold) for candidate in candidates for fold in range(folds)]
+    together = None
+    if kind == "logistic_regression":
+        together = _linear_tasks(stored.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")), candidates, folds, label)
+    if together is not None:
+        columns, points = linear.fit_together(stored, together, features, label)
+        by_fold = points.reshape(len(candidates), folds, -1).swapaxes(0, 1)
+        scored = materialise(linear.margins(stored, columns, by_fold, features, label).withColumnRenamed("label", label))
+
+        def validated(task: tuple[int, int]) -> float:
+            margin = F.get("margins", F.lit(task[0]))
+            part = scored.where(F.col("fold") == task[1]).select(label, margin.alias("rawPrediction"), (margin > 0).cast("double").alias("prediction"))
+            return evaluator.evaluate(part)
+
+        tasks = list(product(range(len(candidates)), range(folds)))
     # A fit is hundreds of small jobs one after the other: as many fits at once as there are cores keep them busy.
     at_once = parallelism or min(MOST_FITS, max(1, stored.sparkSession.sparkContext.defaultParallelism))
     with ThreadPool(min(at_once, len(tasks))) as pool:

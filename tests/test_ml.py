@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from churn_engine.ml import models, tuning
+from churn_engine.ml import linear, models, tuning
 from churn_engine.operators import dataset, encoding, metrics, scaling
 from churn_engine.plans.experiment import experiment
 from churn_engine.sources import sinks
@@ -156,6 +156,45 @@ def test_the_best_is_refitted_for_all_rows(rows):
     assert c_form_gradient(rows, found.best, 0.01) < 1e-3
 
 
+def test_logistic_regressions_are_validated_together(rows, monkeypatch):
+    """Each reaches the minimum of its own objective, under either penalty, and only the best is fitted by itself."""
+    single, calls, fits = tuning.fit, [], []
+    monkeypatch.setattr(tuning, "fit", lambda *x, **y: calls.append(x[2]) or single(*x, **y))
+    together = linear.fit_together
+    monkeypatch.setattr(linear, "fit_together", lambda *x: fits.append((x[0], x[1], together(*x))) or fits[-1][2])
+    grid = {"C": [0.01, 1.0], "penalty": ["l1", "l2"], "class_weight": ["balanced"], "max_iter": [1000]}
+    scaled = rows.withColumn("b", F.col("b") * 100 + 7)
+    found = tuning.grid_search(scaled, "logistic_regression", grid, FEATURES, folds=3, metric="roc_auc")
+    assert calls == [found.best_params]
+    ((stored, tasks, (columns, points)),) = fits
+    pdf = stored.toPandas()
+    for i, (task, (candidate, fold)) in enumerate(zip(tasks, [(c, f) for c in tuning.grid(grid) for f in range(3)], strict=True)):
+        part = pdf[pdf.fold != fold]
+        x, y = part[FEATURES].to_numpy(), part["churned"].to_numpy()
+        w = points[i, :-1] / columns.scale
+        b = points[i, -1] - (w * columns.mean).sum()
+        weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+        slope = (x * (weight * (1 / (1 + np.exp(-(x @ w + b))) - y))[:, None]).mean(axis=0)
+        reg = 1 / (candidate["C"] * len(y))
+        assert task.reg == pytest.approx(reg) and task.fold == fold
+        if candidate["penalty"] == "l2":
+            assert np.abs(slope + reg * w) / columns.scale == pytest.approx(0, abs=1e-4)
+        else:
+            short = np.where(w == 0, np.maximum(np.abs(slope) - reg, 0), slope + reg * np.sign(w))
+            assert np.abs(short) / columns.scale == pytest.approx(0, abs=1e-4)
+        # MLlib, one by one, comes to the same scores.
+        alone = models.fit(stored.where(F.col("fold") != fold), "logistic_regression", candidate, FEATURES)
+        mllib = alone.pipeline.stages[-1]
+        assert [*mllib.coefficients, mllib.intercept] == pytest.approx([*w, b], rel=0.02, abs=0.01)
+
+
+def test_search_where_a_training_part_lacks_a_class(rows):
+    """Such parts are fitted one by one, as before."""
+    few = rows.where("churned = 0").limit(20).unionByName(rows.where("churned = 1").limit(1))
+    found = tuning.grid_search(few, "logistic_regression", {"C": [1.0], "max_iter": [5]}, FEATURES, folds=2)
+    assert len(found.scores) == 1
+
+
 def test_random_search_over_mixed_estimators(rows):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", models.IgnoredParameter)
