@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
 import warnings
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
@@ -188,6 +192,21 @@ def test_logistic_regressions_are_validated_together(rows, monkeypatch):
         assert [*mllib.coefficients, mllib.intercept] == pytest.approx([*w, b], rel=0.02, abs=0.01)
 
 
+def test_the_passes_of_linear_run_where_the_package_is_not(rows, tmp_path):
+    """An executor has only what travels with the plan."""
+    tasks = [linear.Task(0, (1.0, 1.0), 1.0, 0.1, 0.0, 5)]
+    sent = cloudpickle.dumps((linear._sums(linear.Columns(rows, FEATURES), tasks, np.zeros((1, 4))), linear._added))
+    code = (
+        "import sys, pyarrow as pa\nfrom pyspark import cloudpickle\n"
+        "sums, added = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "batch = pa.record_batch({n: [1.0] for n in ('x0', 'x1', 'x2', 'label')} | {'fold': [1]})\n"
+        "print(added(pa.Table.from_batches(list(sums(iter([batch]))))).num_rows)"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env=env, capture_output=True, timeout=60)
+    assert done.stdout.split() == [b"1"], done.stderr.decode()
+
+
 def test_search_where_a_training_part_lacks_a_class(rows):
     """Such parts are fitted one by one, as before."""
     few = rows.where("churned = 0").limit(20).unionByName(rows.where("churned = 1").limit(1))
