@@ -266,6 +266,17 @@ def assembler(features: Sequence[str], scale: bool = False, categories: Dictiona
     ]
 
 
+def one_wave(rows: DataFrame, mapped: Mapped) -> DataFrame:
+    """Rows in no more partitions than there are cores, for boosting that draws no rows.
+
+    Each level of a tree is a job in which every partition sums all nodes, columns and bins, whatever its rows, and these sums are shuffled:
+    more partitions than run at once only add to them. Where rows are drawn, the draws are those of the partitions, which stay.
+    """
+    if mapped.estimator is not GBTClassifier or mapped.params["subsamplingRate"] < 1.0:
+        return rows
+    return rows.coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def fit(
     rows: DataFrame,
     kind: str,
@@ -287,7 +298,7 @@ def fit(
         params = NEURAL_PARAMS if kind == "neural_network" else BASE_PARAMS[kind]
     n = rows.count() if kind == "logistic_regression" else None
     mapped = map_params(kind, params, n)
-    weighted = with_class_weight(rows, mapped.weight, label)
+    weighted = one_wave(with_class_weight(rows, mapped.weight, label), mapped)
     inputs = [*features, *(x for c in (categories.values if categories is not None else ()) for x in categories.names(c))]
     estimator = mapped.build(label=label, seed=seed, width=len(inputs))
     wanted = kind == "neural_network" if scale is None else scale

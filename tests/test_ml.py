@@ -69,6 +69,22 @@ def test_fit_is_deterministic(rows, fitted):
     assert sorted(a) == sorted(again.predict(rows).select("userId", F.round("score", 9)).collect())
 
 
+@pytest.mark.parametrize("kind", ["catboost", "xgboost"])
+def test_a_level_of_a_tree_is_one_wave_of_tasks(rows, spark, fitted, kind):
+    """Each partition sums all nodes, so there are no more of them than cores; the model stays the same."""
+    context = spark.sparkContext
+    cores = context.defaultParallelism
+    context.setJobGroup(f"wave-{kind}", "")
+    model = models.fit(rows.repartition(5 * cores), kind, SMALL[kind], FEATURES)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup(f"wave-{kind}") for s in status.getJobInfo(j).stageIds]
+    levels = [s.numTasks for s in stages if s is not None and "RandomForest" in s.name]
+    assert levels and max(levels) <= cores
+    a, b = ({r.userId: r.score for r in m.predict(rows).collect()} for m in (model, fitted[kind]))
+    assert a == pytest.approx(b, abs=1e-6)
+
+
 def test_threshold_scoring_and_submission(rows, fitted, spark, tmp_path):
     model = fitted["random_forest"]
     scored = model.predict(rows, 0.47)
