@@ -306,6 +306,12 @@ def fit(
     return FittedModel(name or kind, kind, tuple(features), pipeline.fit(weighted), tuple(inputs))
 
 
+def fit_assembled(vectors: DataFrame, mapped: Mapped, weights: tuple[float, float], label: str, seed: int):
+    """MLlib's model of rows whose ``features`` are assembled, classes 0 and 1 weighing ``weights``."""
+    weight = F.when(F.col(label) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
+    return mapped.build(label=label, seed=seed).fit(one_wave(vectors.withColumn("weight", weight), mapped))
+
+
 def fit_all(
     rows: DataFrame,
     models: Mapping[str, Mapping[str, Any]],

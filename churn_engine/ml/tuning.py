@@ -12,18 +12,23 @@ from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churn_engine.ml import linear
-from churn_engine.ml.models import MAX_DEPTH, FittedModel, fit, map_params
+from churn_engine.ml.models import MAX_DEPTH, FittedModel, Mapped, assembler, fit, fit_assembled, map_params
 from churn_engine.operators.dataset import stratified_folds
 from churn_engine.schema import KEYS, LABEL
 from churn_engine.session import materialise
 
 #: Fits of a search at the same time, unless told otherwise; more only wait for the driver.
 MOST_FITS = 16
+#: Kinds that take the assembled features as they are.
+TREES = ("decision_tree", "random_forest", "xgboost", "catboost")
+#: Spares each fit a pass over its rows to find the classes.
+TWO_CLASSES = {"ml_attr": {"type": "nominal", "num_vals": 2}}
 
 # --- search spaces -----------------------------------------------------------------------------------
 
@@ -221,14 +226,19 @@ def _evaluator(metric: str, label: str):
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def _linear_tasks(counts: DataFrame, candidates: Sequence[Mapping[str, Any]], folds: int, label: str) -> list[linear.Task] | None:
-    """The fits of logistic regressions, by candidate, then fold; None where a training part lacks a class or a label is no class."""
+def _training_counts(counts: DataFrame, folds: int, label: str) -> list[tuple[int, int]] | None:
+    """Rows of classes 0 and 1 in the training part of each fold, and last in all rows; None where a part lacks a class or a label is no class."""
     found = {(r.fold, r[label]): r.n for r in counts.collect()}
+    if any(y not in (0, 1) for _, y in found):
+        return None
+    parts = [tuple(sum(n for (f, y), n in found.items() if f != fold and y == c) for c in (0, 1)) for fold in (*range(folds), None)]
+    return parts if all(zero and one for zero, one in parts) else None
+
+
+def _linear_tasks(parts: list[tuple[int, int]], candidates: Sequence[Mapping[str, Any]]) -> list[linear.Task]:
+    """The fits of logistic regressions, by candidate, then fold."""
     tasks = []
-    for candidate, fold in product(candidates, range(folds)):
-        zero, one = (sum(n for (f, y), n in found.items() if f != fold and y == c) for c in (0, 1))
-        if not zero or not one or any(y not in (0, 1) for _, y in found):
-            return None
+    for candidate, (fold, (zero, one)) in product(candidates, enumerate(parts[:-1])):
         mapped = map_params("logistic_regression", candidate, zero + one)
         weights = linear.class_weights(mapped.weight, zero, one)
         p = mapped.params
@@ -252,7 +262,9 @@ def search(
 
     Rows and folds are materialised once. Each fit takes its class weights and the scale of C from the rows
     it is fitted on: the training folds during validation, all rows in the end. Logistic regressions are validated together, to the
-    minimum of their objectives: every pass over the rows serves all candidates and folds.
+    minimum of their objectives: every pass over the rows serves all candidates and folds. Trees and their ensembles read feature vectors
+    that are assembled once and cached, weigh them by class counts taken once for all folds, and candidates that MLlib cannot tell apart
+    are fitted once.
     """
     rows = materialise(rows.select(*key, *features, label))  # the folds read it several times
     stored = materialise(stratified_folds(rows, folds, seed, key, label).drop(*key))
@@ -264,11 +276,12 @@ def search(
         return evaluator.evaluate(model.pipeline.transform(stored.where(F.col("fold") == fold)))
 
     tasks = [(candidate, fold) for candidate in candidates for fold in range(folds)]
-    together = None
-    if kind == "logistic_regression":
-        together = _linear_tasks(stored.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")), candidates, folds, label)
-    if together is not None:
-        columns, points = linear.fit_together(stored, together, features, label)
+    names: list[Any] = list(range(len(candidates)))  # candidates of one name are validated once
+    vectors = parts = None
+    if kind == "logistic_regression" or kind in TREES:
+        parts = _training_counts(stored.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")), folds, label)
+    if parts is not None and kind == "logistic_regression":
+        columns, points = linear.fit_together(stored, _linear_tasks(parts, candidates), features, label)
         by_fold = points.reshape(len(candidates), folds, -1).swapaxes(0, 1)
         scored = materialise(linear.margins(stored, columns, by_fold, features, label).withColumnRenamed("label", label))
 
@@ -278,13 +291,35 @@ def search(
             return evaluator.evaluate(part)
 
         tasks = list(product(range(len(candidates)), range(folds)))
+    elif parts is not None:
+        (assemble,) = assembler(features)
+        vectors = assemble.transform(stored).select("features", F.col(label).alias(label, metadata=TWO_CLASSES), "fold").persist()
+        mapped = [map_params(kind, candidate) for candidate in candidates]
+        names = [(m.estimator, tuple(sorted(m.params.items())), m.weight) for m in mapped]
+
+        def validated(task: tuple[Mapped, int]) -> float:
+            model, fold = task
+            weights = linear.class_weights(model.weight, *parts[fold])
+            fitted = fit_assembled(vectors.where(F.col("fold") != fold), model, weights, label, seed)
+            return evaluator.evaluate(fitted.transform(vectors.where(F.col("fold") == fold)))
+
+        tasks = list(product(dict(zip(names, mapped, strict=True)).values(), range(folds)))
     # A fit is hundreds of small jobs one after the other: as many fits at once as there are cores keep them busy.
     at_once = parallelism or min(MOST_FITS, max(1, stored.sparkSession.sparkContext.defaultParallelism))
-    with ThreadPool(min(at_once, len(tasks))) as pool:
-        values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
-    means = [sum(values[i : i + folds]) / folds for i in range(0, len(values), folds)]
-    ranked = sorted(zip(means, candidates, strict=True), key=lambda pair: -pair[0])
-    best = fit(stored, kind, ranked[0][1], features, label, seed=seed)
+    try:
+        with ThreadPool(min(at_once, len(tasks))) as pool:
+            values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
+        by_name = {name: sum(values[i * folds : (i + 1) * folds]) / folds for i, name in enumerate(dict.fromkeys(names))}
+        ranked = sorted(zip((by_name[name] for name in names), candidates, strict=True), key=lambda pair: -pair[0])
+        if vectors is None:
+            best = fit(stored, kind, ranked[0][1], features, label, seed=seed)
+        else:
+            chosen = map_params(kind, ranked[0][1])
+            model = fit_assembled(vectors, chosen, linear.class_weights(chosen.weight, *parts[-1]), label, seed)
+            best = FittedModel(kind, kind, tuple(features), PipelineModel([assemble, model]), tuple(features))
+    finally:
+        if vectors is not None:
+            vectors.unpersist()
     return SearchResult(kind, [dict(c) for _, c in ranked], [score for score, _ in ranked], best)
 
 

@@ -238,6 +238,39 @@ def test_random_search_over_mixed_estimators(rows):
     assert found.best_score > 0.7
 
 
+@pytest.mark.parametrize("kind", ["decision_tree", "xgboost"])
+def test_a_search_of_trees_shares_its_rows(rows, monkeypatch, kind):
+    """Vectors are assembled once, equal candidates are fitted once, and scores and model are those of fits one by one."""
+    space = [SMALL[kind], {**SMALL[kind], "max_depth": 3}, {**SMALL[kind], "min_samples_split": 9}]  # the last is the first for MLlib
+    if kind == "decision_tree":
+        space += [{"max_depth": 4, "max_features": "sqrt"}, {"max_depth": 4, "criterion": "entropy"}]
+    once, fits = tuning.fit_assembled, []
+    monkeypatch.setattr(tuning, "fit", lambda *x, **y: pytest.fail("a fit of its own"))
+    monkeypatch.setattr(tuning, "fit_assembled", lambda *x: fits.append(x[1]) or once(*x))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", models.IgnoredParameter)
+        found = tuning.search(rows, kind, space, FEATURES, folds=3)
+        assert len(fits) == 3 * (len(space) - 1) + 1
+        stored = dataset.stratified_folds(rows, 3).cache()
+        evaluator = tuning._evaluator("accuracy", "churned")
+        for candidate, score in zip(found.candidates, found.scores, strict=True):
+            parts = []
+            for fold in range(3):
+                alone = models.fit(stored.where(F.col("fold") != fold), kind, candidate, FEATURES)
+                parts.append(evaluator.evaluate(alone.pipeline.transform(stored.where(F.col("fold") == fold))))
+            assert score == pytest.approx(np.mean(parts), abs=1e-9)
+        alone = models.fit(rows, kind, found.best_params, FEATURES)
+    a, b = ({r.userId: r.score for r in m.predict(rows).collect()} for m in (found.best, alone))
+    assert a == pytest.approx(b, abs=1e-9)
+    assert found.best.inputs == tuple(FEATURES) and found.best.importance().count() == 3
+
+
+def test_a_search_of_trees_where_a_training_part_lacks_a_class(rows):
+    few = rows.where("churned = 0").limit(20).unionByName(rows.where("churned = 1").limit(1))
+    found = tuning.search(few, "decision_tree", [{"max_depth": 2}], FEATURES, folds=2)
+    assert len(found.scores) == 1
+
+
 def test_params_round_trip(spark, tmp_path):
     params = {"depth": 6, "learning_rate": 0.05, "penalty": None, "bootstrap": False, "name": "x"}
     sinks.write_params(spark, params, str(tmp_path / "params"))
