@@ -17,7 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churn_engine.ml import linear
+from churn_engine.ml import linear, trees
 from churn_engine.ml.models import MAX_DEPTH, FittedModel, Mapped, assembler, fit, fit_assembled, map_params
 from churn_engine.operators.dataset import stratified_folds
 from churn_engine.schema import KEYS, LABEL
@@ -278,6 +278,7 @@ def search(
     tasks = [(candidate, fold) for candidate in candidates for fold in range(folds)]
     names: list[Any] = list(range(len(candidates)))  # candidates of one name are validated once
     vectors = parts = None
+    together = False
     if kind == "logistic_regression" or kind in TREES:
         parts = _training_counts(stored.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")), folds, label)
     if parts is not None and kind == "logistic_regression":
@@ -303,12 +304,23 @@ def search(
             fitted = fit_assembled(vectors.where(F.col("fold") != fold), model, weights, label, seed)
             return evaluator.evaluate(fitted.transform(vectors.where(F.col("fold") == fold)))
 
-        tasks = list(product(dict(zip(names, mapped, strict=True)).values(), range(folds)))
+        distinct = list(dict(zip(names, mapped, strict=True)).values())
+        tasks = list(product(distinct, range(folds)))
+        grown = [trees.tree_of(m.estimator, m.params, len(features)) for m in distinct]
+        # Single trees, of which there are more than would be fitted at once, are grown together where a task can hold all rows.
+        together = len(tasks) > MOST_FITS and metric == "accuracy" and all(grown) and sum(parts[-1]) * len(features) <= trees.TASK_BYTES
     # A fit is hundreds of small jobs one after the other: as many fits at once as there are cores keep them busy.
     at_once = parallelism or min(MOST_FITS, max(1, stored.sparkSession.sparkContext.defaultParallelism))
     try:
-        with ThreadPool(min(at_once, len(tasks))) as pool:
-            values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
+        found = None
+        if together:
+            weights = [[linear.class_weights(m.weight, *part) for part in parts[:-1]] for m in distinct]
+            found = trees.accuracies(stored, vectors, features, label, folds, grown, weights, sum(parts[-1]), seed)
+        if found is not None:
+            values = [found[task] for task in product(range(len(distinct)), range(folds))]
+        else:
+            with ThreadPool(min(at_once, len(tasks))) as pool:
+                values = pool.map(inheritable_thread_target(stored.sparkSession)(validated), tasks, chunksize=1)
         by_name = {name: sum(values[i * folds : (i + 1) * folds]) / folds for i, name in enumerate(dict.fromkeys(names))}
         ranked = sorted(zip((by_name[name] for name in names), candidates, strict=True), key=lambda pair: -pair[0])
         if vectors is None:

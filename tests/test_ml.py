@@ -14,7 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from churn_engine.ml import linear, models, tuning
+from churn_engine.ml import linear, models, trees, tuning
 from churn_engine.operators import dataset, encoding, metrics, scaling
 from churn_engine.plans.experiment import experiment
 from churn_engine.sources import sinks
@@ -271,6 +271,92 @@ def test_a_search_of_trees_where_a_training_part_lacks_a_class(rows):
     assert len(found.scores) == 1
 
 
+@pytest.fixture(scope="module")
+def wide(spark):
+    """In one partition, where sums of weights are those of MLlib to the last bit: few values, so that many splits are equally good."""
+    rng = np.random.default_rng(1)
+    x = np.hstack([rng.normal(size=(700, 6)), rng.integers(0, 5, size=(700, 5)), np.full((700, 1), 3)])
+    y = (x[:, 0] + x[:, 7] + rng.normal(size=700) > 3).astype(int)
+    names = [f"f{i}" for i in range(12)]
+    pdf = pd.DataFrame(x, columns=names).assign(churned=y, userId=np.arange(700), obs_date=pd.Timestamp("2018-10-15"))
+    return spark.createDataFrame(pdf).withColumn("obs_date", F.col("obs_date").cast("timestamp_ntz")).coalesce(1).cache(), names
+
+
+MIXED = [
+    {"max_depth": 30, "class_weight": "balanced"},
+    {"max_depth": 6, "criterion": "entropy", "min_samples_leaf": 4},
+    {"max_depth": 30, "max_features": "sqrt", "criterion": "entropy", "class_weight": "balanced"},
+    {"max_depth": 12, "max_features": "log2", "min_samples_leaf": 2},
+    {"max_depth": 3, "max_features": "sqrt", "min_samples_leaf": 40, "class_weight": "balanced"},
+    {"max_depth": 30, "min_samples_leaf": 400},
+]
+
+
+@pytest.mark.parametrize("memory", [256, 0])
+def test_a_grown_tree_is_that_of_mllib(wide, monkeypatch, memory):
+    """Node by node as row by row, whatever is worked on at once, and in whatever order MLlib draws columns."""
+    rows, names = wide
+    monkeypatch.setattr(trees, "KEPT_ROWS", 8)
+    monkeypatch.setattr(trees, "NODES", 3)
+    monkeypatch.setattr(trees, "CHUNK", 500)
+    monkeypatch.setattr(trees, "MLLIB_MEMORY", memory << 20)
+    vectors = models.assembler(names)[0].transform(rows)
+    pdf = rows.toPandas()
+    y = pdf["churned"].to_numpy()
+    for params in [p for p in MIXED if memory or p["max_depth"] < 30]:
+        mapped = models.map_params("decision_tree", params)
+        weights = linear.class_weights(mapped.weight, int((y == 0).sum()), int(y.sum()))
+        weighted = vectors.withColumn("weight", F.when(F.col("churned") == 1, weights[1]).otherwise(weights[0]))
+        splits = trees.thresholds(weighted, "churned", "weight", 42)
+        codes = np.stack([2 * np.searchsorted(s, pdf[c]) + y for s, c in zip(splits, names, strict=True)], axis=1).astype(np.uint8)
+        grower = trees._Grower(codes, np.arange(700), weights, [len(s) for s in splits], 42)
+        grown = grower.grow(trees.tree_of(mapped.estimator, mapped.params, len(names)))
+        model = mapped.build(label="churned").setMaxMemoryInMB(memory).fit(weighted)
+        told = [r.prediction for r in model.transform(weighted).orderBy("userId").collect()]
+        assert trees._predicted(codes, np.arange(700), grown).astype(float).tolist() == told, params
+
+
+def test_many_single_trees_are_grown_together(wide, monkeypatch):
+    """More of them than are fitted at once: MLlib fits the best only, and the scores are its own."""
+    rows, names = wide
+    once, fits = tuning.fit_assembled, []
+    monkeypatch.setattr(tuning, "fit_assembled", lambda *x: fits.append(x[1]) or once(*x))
+    found = tuning.search(rows, "decision_tree", MIXED, names, folds=3)
+    assert 3 * len(MIXED) > tuning.MOST_FITS and len(fits) == 1
+    monkeypatch.setattr(trees, "TASK_BYTES", len(names) * 700 - 1)  # rows that no task can hold are left to MLlib
+    alone = tuning.search(rows, "decision_tree", MIXED, names, folds=3)
+    assert len(fits) == 3 * len(MIXED) + 2
+    assert found.candidates == alone.candidates and found.scores == alone.scores
+    monkeypatch.setattr(trees, "TASK_BYTES", len(names) * 700)
+    monkeypatch.setattr(trees, "MOST_BINS", 4)  # as are columns whose bins are too many for a byte
+    again = tuning.search(rows, "decision_tree", MIXED, names, folds=3)
+    assert len(fits) == 6 * len(MIXED) + 3 and again.scores == alone.scores
+
+
+def test_only_single_trees_are_grown_together():
+    for kind, params in [("xgboost", {}), ("random_forest", {"n_estimators": 1, "bootstrap": False}), ("decision_tree", {"max_features": "0.5"})]:
+        mapped = models.map_params(kind, params)
+        assert trees.tree_of(mapped.estimator, mapped.params, 9) is None
+    mapped = models.map_params("decision_tree", {"max_features": "log2", "max_depth": 4, "min_samples_leaf": 3})
+    assert trees.tree_of(mapped.estimator, mapped.params, 9) == trees.Tree(False, 4, 3, 4, True)
+
+
+def test_trees_grow_where_the_package_is_not(tmp_path):
+    """An executor has only what travels with the plan."""
+    tree = trees.Tree(False, 2, 1, 1, False)
+    parts = [trees.Part(0, ((5, tree),), (1.0, 1.0), (np.array([0.5]),))]
+    sent = cloudpickle.dumps((trees._coded(parts, 1), trees._grown(parts, 4, 1, 42)))
+    code = (
+        "import sys, pyarrow as pa\nfrom pyspark import cloudpickle\n"
+        "coded, grown = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "batch = pa.record_batch({'x0': [0.0, 1.0, 0.0, 1.0], 'label': [0, 1, 0, 1], 'fold': [0, 0, 1, 1]})\n"
+        "print([b.to_pylist() for b in grown(coded(iter([batch])))])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env=env, capture_output=True, timeout=60)
+    assert done.stdout.decode().strip() == "[[{'candidate': 5, 'fold': 0, 'hits': 2, 'n': 2}]]", done.stderr.decode()
+
+
 def test_params_round_trip(spark, tmp_path):
     params = {"depth": 6, "learning_rate": 0.05, "penalty": None, "bootstrap": False, "name": "x"}
     sinks.write_params(spark, params, str(tmp_path / "params"))
