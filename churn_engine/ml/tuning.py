@@ -264,7 +264,7 @@ def search(
     it is fitted on: the training folds during validation, all rows in the end. Logistic regressions are validated together, to the
     minimum of their objectives: every pass over the rows serves all candidates and folds. Trees and their ensembles read feature vectors
     that are assembled once and cached, weigh them by class counts taken once for all folds, and candidates that MLlib cannot tell apart
-    are fitted once.
+    are fitted once. Many single trees validated by accuracy are grown whole by one task each (see :mod:`churn_engine.ml.trees`).
     """
     rows = materialise(rows.select(*key, *features, label))  # the folds read it several times
     stored = materialise(stratified_folds(rows, folds, seed, key, label).drop(*key))
